@@ -124,26 +124,16 @@ def output_columns(report: DataFrame, config: MergeConfig) -> list[str]:
 def plain_number(value: Column) -> Column:
     """Number text without an exponent: null is ``0``, plain text keeps its digits, ``1.23E2`` is ``123``.
 
-    The digits are shifted as text, so no digit is lost; a fraction that an exponent only shortens stays.
+    Text with an exponent keeps the decimals the exponent leaves. Anything beyond 20 digits before or 18 after
+    the point, and anything that is no number, stays as written.
     """
     text = F.upper(F.trim(value))
-    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    mantissa = F.regexp_extract(text, r"^[+-]?([0-9.]+)E", 1)
-    whole = F.substring_index(mantissa, ".", 1)
-    fraction = F.when(mantissa.contains("."), F.substring_index(mantissa, ".", -1)).otherwise(F.lit(""))
-    shift = F.regexp_extract(text, r"E\+?(-?[0-9]+)$", 1).try_cast("int")
-    digits = F.concat(whole, fraction)
-    point = F.length(whole) + shift
-    padded = (
-        F.when(point <= 0, F.concat(F.repeat(F.lit("0"), 1 - point), digits))
-        .when(point > F.length(digits), F.rpad(digits, point, "0"))
-        .otherwise(digits)
+    number = text.try_cast("decimal(38,18)").cast("string")
+    decimals = F.length(F.regexp_extract(text, r"\.([0-9]*)E", 1)) - F.regexp_extract(text, r"E\+?(-?[0-9]+)$", 1).try_cast("int")
+    shifted = F.when(decimals <= 0, F.substring_index(number, ".", 1)).otherwise(
+        F.substring(number, F.lit(1), F.instr(number, ".") + decimals)
     )
-    point = F.greatest(point, F.lit(1))
-    left = F.regexp_replace(F.substring(padded, F.lit(1), point), "^0+(?=.)", "")
-    right = F.substring(padded, point + 1, F.length(padded))
-    shifted = F.concat(sign, left, F.when(right == "", F.lit("")).otherwise(F.concat(F.lit("."), right)))
-    return F.when(value.isNull(), F.lit("0")).when(~text.contains("E"), value).otherwise(shifted)
+    return F.when(value.isNull(), F.lit("0")).when(~text.contains("E"), value).otherwise(F.coalesce(shifted, value))
 
 
 def report_documents(
