@@ -20,6 +20,9 @@ class Model:
     """Three DataFrame steps chained in order; a step that is not overridden passes its input on."""
 
     name = "Model"
+    # Whether the model runs its input more than once (a sampled range partition does), so that a count taken
+    # while the input is read would count it more than once.
+    rereads = False
 
     def prepare(self, data: DataFrame, params: Params) -> DataFrame:
         return data
@@ -53,6 +56,7 @@ class WorkflowSummaryModel(Model):
     """Raw lines to enveloped session summaries."""
 
     name = "WorkflowSummaryModel"
+    rereads = True
 
     def prepare(self, data: DataFrame, params: Params) -> DataFrame:
         return workflow.read_events(data, params.get("explodeEnvelope", False))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import pickle
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
@@ -123,44 +124,44 @@ _STATE = "tree binary, waiting binary"
 _FIELDS = list(Event._fields)
 
 
-def _step(idle_ms: int, break_ms: int, delay_ms: int):
+def _event(row: Event) -> Event:
+    return row._replace(ets=int(row.ets), sync_ms=int(row.sync_ms or 0))
+
+
+def _step(idle_ms: int, break_ms: int):
+    """One call per key: new events wait, events the watermark has passed are fed, quiet keys are closed."""
+
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         tree, waiting = SessionTree(idle_ms, break_ms), []
         if state.exists:
             stored, queue = state.get
             tree, waiting = pickle.loads(stored), pickle.loads(queue)
-        if state.hasTimedOut:
-            for event in sorted(waiting):
-                tree.feed(event)
-            tree.flush()
-            state.remove()
-        else:
+        if not state.hasTimedOut:
             for frame in frames:
                 rows = frame[_FIELDS].astype(object).where(frame[_FIELDS].notna(), None)
-                waiting += [
-                    Event(int(e.ets), *e[1:-1], int(e.sync_ms or 0)) for e in map(Event._make, rows.itertuples(index=False))
-                ]
-            waiting.sort(key=lambda e: (e.ets, e.mid or "", e.eid or ""))
-            # Events up to the watermark can no longer be preceded by another one; feed them, keep the rest.
-            mark = state.getCurrentWatermarkMs()
-            ready = [e for e in waiting if e.ets <= mark]
-            waiting = waiting[len(ready):]
-            for event in ready:
-                tree.feed(event)
-            last = waiting[-1].ets if waiting else tree.last_ets
-            found = tree.take()
-            state.update((pickle.dumps(tree), pickle.dumps(waiting)))
-            state.setTimeoutTimestamp(max(last + break_ms, mark + 1))
-            yield from _frame(key, found)
+                waiting += [_event(Event._make(row)) for row in rows.itertuples(index=False)]
+            waiting.sort(key=lambda e: (e.ets, e.mid or "", e.eid or "", e.etype or ""))
+        mark = state.getCurrentWatermarkMs()
+        fed = 0
+        while fed < len(waiting) and waiting[fed].ets <= mark:
+            tree.feed(waiting[fed])
+            fed += 1
+        waiting = waiting[fed:]
+        due = waiting[0].ets if waiting else tree.last_ets + break_ms
+        if not waiting and due <= mark:
+            tree.flush()
+            state.remove()
+            yield from _frame(key, tree.take())
             return
-        yield from _frame(key, tree.take())
+        found = tree.take()
+        state.update((pickle.dumps(tree), pickle.dumps(waiting)))
+        state.setTimeoutTimestamp(max(due, mark + 1))
+        yield from _frame(key, found)
 
     return run
 
 
 def _frame(key: tuple, found: list[dict]) -> Iterator[pd.DataFrame]:
-    import json
-
     if found:
         rows = [
             (*key, s["head"], s["type"], s["mode"], s["start_time"], s["end_time"], s["spent_cs"], s["interactions"],
@@ -176,12 +177,14 @@ def stream_summaries(
     """Nested session summaries of a stream of flat session events.
 
     Events wait until the watermark passes them, so they reach the session state in order. A key that stays
-    quiet for ``break_ms`` is closed; later events start anew. Rows behind the watermark are left out by Spark.
+    quiet for ``break_ms`` is closed and forgotten, so the state holds active keys only; later events start anew,
+    where the batch operator would restart the open sessions in place. Rows behind the watermark are left out by
+    Spark.
     The result has the columns of the batch operator's raw summaries and goes through ``finish_summaries``.
     """
     timed = events.withColumn("event_time", F.timestamp_millis("ets")).withWatermark("event_time", delay)
     raw = timed.groupBy(*KEYS).applyInPandasWithState(
-        _step(idle_ms, break_ms, 0), _STREAM_SUMMARY, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+        _step(idle_ms, break_ms), _STREAM_SUMMARY, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     pages = "array<struct<id:string,type:string,env:string,ms:bigint,visits:bigint>>"
     return (
