@@ -118,10 +118,55 @@ def random_lines(seed, keys, count, app_starts=True):
 def test_result_does_not_depend_on_the_cut(spark, seed, app_starts):
     """A key with half of all rows spread over many blocks gives what one ordered pass gives."""
     lines = random_lines(seed, [f"d{i}" for i in range(6)], 1500, app_starts)
-    events = W.session_events(W.read_events(spark.createDataFrame([(x,) for x in lines], "value string"))).cache()
+    events = W.session_keys(W.read_events(spark.createDataFrame([(x,) for x in lines], "value string"))).cache()
     want = W.ordered_summaries(events, 600_000, 1_800_000).select(*W._SUMMARY_COLUMNS).dropDuplicates()
     expected = sorted(map(str, want.collect()))
     assert len(expected) > 50
     for blocks in (1, 3, 12):
         got = W.raw_summaries(events, 600_000, 1_800_000, blocks).collect()
         assert sorted(map(str, got)) == expected
+
+
+def test_wrong_assumption_is_noticed_and_done_over(spark):
+    """An app START that finds a session apart from its root is no fresh start; such keys are done over."""
+    t = 1_600_000_000_000
+    lines = [line("START", t, "player", "play"), line("INTERACT", t + 1000, "click"), line("END", t + 2000, "player", "play"),
+             line("END", t + 2500, "player", "play")]
+    for i in range(40):
+        at = t + 3000 + i * 10_000
+        # The child is closed by its END and the next START opens a session apart while the root stays open.
+        lines += [line("START", at, "player", "play"), line("START", at + 10, "editor"), line("END", at + 20, "editor"),
+                  line("END", at + 30, "player", "play"), line("START", at + 40, "app", "x"), line("START", at + 50, "app"),
+                  line("INTERACT", at + 60, "click")]
+    events = W.session_keys(W.read_events(spark.createDataFrame([(x,) for x in lines], "value string"))).cache()
+    want = sorted(map(str, W.ordered_summaries(events, 600_000, 1_800_000).select(*W._SUMMARY_COLUMNS).dropDuplicates().collect()))
+    for blocks in (4, 9):
+        assert sorted(map(str, W.raw_summaries(events, 600_000, 1_800_000, blocks).collect())) == want
+
+
+def test_again_marks(spark):
+    """The second stage reports a key whose app START did not start fresh."""
+    from tidegauge.operators.session_tree import Event, SessionTree
+
+    def event(eid, ets, kind, mode=None):
+        return Event(ets, str(ets), eid, kind, mode, None, None, "{}", None, 0)
+
+    tree = SessionTree(600_000, 1_800_000)
+    for e in (event("START", 1, "app", "x"), event("START", 2, "app")):
+        tree.feed(e)
+    assert not tree.starts_fresh() and tree.current.parent is tree.root
+    fresh = SessionTree(600_000, 1_800_000)
+    for e in (event("START", 1, "app"), event("INTERACT", 5, "click"), event("START", 9, "app")):
+        fresh.feed(e)
+    assert fresh.starts_fresh()
+
+
+def test_seen_again_keys_in_the_plan(spark):
+    lines = random_lines(7, ["only"], 800)
+    events = W.session_keys(W.read_events(spark.createDataFrame([(x,) for x in lines], "value string"))).cache()
+    kinds = (
+        events.repartitionByRange(8, *W.KEYS, "ets", "mid").sortWithinPartitions(*W._ORDER).transform(W.session_columns)
+        .mapInArrow(W._block_stage(600_000, 1_800_000), W._STAGE_DDL).groupBy("kind").count().collect()
+    )
+    counts = {r.kind: r["count"] for r in kinds}
+    assert counts["cut"] >= 7 and counts["state"] == 8 and counts["summary"] > 0

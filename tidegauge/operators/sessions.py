@@ -183,26 +183,38 @@ def session_event_counts(df: DataFrame, keys: Sequence[str], break_ms: int, slot
 def _views(df: DataFrame, keys: list[str], break_ms: int, width: int, compat: bool) -> tuple[DataFrame, DataFrame]:
     """Last view of every instant with its dwell in ms, and the numbered slots behind it."""
     is_view = F.col("eid") == "IMPRESSION"
-    instants = df.groupBy(*keys, "ets").agg(
-        F.min("mid").alias("first_mid"),
-        F.min(F.when(is_view, F.col("mid"))).alias("first_view_mid"),
-        F.max(F.when(is_view, F.struct("mid", "pageid"))).alias("last_view"),
+    within = Window.partitionBy(*keys, "slot").orderBy("ets")
+    instants = (
+        df.groupBy(*keys, "ets")
+        .agg(
+            F.min("mid").alias("first_mid"),
+            F.min(F.when(is_view, F.col("mid"))).alias("first_view_mid"),
+            F.max(F.when(is_view, F.struct("mid", "pageid"))).alias("last_view"),
+        )
+        .withColumn("slot", _slot(width))
+        .withColumn("gap", F.col("ets") - F.lag("ets").over(within))
     )
-    instants = _with_previous(instants, keys, width)
-    # The step into the first view of an instant is zero when another event of that instant sorts before it.
-    step = F.when(F.col("first_mid") == F.col("first_view_mid"), F.col("ets") - F.col("prev_ets")).otherwise(F.lit(0))
+    # The step into the first view of an instant is zero when another event of that instant sorts before it. For
+    # the first instant of a slot the step is left open (null) until the slot before is known.
+    leads = F.col("first_mid") == F.col("first_view_mid")
+    step = F.when(leads, F.col("gap")).otherwise(F.lit(0))
     instants = instants.withColumn("view", F.when(F.col("last_view").isNotNull(), F.struct("ets", step.alias("step"))))
     slots = instants.groupBy(*keys, "slot").agg(
         F.min("ets").alias("slot_start"), F.max("ets").alias("slot_end"), F.min("view").alias("first_view")
     )
-    numbered = _number_slots(slots, keys, break_ms)
+    numbered = _number_slots(slots, keys, break_ms).withColumn(
+        "first_view",
+        F.when(
+            F.col("first_view").isNotNull(),
+            F.struct(F.col("first_view.ets").alias("ets"), F.coalesce("first_view.step", "slot_gap").alias("step")),
+        ),
+    )
     # First view in a later slot of the same session: a growing frame over the slots in reverse order.
     later = Window.partitionBy(*keys, "session_no").orderBy(F.desc("slot")).rowsBetween(Window.unboundedPreceding, -1)
     ends = numbered.select(
         *keys, "slot", "session_no", "session_end",
         F.last("first_view", ignorenulls=True).over(later).alias("later_view"),
     )
-    within = Window.partitionBy(*keys, "slot").orderBy("ets")
     following = F.coalesce(F.col("following"), F.col("later_view"))
     again = F.when(F.lit(compat), F.coalesce(following["step"], F.lit(0))).otherwise(F.lit(0))
     shown = (

@@ -122,7 +122,29 @@ def _item() -> Column:
     )
 
 
-def session_events(events: DataFrame, default_app: str = DEFAULT_APP) -> DataFrame:
+def session_keys(events: DataFrame, default_app: str = DEFAULT_APP) -> DataFrame:
+    """Client events with the columns they are cut and ordered by, and their nested parts as they came."""
+    context = F.col("context")
+    pdata = context["pdata"]
+    return client_events(events).select(
+        F.coalesce(context["did"], F.lit("")).alias("did"),
+        context["channel"].alias("channel"),
+        F.when(pdata.isNull(), F.lit(default_app)).otherwise(pdata["id"]).alias("pdata_id"),
+        F.coalesce(F.col("ets").cast("bigint"), F.lit(0).cast("bigint")).alias("ets"),
+        "mid",
+        "eid",
+        F.col("edata.type").alias("etype"),
+        "ver",
+        "tags",
+        "@timestamp",
+        "actor",
+        "context",
+        "object",
+        "edata",
+    )
+
+
+def session_columns(keyed: DataFrame) -> DataFrame:
     """Flat columns for the session state; nested parts that are only passed on travel as JSON text."""
     context = F.col("context")
     pdata = context["pdata"]
@@ -137,14 +159,12 @@ def session_events(events: DataFrame, default_app: str = DEFAULT_APP) -> DataFra
         context["rollup"].alias("rollup"),
         F.col("object"),
     )
-    return client_events(events).select(
-        F.coalesce(context["did"], F.lit("")).alias("did"),
-        context["channel"].alias("channel"),
-        F.when(pdata.isNull(), F.lit(default_app)).otherwise(pdata["id"]).alias("pdata_id"),
-        F.coalesce(F.col("ets").cast("bigint"), F.lit(0)).alias("ets"),
+    return keyed.select(
+        *KEYS,
+        "ets",
         "mid",
         "eid",
-        F.col("edata.type").alias("etype"),
+        "etype",
         F.col("edata.mode").alias("mode"),
         F.col("edata.pageid").alias("pageid"),
         context["env"].alias("env"),
@@ -154,8 +174,11 @@ def session_events(events: DataFrame, default_app: str = DEFAULT_APP) -> DataFra
     )
 
 
+def session_events(events: DataFrame, default_app: str = DEFAULT_APP) -> DataFrame:
+    return session_columns(session_keys(events, default_app))
+
+
 _ORDER = [*KEYS, "ets", "mid", "eid", "etype"]
-_COLUMNS = [*KEYS, *Event._fields]
 
 
 # ---- stages inside tasks ----------------------------------------------------------------------------------
@@ -311,15 +334,18 @@ def _ordered_stage(idle_ms: int, break_ms: int):
 # ---- operator ---------------------------------------------------------------------------------------------
 
 
-def raw_summaries(events: DataFrame, idle_ms: int, break_ms: int, blocks: int | None = None) -> DataFrame:
-    """Distinct summaries, before ids, rates and nested parts are put together."""
-    spark = events.sparkSession
-    ensure_checkpoint_dir(spark)
-    events = events.select(*_COLUMNS)
+def raw_summaries(keyed: DataFrame, idle_ms: int, break_ms: int, blocks: int | None = None) -> DataFrame:
+    """Distinct summaries of keyed events, before ids, rates and nested parts are put together.
+
+    Range bounds are sampled from the input, which runs it once more; so only the key columns are computed before
+    the shuffle and everything else after it.
+    """
+    ensure_checkpoint_dir(keyed.sparkSession)
     ranges = [blocks] if blocks else []
     first = (
-        events.repartitionByRange(*ranges, *KEYS, "ets", "mid")
+        keyed.repartitionByRange(*ranges, *KEYS, "ets", "mid")
         .sortWithinPartitions(*_ORDER)
+        .transform(session_columns)
         .mapInArrow(_block_stage(idle_ms, break_ms), _STAGE_DDL)
         .checkpoint()
     )
@@ -335,19 +361,17 @@ def raw_summaries(events: DataFrame, idle_ms: int, break_ms: int, blocks: int |
     again = second.where("kind = 'again'").select(*KEYS).distinct()
     if not again.isEmpty():
         same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in KEYS]
-        redone = ordered_summaries(
-            events.alias("l").join(again.alias("r"), same, "left_semi"), idle_ms, break_ms
-        )
-        found = found.alias("l").join(again.alias("r"), same, "left_anti").select("l.*").unionByName(redone)
+        redone = ordered_summaries(keyed.alias("l").join(again.alias("r"), same, "left_semi"), idle_ms, break_ms)
+        found = found.alias("l").join(again.alias("r"), same, "left_anti").select("l.*").unionByName(redone.select(*first.columns))
     return found.select(*_SUMMARY_COLUMNS).dropDuplicates()
 
 
-def ordered_summaries(events: DataFrame, idle_ms: int, break_ms: int) -> DataFrame:
+def ordered_summaries(keyed: DataFrame, idle_ms: int, break_ms: int) -> DataFrame:
     """The same rows from one hash shuffle, a key in one task: for inputs known to have no hot key."""
     return (
-        events.select(*_COLUMNS)
-        .repartition(*KEYS)
+        keyed.repartition(*KEYS)
         .sortWithinPartitions(*_ORDER)
+        .transform(session_columns)
         .mapInArrow(_ordered_stage(idle_ms, break_ms), _STAGE_DDL)
     )
 
@@ -410,8 +434,8 @@ def workflow_summary(
     default_app: str = DEFAULT_APP,
 ) -> DataFrame:
     """Flat summaries of V3 events; ``idle_time`` in seconds, ``session_break_time`` in minutes."""
-    rows = session_events(events, default_app)
-    return finish_summaries(raw_summaries(rows, idle_time * 1000, session_break_time * 60_000, blocks))
+    keyed = session_keys(events, default_app)
+    return finish_summaries(raw_summaries(keyed, idle_time * 1000, session_break_time * 60_000, blocks))
 
 
 def summary_events(

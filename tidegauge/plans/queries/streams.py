@@ -61,7 +61,7 @@ def stream_sliding(spark, sf_dir):
 
 
 @query("stream_gap_sessions", f"""
-  WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w >= INTERVAL 8 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS opens
+  WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w > INTERVAL 8 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS opens
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
   s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS no FROM g)
   SELECT user_id, epoch_us(min(ts)) // 1000 AS session_start, count(*) AS n FROM s GROUP BY user_id, no
@@ -72,7 +72,7 @@ def stream_gap_sessions(spark, sf_dir):
 
 
 @query("window_gap_sessions_batch", """
-  WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w >= INTERVAL 8 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS opens
+  WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w > INTERVAL 8 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS opens
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
   s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS no FROM g)
   SELECT user_id, epoch_us(min(ts)) // 1000 AS session_start, count(*) AS n FROM s GROUP BY user_id, no""")

@@ -21,6 +21,7 @@ from tidegauge.sources.paths import storage_uri
 from tidegauge.sources.readers import read_report
 
 MAX_FILES = 100_000
+_NULL_NAME = "__HIVE_DEFAULT_PARTITION__"
 
 
 class _Folder:
@@ -105,7 +106,8 @@ def write_report(
         raise ValueError(f"{len(leaves)} files for the dimensions {dims}; choose coarser ones")
     paths = []
     for leaf in leaves:
-        values = [part.split("=", 1)[1] for part in leaf.rsplit("/", len(dims))[1:]]
+        # A folder name with a leading underscore is hidden from readers, so missing values are named "null".
+        values = [part.split("=", 1)[1].replace(_NULL_NAME, "null") for part in leaf.rsplit("/", len(dims))[1:]]
         target = "/".join([final, *values]) + f".{ext}"
         folder.settle(leaf, target)
         paths.append(target)
