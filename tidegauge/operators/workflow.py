@@ -10,8 +10,11 @@ key that holds a third of the rows is spread over a third of the blocks.
   they are. From that START on the block assumes the START found nothing it depends on, which is what an app
   START does, since it closes the app session it finds.
 * A second stage stitches the handed-on pieces of every key in order. It feeds the handed-on events and the
-  app START to the true state and checks the assumption. Where it does not hold, the key is done over from
-  its events in one ordered pass, so the result is exact either way.
+  app START to the true state and checks the assumption. Where it does not hold, the key is done over
+  without assumptions, so the result is exact either way.
+
+Events are handed on in a short form: a run of events that neither start nor end a session is added up in the
+block. The one ordered walk per key that is left sees a key's STARTs and ENDs and one entry per run.
 
 Results of the first stage are read twice and range bounds are sampled per execution, so the first stage is
 written to the shared checkpoint folder.
@@ -29,14 +32,14 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.dates import sync_ts
 from tidegauge.functions.values import DEFAULT_APP, centiseconds, flat_responses, parse_json, summary_id, to_json_text
-from tidegauge.operators.session_tree import Event, SessionTree
+from tidegauge.operators.session_tree import Event, Runs, SessionTree
 from tidegauge.operators.sessions import interaction_rate
 from tidegauge.schemas import V3_EVENT
 from tidegauge.session import ensure_checkpoint_dir
 
 KEYS = ["did", "channel", "pdata_id"]
 SERVER_EVENTS = ("LOG", "AUDIT", "SEARCH")
-_PIECE_EVENTS = 2000
+_PIECE_PARTS = 500
 _OUT_ROWS = 500
 
 _PAGES = "array<struct<id:string,type:string,env:string,ms:bigint,visits:bigint>>"
@@ -85,8 +88,9 @@ def read_events(lines: DataFrame, explode_envelope: bool = False) -> DataFrame:
     so is an envelope holding an array, unless ``explode_envelope`` asks for its elements.
     """
     value = F.col("value")
-    payload = F.coalesce(F.get_json_object(value, "$.events"), F.get_json_object(value, "$.event"), value)
-    texts = lines.select(payload.alias("value"))
+    # Only lines that name an envelope field are parsed for it.
+    wrapper = F.when(value.rlike('"events?"'), parse_json(value, "events string, event string"))
+    texts = lines.select(F.coalesce(wrapper["events"], wrapper["event"], value).alias("value"))
     if explode_envelope:
         many = F.when(F.col("value").startswith("["), F.from_json("value", "array<string>")).otherwise(F.array("value"))
         texts = texts.select(F.explode(many).alias("value"))
@@ -217,39 +221,41 @@ def _starts_app(event: Event) -> bool:
     return event.eid == "START" and (event.etype or "").lower() == "app" and not event.mode
 
 
-def _block_stage(idle_ms: int, break_ms: int):
-    """First stage: one block of the total order."""
+def _block_stage(idle_ms: int, break_ms: int, assume: bool = True):
+    """First stage: one block of the total order.
+
+    With ``assume`` off nothing is finished here: every key is handed on, with its runs added up.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId()
         out = _Writer()
-        key, tree, head, seq, first_key = None, None, [], 0, True
+        key, tree, head, seq, first_key = None, None, Runs(idle_ms, break_ms), 0, True
         for row in _rows(batches):
             row_key, event = row[:3], Event(*row[3:])
             if row_key != key:
                 if key is not None:
                     if tree is None:
-                        out.piece("events", key, block, seq, head)
+                        out.piece("events", key, block, seq, head.take())
                     else:
                         tree.flush()
                         out.summaries(key, tree.take())
                         if first_key:
                             out.piece("done", key, block, seq)
                     first_key = False
-                key, head, seq = row_key, [], 0
-                tree = None if first_key else SessionTree(idle_ms, break_ms)
+                key, seq = row_key, 0
+                tree = None if first_key or not assume else SessionTree(idle_ms, break_ms)
             if tree is None:
-                if _starts_app(event):
-                    if head:
-                        out.piece("events", key, block, seq, head)
+                if assume and _starts_app(event):
+                    out.piece("events", key, block, seq, head.take())
                     out.piece("cut", key, block, seq + 1, event)
-                    head, seq = [], seq + 2
+                    seq += 2
                     tree = SessionTree(idle_ms, break_ms)
                 else:
-                    head.append(event)
-                    if len(head) >= _PIECE_EVENTS:
-                        out.piece("events", key, block, seq, head)
-                        head, seq = [], seq + 1
+                    head.push(event)
+                    if len(head.parts) >= _PIECE_PARTS:
+                        out.piece("events", key, block, seq, head.take())
+                        seq += 1
             if tree is not None:
                 tree.feed(event)
                 if tree.done:
@@ -257,7 +263,7 @@ def _block_stage(idle_ms: int, break_ms: int):
             yield from out.batches()
         if key is not None:
             if tree is None:
-                out.piece("events", key, block, seq, head)
+                out.piece("events", key, block, seq, head.take())
             else:
                 out.piece("state", key, block, seq, tree)
         yield from out.batches(1)
@@ -285,8 +291,8 @@ def _stitch_stage(idle_ms: int, break_ms: int):
                 continue
             content = None if piece is None else pickle.loads(piece)
             if kind == "events":
-                for event in content:
-                    tree.feed(event)
+                for part in content:
+                    tree.feed_part(part)
                     if tree.done:
                         out.summaries(key, tree.take())
                         yield from out.batches()
@@ -334,35 +340,41 @@ def _ordered_stage(idle_ms: int, break_ms: int):
 # ---- operator ---------------------------------------------------------------------------------------------
 
 
-def raw_summaries(keyed: DataFrame, idle_ms: int, break_ms: int, blocks: int | None = None) -> DataFrame:
-    """Distinct summaries of keyed events, before ids, rates and nested parts are put together.
-
-    Range bounds are sampled from the input, which runs it once more; so only the key columns are computed before
-    the shuffle and everything else after it.
-    """
-    ensure_checkpoint_dir(keyed.sparkSession)
+def _blocks(keyed: DataFrame, idle_ms: int, break_ms: int, blocks: int | None, assume: bool) -> DataFrame:
     ranges = [blocks] if blocks else []
-    first = (
+    return (
         keyed.repartitionByRange(*ranges, *KEYS, "ets", "mid")
         .sortWithinPartitions(*_ORDER)
         .transform(session_columns)
-        .mapInArrow(_block_stage(idle_ms, break_ms), _STAGE_DDL)
-        .checkpoint()
+        .mapInArrow(_block_stage(idle_ms, break_ms, assume), _STAGE_DDL)
     )
-    second = (
-        first.where("kind != 'summary'")
-        .repartition(*KEYS)
+
+
+def _stitch(pieces: DataFrame, idle_ms: int, break_ms: int) -> DataFrame:
+    return (
+        pieces.repartition(*KEYS)
         .sortWithinPartitions(*KEYS, "block", "seq")
         .select(*KEYS, "kind", "piece")
         .mapInArrow(_stitch_stage(idle_ms, break_ms), _STAGE_DDL)
-        .checkpoint()
     )
+
+
+def raw_summaries(keyed: DataFrame, idle_ms: int, break_ms: int, blocks: int | None = None) -> DataFrame:
+    """Distinct summaries of keyed events, before ids, rates and nested parts are put together.
+
+    Range bounds are sampled from the input, which runs it once more; so only the key columns are computed before
+    the shuffle and everything else after it.
+    """
+    ensure_checkpoint_dir(keyed.sparkSession)
+    first = _blocks(keyed, idle_ms, break_ms, blocks, True).checkpoint()
+    second = _stitch(first.where("kind != 'summary'"), idle_ms, break_ms).checkpoint()
     found = first.where("kind = 'summary'").unionByName(second.where("kind = 'summary'"))
     again = second.where("kind = 'again'").select(*KEYS).distinct()
     if not again.isEmpty():
         same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in KEYS]
-        redone = ordered_summaries(keyed.alias("l").join(again.alias("r"), same, "left_semi"), idle_ms, break_ms)
-        found = found.alias("l").join(again.alias("r"), same, "left_anti").select("l.*").unionByName(redone.select(*first.columns))
+        rows = keyed.alias("l").join(again.alias("r"), same, "left_semi")
+        redone = _stitch(_blocks(rows, idle_ms, break_ms, blocks, False), idle_ms, break_ms)
+        found = found.alias("l").join(again.alias("r"), same, "left_anti").unionByName(redone)
     return found.select(*_SUMMARY_COLUMNS).dropDuplicates()
 
 
