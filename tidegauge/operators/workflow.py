@@ -102,34 +102,22 @@ def client_events(events: DataFrame) -> DataFrame:
     return events.where(F.col("eid").isNotNull() & ~F.col("eid").isin(*SERVER_EVENTS))
 
 
-def _item() -> Column:
-    item = F.col("edata.item")
-    answers = F.col("edata.resvalues")
-    return F.when(
-        (F.col("eid") == "ASSESS") & item.isNotNull(),
-        to_json_text(
-            F.struct(
-                item["id"].alias("itemId"),
-                F.coalesce(F.col("edata.duration"), F.lit(0.0)).alias("timeSpent"),
-                flat_responses(answers).alias("res"),
-                F.coalesce(answers, F.array().cast("array<map<string,string>>")).alias("resValues"),
-                item["mc"].alias("mc"),
-                item["mmc"].alias("mmc"),
-                F.coalesce(F.col("edata.score"), F.lit(0.0)).cast("int").alias("score"),
-                F.col("ets").cast("bigint").alias("time_stamp"),
-                item["maxscore"].alias("maxScore"),
-                F.col("edata.pass").alias("pass"),
-                item["title"].alias("qtitle"),
-                item["desc"].alias("qdesc"),
-            )
-        ),
-    )
-
-
 def session_keys(events: DataFrame, default_app: str = DEFAULT_APP) -> DataFrame:
-    """Client events with the columns they are cut and ordered by, and their nested parts as they came."""
-    context = F.col("context")
-    pdata = context["pdata"]
+    """Client events reduced to what a summary needs, for the shuffle. Answers are kept of ASSESS events only."""
+    context, edata = F.col("context"), F.col("edata")
+    pdata, item = context["pdata"], edata["item"]
+    answer = F.struct(
+        item["id"].alias("id"),
+        item["mc"].alias("mc"),
+        item["mmc"].alias("mmc"),
+        item["maxscore"].alias("maxscore"),
+        item["title"].alias("title"),
+        item["desc"].alias("desc"),
+        edata["duration"].alias("duration"),
+        edata["resvalues"].alias("resvalues"),
+        edata["score"].alias("score"),
+        edata["pass"].alias("pass"),
+    )
     return client_events(events).select(
         F.coalesce(context["did"], F.lit("")).alias("did"),
         context["channel"].alias("channel"),
@@ -137,31 +125,51 @@ def session_keys(events: DataFrame, default_app: str = DEFAULT_APP) -> DataFrame
         F.coalesce(F.col("ets").cast("bigint"), F.lit(0).cast("bigint")).alias("ets"),
         "mid",
         "eid",
-        F.col("edata.type").alias("etype"),
+        edata["type"].alias("etype"),
+        edata["mode"].alias("mode"),
+        edata["pageid"].alias("pageid"),
+        context["env"].alias("env"),
+        context["sid"].alias("sid"),
+        F.col("actor.id").alias("uid"),
         "ver",
         "tags",
-        "@timestamp",
-        "actor",
-        "context",
+        pdata["ver"].alias("pdata_ver"),
+        pdata["pid"].alias("pdata_pid"),
+        context["cdata"].alias("cdata"),
+        context["rollup"].alias("rollup"),
         "object",
-        "edata",
+        F.col("`@timestamp`").alias("sync_time"),
+        F.when((F.col("eid") == "ASSESS") & item.isNotNull(), answer).alias("answer"),
     )
 
 
 def session_columns(keyed: DataFrame) -> DataFrame:
     """Flat columns for the session state; nested parts that are only passed on travel as JSON text."""
-    context = F.col("context")
-    pdata = context["pdata"]
     head = F.struct(
-        F.coalesce(context["sid"], F.lit("")).alias("sid"),
-        F.coalesce(F.col("actor.id"), F.lit("")).alias("uid"),
-        F.col("ver"),
-        F.col("tags"),
-        F.coalesce(pdata["ver"], F.lit("1.0")).alias("pdata_ver"),
-        pdata["pid"].alias("pdata_pid"),
-        context["cdata"].alias("cdata"),
-        context["rollup"].alias("rollup"),
-        F.col("object"),
+        F.coalesce("sid", F.lit("")).alias("sid"),
+        F.coalesce("uid", F.lit("")).alias("uid"),
+        "ver",
+        "tags",
+        F.coalesce("pdata_ver", F.lit("1.0")).alias("pdata_ver"),
+        "pdata_pid",
+        "cdata",
+        "rollup",
+        "object",
+    )
+    answer = F.col("answer")
+    item = F.struct(
+        answer["id"].alias("itemId"),
+        F.coalesce(answer["duration"], F.lit(0.0)).alias("timeSpent"),
+        flat_responses(answer["resvalues"]).alias("res"),
+        F.coalesce(answer["resvalues"], F.array().cast("array<map<string,string>>")).alias("resValues"),
+        answer["mc"].alias("mc"),
+        answer["mmc"].alias("mmc"),
+        F.coalesce(answer["score"], F.lit(0.0)).cast("int").alias("score"),
+        F.col("ets").alias("time_stamp"),
+        answer["maxscore"].alias("maxScore"),
+        answer["pass"].alias("pass"),
+        answer["title"].alias("qtitle"),
+        answer["desc"].alias("qdesc"),
     )
     return keyed.select(
         *KEYS,
@@ -169,12 +177,12 @@ def session_columns(keyed: DataFrame) -> DataFrame:
         "mid",
         "eid",
         "etype",
-        F.col("edata.mode").alias("mode"),
-        F.col("edata.pageid").alias("pageid"),
-        context["env"].alias("env"),
+        "mode",
+        "pageid",
+        "env",
         to_json_text(head).alias("head"),
-        _item().alias("item"),
-        sync_ts(F.col("`@timestamp`")).alias("sync_ms"),
+        F.when(answer.isNotNull(), to_json_text(item)).alias("item"),
+        sync_ts("sync_time").alias("sync_ms"),
     )
 
 
