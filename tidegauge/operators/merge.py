@@ -83,14 +83,10 @@ def window_start(latest: Column, age: str | None, count: int) -> Column:
 
 
 def trim(report: DataFrame, rollup_col: str, pattern: str, age: str | None, count: int) -> DataFrame:
-    """Rows on or after the window's first day. The latest date is one row, joined rather than collected."""
+    """Rows on or after the window's first day. The latest date is a scalar subquery, one value to the filter."""
     day = parsed_date(rollup_col, pattern)
-    latest = report.agg(F.max(day).alias("_latest"))
-    return (
-        report.join(F.broadcast(latest))
-        .where(day >= window_start(F.col("_latest"), age, count))
-        .drop("_latest")
-    )
+    latest = report.agg(F.max(day).alias("latest"))
+    return report.where(day >= latest.select(window_start(F.col("latest"), age, count)).scalar())
 
 
 def merge_report(report: DataFrame, delta: DataFrame, config: MergeConfig) -> DataFrame:

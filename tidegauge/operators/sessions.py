@@ -37,7 +37,9 @@ def _slot_ms(break_ms: int, slot_ms: int | None) -> int:
 
 
 def _slot(slot_ms: int) -> Column:
-    return F.floor(F.col("ets") / slot_ms).cast("bigint")
+    # Never null: a join on a nullable slot would filter one side below its shuffle and keep the two sides of a
+    # self-join from sharing it.
+    return F.coalesce(F.floor(F.col("ets") / slot_ms).cast("bigint"), F.lit(-1).cast("bigint"))
 
 
 def previous_gap(df: DataFrame, keys: Sequence[str], slot_ms: int = MAX_SLOT_MS) -> DataFrame:
