@@ -59,6 +59,11 @@ def test_sort_takes_nulls_as_empty_text(rows):
     assert O.sort_events(rows, None) is rows
 
 
+def test_sort_with_columns_that_have_no_order(spark):
+    df = spark.createDataFrame([("b", [{"x": "1"}], (1,)), ("a", [{"y": "2"}], (2,))], "k string, m array<map<string,string>>, s struct<n:int>")
+    assert [r.k for r in O.sort_events(df, Sort("k")).collect()] == ["a", "b"]
+
+
 def test_array_elements_by_path(spark):
     df = spark.createDataFrame([([("x", 1), ("y", 2), (None, 3)],)], "a array<struct<k:string,n:int>>")
     element = df.schema["a"].dataType.elementType

@@ -66,6 +66,7 @@ def test_dispatch(spark, tmp_path):
     assert K.dispatch(df, file) == 5
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect())[0] == '{"id":0}'
     assert K.dispatch_all(df, [Dispatcher("console", {"printEvent": False}), file]) == 5
+    assert K.dispatch(spark.range(500), Dispatcher("console", {"rows": 1})) == 500
     assert K.dispatch_storage(df, StorageConfig("local", None, str(tmp_path / "stored"))) == 5
     assert K.to_lines(spark.createDataFrame([("raw",)], "t string")).collect()[0].value == "raw"
     sizes = R.file_sizes(spark, str(tmp_path / "out"))
@@ -141,3 +142,14 @@ def test_config_from_json():
     })
     assert config.search.queries == (Query(bucket="b", prefix="p", end_date="2020-03-04", delta=0, partitions=(1,)),)
     assert config.sort.order == "desc" and config.output[0].to == "console" and config.model_params == {"idleTime": 5}
+
+
+def test_cluster_needs_a_shared_checkpoint_folder():
+    from types import SimpleNamespace
+
+    from tidegauge.session import ensure_checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=context, conf=conf))

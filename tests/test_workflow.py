@@ -170,3 +170,9 @@ def test_seen_again_keys_in_the_plan(spark):
     )
     counts = {r.kind: r["count"] for r in kinds}
     assert counts["cut"] >= 7 and counts["state"] == 8 and counts["summary"] > 0
+
+
+def test_one_shuffle_form_agrees(spark):
+    events = W.read_events(spark.createDataFrame([(x,) for x in random_lines(5, ["a", "b", "c"], 300)], "value string"))
+    spread, plain = W.workflow_summary(events), W.workflow_summary(events, spread_keys=False)
+    assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))

@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidegauge.functions.dates import INDIA
+from tidegauge.operators.filters import orderable
 
 
 def collect_events(df: DataFrame, keys: Sequence[str], per_list: int = 1000) -> DataFrame:
@@ -19,11 +19,11 @@ def collect_events(df: DataFrame, keys: Sequence[str], per_list: int = 1000) ->
     partition, so a task that runs again cuts the same lists.
     """
     keys = list(keys)
-    orderable = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    order = [F.col(f"`{f.name}`") for f in df.schema if orderable(f.dataType)]
     piece = F.floor(F.monotonically_increasing_id() / per_list)
     body = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     return (
-        df.sortWithinPartitions(*keys, *orderable)
+        df.sortWithinPartitions(*keys, *order)
         .select(*keys, body.alias("event"), piece.alias("piece"))
         .groupBy(*keys, "piece")
         .agg(F.collect_list("event").alias("events"))

@@ -177,7 +177,12 @@ def filter_array(array: Column, element_type: T.DataType, operator: str, value:
     return F.filter(array, test)
 
 
-def _orderable(data_type: T.DataType) -> bool:
+def orderable(data_type: T.DataType) -> bool:
+    """Whether rows can be sorted by a column of this type."""
+    if isinstance(data_type, T.ArrayType):
+        return orderable(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return all(orderable(f.dataType) for f in data_type)
     return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
@@ -191,7 +196,7 @@ def sort_events(df: DataFrame, sort: Sort | None) -> DataFrame:
         return df
     key = F.coalesce(field(df, sort.name).cast("string"), F.lit(""))
     key = key.desc() if (sort.order or "asc").lower() == "desc" else key.asc()
-    rest = [F.col(f"`{f.name}`") for f in df.schema if f.name != sort.name and _orderable(f.dataType)]
+    rest = [F.col(f"`{f.name}`") for f in df.schema if f.name != sort.name and orderable(f.dataType)]
     return df.orderBy(key, *rest)
 
 

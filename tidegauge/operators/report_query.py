@@ -177,10 +177,16 @@ def run_query(
         dims = [F.date_trunc(_TRUNC[grain], time).alias("date"), *dims]
     specs = query.get("aggregations") or [_DEFAULT_AGGREGATION]
     result = rows.groupBy(*dims).agg(*[aggregation(df, spec, custom) for spec in specs])
+    ordering = None
     for spec in query.get("postAggregation") or ():
         result = post_aggregation(result, spec)
+        ordering = (spec["name"], spec["ordering"]) if spec.get("ordering") else ordering
     if query.get("having"):
         result = _having(result, query["having"])
+    if ordering:
+        name, direction = ordering
+        first = F.desc(name) if direction.lower().startswith("desc") else F.asc(name)
+        result = result.orderBy(first, *[F.col(c) for c in result.columns if c != name])
     descending = str(query.get("descending", "false")).lower() == "true"
     if kind == "timeseries" and grain != "all":
         result = result.orderBy(F.desc("date") if descending else F.asc("date"))

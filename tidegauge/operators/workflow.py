@@ -451,11 +451,19 @@ def finish_summaries(raw: DataFrame) -> DataFrame:
 
 def workflow_summary(
     events: DataFrame, idle_time: int = 600, session_break_time: int = 30, blocks: int | None = None,
-    default_app: str = DEFAULT_APP,
+    default_app: str = DEFAULT_APP, spread_keys: bool = True,
 ) -> DataFrame:
-    """Flat summaries of V3 events; ``idle_time`` in seconds, ``session_break_time`` in minutes."""
+    """Flat summaries of V3 events; ``idle_time`` in seconds, ``session_break_time`` in minutes.
+
+    ``spread_keys=False`` keeps every key in one task and needs no sampling pass: a lazy plan with one shuffle for
+    inputs whose keys are known to be small.
+    """
     keyed = session_keys(events, default_app)
-    return finish_summaries(raw_summaries(keyed, idle_time * 1000, session_break_time * 60_000, blocks))
+    idle_ms, break_ms = idle_time * 1000, session_break_time * 60_000
+    if spread_keys:
+        return finish_summaries(raw_summaries(keyed, idle_ms, break_ms, blocks))
+    raw = ordered_summaries(keyed, idle_ms, break_ms).select(*_SUMMARY_COLUMNS).dropDuplicates()
+    return finish_summaries(raw)
 
 
 def summary_events(

@@ -20,8 +20,8 @@ class Model:
     """Three DataFrame steps chained in order; a step that is not overridden passes its input on."""
 
     name = "Model"
-    # Whether the model runs its input more than once (a sampled range partition does), so that a count taken
-    # while the input is read would count it more than once.
+    # Whether the model reads its input more than once or first in part (a sampled range partition does), so that
+    # a count taken while the input is read would be wrong.
     rereads = False
 
     def prepare(self, data: DataFrame, params: Params) -> DataFrame:

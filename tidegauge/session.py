@@ -13,6 +13,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Merge session windows before the shuffle, so a busy key sends sessions instead of events.
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

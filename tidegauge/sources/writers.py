@@ -32,9 +32,10 @@ def _needs(params: Mapping[str, Any], *names: str) -> None:
 
 
 def _console(lines: DataFrame, params: Mapping[str, Any]) -> None:
+    # The full pass comes first: rows are counted in the first action, and printing reads only a few.
+    lines.write.format("noop").mode("overwrite").save()
     if params.get("printEvent", True):
         lines.show(int(params.get("rows", 20)), truncate=False)
-    lines.write.format("noop").mode("overwrite").save()
 
 
 def _text(lines: DataFrame, path: str, params: Mapping[str, Any]) -> None:
