@@ -173,3 +173,55 @@ def wf_app_sessions(spark, sf_dir):
         F.aggregate("events_summary", F.lit(0).cast("bigint"), lambda n, e: n + e["count"]).alias("events_count"),
         "interact_events_count", "interact_events_per_min", "mid",
     )
+
+
+@query("wf_nested_sessions", f"""
+  WITH e AS (SELECT event_id, ets, k, CASE WHEN k % 3 = 0 THEN 'app' ELSE 'content' END AS kind FROM ({TELEMETRY_SQL}) WHERE k > 0),
+  s AS (SELECT event_id, ets, k, kind AS type, CASE kind WHEN 'app' THEN '' ELSE 'play' END AS mode, 1 AS starts FROM e
+    UNION ALL SELECT event_id, ets, k, 'app', '', 2 FROM e WHERE kind = 'content')
+  SELECT 'did-' || CAST(event_id AS VARCHAR) AS did, type, mode, ets AS start_time, ets + 2000 * k AS end_time, 2.0 * k AS time_spent,
+    1 AS interact_events_count, CASE WHEN k < 30 THEN 1.0 ELSE round(30.0 / k, 2) END AS interact_events_per_min, starts,
+    upper(md5('ME_WORKFLOW_SUMMARY|' || CAST(event_id AS VARCHAR) || type || mode || '|' || CAST(ets AS VARCHAR) || '|'
+      || CAST(ets + 2000 * k AS VARCHAR) || '|SESSION|NA|app.test|channel')) AS mid
+  FROM s""")
+def wf_nested_sessions(spark, sf_dir):
+    """Every event becomes a device with a session of START, click after k seconds and END after as many again.
+
+    A content session also gets an app session around it, which counts its START twice; a session of length zero
+    leaves no summary.
+    """
+    df = telemetry(spark, sf_dir).select("event_id", "ets", "k", F.explode(F.array(*[F.lit(i) for i in range(3)])).alias("step"))
+    eid = F.element_at(F.array(F.lit("START"), F.lit("INTERACT"), F.lit("END")), F.col("step") + 1)
+    kind = F.when(F.col("k") % 3 == 0, "app").otherwise("content")
+    user, clicks = F.col("event_id").cast("string"), F.col("step") == 1
+    null = F.lit(None)
+    events = df.select(
+        eid.alias("eid"),
+        (F.col("ets") + F.col("step") * F.col("k") * 1000).cast("double").alias("ets"),
+        F.lit("2024-01-01T00:00:00.000Z").alias("@timestamp"),
+        F.lit("3.0").alias("ver"),
+        F.concat(user, F.lit("-"), F.col("step").cast("string")).alias("mid"),
+        F.struct(user.alias("id"), F.lit("User").alias("type")).alias("actor"),
+        F.struct(
+            F.lit("channel").alias("channel"),
+            F.struct(F.lit("app.test").alias("id"), F.lit("1").alias("ver"), null.cast("string").alias("pid")).alias("pdata"),
+            F.lit("env").alias("env"), F.lit("sid").alias("sid"), F.concat(F.lit("did-"), user).alias("did"),
+            null.cast("array<struct<id:string,type:string>>").alias("cdata"),
+            null.cast("struct<l1:string,l2:string,l3:string,l4:string>").alias("rollup"),
+        ).alias("context"),
+        null.cast("struct<id:string,type:string,ver:string>").alias("object"),
+        F.struct(
+            F.when(clicks, "click").otherwise(kind).alias("type"),
+            F.when(~clicks & (kind == "content"), "play").alias("mode"),
+            null.cast("double").alias("duration"), null.cast("string").alias("pageid"),
+            null.cast("struct<id:string,maxscore:double,mmc:array<string>,mc:array<string>,title:string,desc:string>").alias("item"),
+            null.cast("array<map<string,string>>").alias("resvalues"), null.cast("string").alias("pass"),
+            null.cast("double").alias("score"),
+        ).alias("edata"),
+        null.cast("array<string>").alias("tags"),
+    )
+    starts = F.filter("events_summary", lambda e: e["id"] == "START")[0]["count"]
+    return W.workflow_summary(events).select(
+        "did", "type", "mode", "start_time", "end_time", "time_spent", "interact_events_count", "interact_events_per_min",
+        starts.alias("starts"), "mid",
+    )
