@@ -124,10 +124,6 @@ _STATE = "tree binary, waiting binary"
 _FIELDS = list(Event._fields)
 
 
-def _event(row: Event) -> Event:
-    return row._replace(ets=int(row.ets), sync_ms=int(row.sync_ms or 0))
-
-
 def _step(idle_ms: int, break_ms: int):
     """One call per key: new events wait, events the watermark has passed are fed, quiet keys are closed."""
 
@@ -138,8 +134,7 @@ def _step(idle_ms: int, break_ms: int):
             tree, waiting = pickle.loads(stored), pickle.loads(queue)
         if not state.hasTimedOut:
             for frame in frames:
-                rows = frame[_FIELDS].astype(object).where(frame[_FIELDS].notna(), None)
-                waiting += [_event(Event._make(row)) for row in rows.itertuples(index=False)]
+                waiting += map(Event._make, zip(*(frame[name].tolist() for name in _FIELDS)))
             waiting.sort(key=lambda e: (e.ets, e.mid or "", e.eid or "", e.etype or ""))
         mark = state.getCurrentWatermarkMs()
         fed = 0
