@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -47,3 +48,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="tidegauge-checkpoint-", dir=os.environ.get("TMPDIR", "/tmp"))
     context.setCheckpointDir(configured)
     return context.getCheckpointDir()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors, once per application, so that they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidegauge-"), "tidegauge.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("tidegauge", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
