@@ -112,3 +112,10 @@ def pack(
             )
 
     return dealt.mapInArrow(run, SCHEMA).unionByName(whole).unionByName(none)
+
+
+def pack_words(docs: DataFrame) -> DataFrame:
+    """``pack`` with words as tokens, and texts that differ in case and white space only as one duplicate cluster."""
+    plain = F.trim(F.regexp_replace(F.lower("text"), r"\s+", " "))
+    words = F.when(F.length(plain) > 0, F.length(plain) - F.length(F.replace(plain, F.lit(" "))) + 1)
+    return pack(docs, words, F.xxhash64(plain))
