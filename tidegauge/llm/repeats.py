@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.native import broadcast_if_small
 from tidegauge.llm.scratch import stored
 from tidegauge.llm.text import pieces, utf8
 
@@ -84,7 +85,14 @@ def by_document(hits: DataFrame, *fields: str) -> DataFrame:
 
 
 def with_hits(docs: DataFrame, hits: DataFrame, how: str) -> DataFrame:
-    """doc_id, text, hits; used twice in a plan, the documents' shuffle is shared."""
+    """doc_id, text, hits of all documents (``how`` is left) or of those with hits (inner).
+
+    Where the ids with hits are few enough, the texts of all others stay out of the shuffle.
+    """
+    if how == "inner":
+        hits = stored(hits)
+        ids = hits.select(F.col("hit_id").alias("few_id"))
+        docs = docs.join(broadcast_if_small(ids), F.col("doc_id").eqNullSafe(F.col("few_id")), "left_semi")
     return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")), how).select("doc_id", "text", "hits")
 
 
