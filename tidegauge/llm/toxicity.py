@@ -1,7 +1,7 @@
 """Toxicity by two class-conditional Kneser-Ney models over the bytes of words.
 
 A word is padded with blanks and read as 5-grams of bytes (A-Z count as a-z), the last given the four before it. Each
-class has its own counts of these, absolutely discounted; what the discount frees goes to one backoff distribution that
+class has its own counts of these (in how many documents each occurs), absolutely discounted; what the discount frees goes to one backoff distribution that
 both share, the Kneser-Ney continuation counts of all documents, labelled or not. A rare expression therefore has nearly
 the same probability in both models, and a common one differs only as far as the classes do.
 
@@ -117,8 +117,8 @@ def _counts(docs: DataFrame, ids: dict[int, np.ndarray]) -> DataFrame:
             for toxic in (0, 1):
                 at = np.flatnonzero(np.isin(doc_ids, ids[toxic]))
                 if len(at):
-                    own = np.concatenate([np.arange(words.first[i], words.first[i + 1]) for i in at])
-                    codes, _ = grams(data, words.start[own], words.stop[own])
+                    each = [slice(words.first[i], words.first[i + 1]) for i in at]
+                    codes = np.concatenate([np.unique(grams(data, words.start[own], words.stop[own])[0]) for own in each])
                     codes, n = np.unique(codes, return_counts=True)
                     zero = np.zeros(len(n), np.int64)
                     yield rows(codes, n * toxic + zero, n * (1 - toxic) + zero)
@@ -232,10 +232,9 @@ def _figures(docs: DataFrame, model: tuple) -> DataFrame:
 LIMITS = (("mean", -0.5, 0.5, 10.0), ("best", -1.0, 3.0, 1.0), ("second", -1.0, 3.0, 1.0))
 
 
-def _fit(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 0.02) -> np.ndarray:
-    """Weights of a logistic function (the first is the constant), classes weighed alike, by Newton steps."""
+def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 60, ridge: float = 0.02) -> np.ndarray:
+    """Weights of a logistic function (the first is the constant), by Newton steps."""
     x = np.column_stack([np.ones(len(x)), x])
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
     w = np.zeros(x.shape[1])
     penalty = ridge * np.diag([0.0] + [1.0] * (x.shape[1] - 1))
     for _ in range(steps):
@@ -254,6 +253,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
     held_out = F.coalesce(fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out")
     model = _model(stored(_counts(docs, _sampled(labels, [0, 1], sample))))
     ids = _sampled(labels, [3], sample)
+    fitted = labels.filter(fold(F.col("doc_id")) == 3).select("doc_id", "toxic").distinct().groupBy("toxic").count().collect()
+    sizes = {t: n for t, n in fitted if t in (0, 1)}
     if model is None or not len(ids[0]) or not len(ids[1]):
         return docs.select("doc_id", held_out, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     figures = stored(_figures(docs, model))
@@ -264,7 +265,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
     if rows.toxic.nunique() < 2:
         return docs.select("doc_id", held_out, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     x = np.column_stack([rows[c].clip(lo, hi) * scale for c, lo, hi, scale in LIMITS])
-    weights = _fit(x, rows.toxic.to_numpy(float))
+    y = rows.toxic.to_numpy(float)
+    # A class cut to its sample stands for all its labels.
+    share = {t: n / max(1, len(ids[t])) for t, n in sizes.items()}
+    weights = _fit(x, y, np.where(y == 1, share[1], share[0]))
     z = F.lit(float(weights[0]))
     for w, (c, lo, hi, scale) in zip(weights[1:], LIMITS, strict=True):
         z = z + F.lit(float(w * scale)) * F.least(F.greatest(F.col(c), F.lit(lo)), F.lit(hi))
