@@ -157,18 +157,15 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
 
     ``step`` is the window's place in its region, -1 for all of them.
     """
-    rows = repeats.anchors(docs, find).select("doc_id", "key", "region", "times")
-    keys = repeats.shared_keys(rows, F.col("lo") < F.col("hi"))
-    one = (
-        rows.join(keys.filter(~F.col("several")), F.col("key") == F.col("k"))
-        .filter(F.col("doc_id") > F.col("lo")).select("doc_id", "key", "region", F.lit(-1).cast("long").alias("step"))
-    )
-    several = rows.join(keys.filter("several"), F.col("key") == F.col("k"), "left_semi")
+    rows = repeats.shared_rows(repeats.anchors(docs, find), F.col("lo") < F.col("hi"))
+    whole_region = F.lit(-1).cast("long").alias("step")
+    one = rows.filter(~F.col("several") & (F.col("doc_id") > F.col("lo"))).select("doc_id", "key", "region", whole_region)
+    several = rows.filter("several").select("doc_id", "key", "region")
     smallest = several.groupBy(F.col("key").alias("k"), F.col("region").alias("r")).agg(F.min("doc_id").alias("lo"))
     same = (F.col("key") == F.col("k")) & (F.col("region") == F.col("r"))
     whole = (
         several.join(smallest, same).filter(F.col("doc_id") > F.col("lo"))
-        .select("doc_id", "key", "region", F.lit(-1).cast("long").alias("step"))
+        .select("doc_id", "key", "region", whole_region)
     )
     asked = smallest.filter("lo is not null").select(
         F.col("lo").alias("doc_id"), F.col("k").alias("key"), F.col("r").alias("region")

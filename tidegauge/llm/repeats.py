@@ -96,9 +96,12 @@ def with_hits(docs: DataFrame, hits: DataFrame, how: str) -> DataFrame:
     return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")), how).select("doc_id", "text", "hits")
 
 
-def shared_keys(rows: DataFrame, repeated: Column) -> DataFrame:
-    """Keys that may repeat, with whether they have several regions; ``repeated`` is over lo, hi (ids) and total."""
-    return (
+def shared_rows(rows: DataFrame, repeated: Column) -> DataFrame:
+    """The rows whose key may repeat, with the key's lowest id and whether it has several regions.
+
+    ``repeated`` is over lo, hi (ids) and total. All later joins are on this part of the rows.
+    """
+    keys = (
         rows.groupBy(F.col("key").alias("k"))
         .agg(
             F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.sum("times").alias("total"),
@@ -106,6 +109,7 @@ def shared_keys(rows: DataFrame, repeated: Column) -> DataFrame:
         )
         .filter(repeated)
     )
+    return stored(rows.join(keys, F.col("key") == F.col("k")).select("doc_id", "key", "region", "times", "lo", "several"))
 
 
 class HitList:

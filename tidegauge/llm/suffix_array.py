@@ -222,14 +222,10 @@ def _windows(asked: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, hits): spans inside regions that occur again; ``stop`` is -1 for a whole region."""
-    rows = repeats.anchors(docs, find)
+    rows = repeats.shared_rows(repeats.anchors(docs, find), F.col("total") > 1)
     whole_span = (F.lit(0).cast("long").alias("start"), F.lit(-1).cast("long").alias("stop"))
-    keys = repeats.shared_keys(rows, F.col("total") > 1)
-    one = (
-        rows.join(keys.filter(~F.col("several")), F.col("key") == F.col("k"))
-        .select("doc_id", "key", "region", *whole_span)
-    )
-    several = rows.join(keys.filter("several"), F.col("key") == F.col("k"), "left_semi")
+    one = rows.filter(~F.col("several")).select("doc_id", "key", "region", *whole_span)
+    several = rows.filter("several").select("doc_id", "key", "region", "times")
     members = stored(
         several.groupBy(F.col("key").alias("k"), F.col("region").alias("r"))
         .agg(F.min("doc_id").alias("member"), F.sum("times").alias("total"))
