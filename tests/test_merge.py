@@ -55,14 +55,16 @@ def test_spec_columns_and_numbers(spark, report):
     assert M.rollup_spec(MergeConfig(1)) == ("Date", "yyyy-MM-dd")
     assert M.output_columns(report, MergeConfig(1, column_order=("Scans", "Gone", "State"))) == ["Date", "Scans", "State"]
     assert M.output_columns(report, MergeConfig(1, column_order=("Scans",), date_required=False)) == ["Scans"]
-    cases = {"1.23E2": "123", "1007.0": "1007.0", None: "0", "1.23E5": "123000", "-1.5e-3": "-0.0015", "12": "12", "1.2345E2": "123.45"}
+    cases = {"1.23E2": "123", "1007.0": "1007.0", None: "0", "1.23E5": "123000", "-1.5e-3": "-0.0015", "12": "12", "1.2345E2": "123.45",
+             "1.5E-20": "0.000000000000000000015", "1.23456789012345678901234567890E25": "12345678901234567890123456.7890", "E5": "E5",
+             "0E3": "0", "-.5e1": "-5", "12E9999": "12E9999", "0012E0": "12"}
     df = spark.createDataFrame([(k, v) for k, v in cases.items()], "raw string, want string")
     assert all(r.p == r.want for r in df.select("want", M.plain_number(F.col("raw")).alias("p")).collect())
 
 
 def test_documents_hold_every_row_once(spark, report):
     docs = M.report_documents(report.repartition(3), ["Date", "Scans"], ["Scans"], rows_per_document=2).collect()
-    assert all(d["keys"] == ["Date", "Scans"] and len(d.tableData) == len(d.data) <= 2 for d in docs)
+    assert all(d["keys"] == ["Date", "Scans"] and len(d.tableData) == len(d.data) == 2 for d in docs)
     assert sorted(r["Date"] for d in docs for r in d.data) == sorted(DAYS)
     (single,) = M.report_documents(report.coalesce(1)).collect()
     assert len(single.data) == 10
@@ -75,7 +77,7 @@ def test_merge_files(spark, tmp_path):
     (folder / "delta.csv").write_text("State,Scans,Date\nc,1.5E1,2020-11-06\nc,1.5E1,2020-11-06\n")
     config = MergeConfig(1, ("Date",), "DAY", 30, "Date||%d-%m-%Y", column_order=("State", "Scans"), metric_labels=("Scans",))
     args = (spark, config, str(folder / "scans.csv"), str(folder / "delta.csv"), "2020-11-07")
-    merge_report_files(*args)
+    merge_report_files(*args, one_file=True)
     lines = (folder / "scans.csv").read_text().split()
     assert lines == ["Date,State,Scans", "05-11-2020,a,1", "06-11-2020,c,1.5E1"]
     (doc,) = spark.read.json(str(folder / "scans.json")).collect()
@@ -83,5 +85,11 @@ def test_merge_files(spark, tmp_path):
     backup = read_report(spark, str(folder / "report-backups" / "scans-2020-11-07.csv"))
     assert backup.count() == 3
     (folder / "scans.csv").unlink()
-    merge_report_files(*args)
+    merge_report_files(*args, one_file=True)
     assert (folder / "scans.csv").read_text().split() == ["Date,State,Scans", "06-11-2020,c,1.5E1"]
+
+
+def test_rows_without_a_date_stay(spark):
+    report = spark.createDataFrame([("a", "01-01-2020"), ("b", None), ("c", "soon"), ("d", "01-02-2020")], "State string, Date string")
+    for age, left in (("NONE", "abcd"), ("DAY", "bcd")):
+        assert "".join(sorted(r.State for r in M.trim(report, "Date", "dd-MM-yyyy", age, 3).collect())) == left

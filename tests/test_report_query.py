@@ -51,6 +51,10 @@ def test_lists_stay_bounded_and_whole(spark):
     df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
     out = A.collect_events(df, ["k"], per_list=10).collect()
     assert max(r.events_count for r in out) <= 10
+    few = A.collect_events(df.repartition(7), ["k"], per_list=10, per_sort=100).collect()
+    assert sorted(e.id for r in few for e in r.events) == list(range(1000))
+    whole = [r for r in A.collect_events(df.repartition(9), ["k"], per_list=1000).collect() if r.k == "hot"]
+    assert [[e.id for e in r.events] for r in whole] == [list(range(0, 1000, 3))]
     assert sorted(e.id for r in out for e in r.events) == list(range(1000))
 
 

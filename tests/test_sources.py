@@ -50,10 +50,13 @@ def test_counted_scan(spark, lines):
 def test_object_paths():
     q = Query(bucket="b", prefix="raw/", start_date="2020-02-28", end_date="2020-03-01")
     assert P.object_paths(q) == ["s3a://b/raw/2020-02-28*", "s3a://b/raw/2020-02-29*", "s3a://b/raw/2020-03-01*"]
-    assert P.object_paths(Query(end_date="2020-03-01", delta=1)) == [
-        "s3a://telemetry-data-store/raw/2020-02-29*", "s3a://telemetry-data-store/raw/2020-03-01*"]
+    assert P.object_paths(Query(bucket="b", end_date="2020-03-01", delta=1)) == ["s3a://b/raw/2020-02-29*", "s3a://b/raw/2020-03-01*"]
+    with pytest.raises(ValueError, match="bucket"):
+        P.object_paths(Query(end_date="2020-03-01"))
+    with pytest.raises(ValueError, match="account"):
+        P.storage_uri("azure", "c", "p/x")
     assert P.object_paths(Query(bucket="b", folder="true", end_date="2020-03-01", date_pattern="yyyy/MM/dd")) == ["s3a://b/raw/2020/03/01/*"]
-    assert P.object_paths(Query(start_date="2020-03-02", end_date="2020-03-01")) == []
+    assert P.object_paths(Query(bucket="b", start_date="2020-03-02", end_date="2020-03-01")) == []
     assert P.storage_uri("azure", "c", "p/x", "acc") == "wasb://c@acc.blob.core.windows.net/p/x"
     assert (P.storage_uri("gcloud", "c", "p"), P.storage_uri("oci", "c", "p"), P.storage_uri("local", None, "p")) == ("gs://c/p", "s3a://c/p", "p")
     with pytest.raises(ValueError):
@@ -102,28 +105,41 @@ REPORT = [("env1", 22.1, 3), ("env2", 20.1, 3), ("env1", 32.1, 4), (None, 1.0, 1
 
 
 def test_report_by_dimension(spark, tmp_path):
-    df = spark.createDataFrame(REPORT, "env string, time_spent double, n bigint")
+    df = spark.createDataFrame([*REPORT, ("null", 2.0, 9)], "env string, time_spent double, n bigint")
     storage = StorageConfig("local", None, str(tmp_path))
-    paths = write_report(df, storage, "csv", "by", {"header": "true"}, dims=["env"], column_order=["n", "time_spent"], order=[F.col("n")])
-    assert sorted(p.rsplit("/", 1)[-1] for p in paths) == ["env1.csv", "env2.csv", "null.csv"]
+    args = (df, storage, "csv")
+    paths = write_report(*args, "by", {"header": "true"}, dims=["env"], column_order=["n", "time_spent"], order=[F.col("n")], one_file=True)
+    assert sorted(p.rsplit("/", 1)[-1] for p in paths) == ["%6Eull.csv", "env1.csv", "env2.csv", "null.csv"]
     assert (tmp_path / "by" / "env1.csv").read_text().split() == ["n,time_spent", "3,22.1", "4,32.1"]
-    assert not (tmp_path / "_tmp").exists()
-    # A value that needs several files stays a folder under the report's name.
-    many = write_report(df, storage, "csv", "split", {"header": "true"}, dims=["env"], rows_per_file=1)
-    assert (tmp_path / "split" / "env1.csv").is_dir() and spark.read.option("header", True).csv(many).count() == 4
+    assert (tmp_path / "by" / "null.csv").read_text().split() == ["n,time_spent", "1,1.0"]
+    # Without the flag every value is a folder of parts, whatever its size.
+    many = write_report(*args, "split", {"header": "true"}, dims=["env"])
+    assert (tmp_path / "split" / "env1.csv").is_dir() and spark.read.option("header", True).csv(many).count() == 5
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["by", "split"]
 
 
 def test_whole_report(spark, tmp_path):
     df = spark.createDataFrame(REPORT, "env string, time_spent double, n bigint").repartition(3)
     storage = StorageConfig("local", None, str(tmp_path))
-    (path,) = write_report(df, storage, "csv", "all", {"header": "true"}, column_order=["n", "env"], order=[F.col("n"), F.col("env")])
-    assert (tmp_path / "all.csv").read_text().split() == ["n,env", '1,', "3,env1", "3,env2", "4,env1"] or path
-    write_report(df.limit(1), storage, "csv", "all", {"header": "true"})
+    order = [F.col("n"), F.col("env")]
+    write_report(df, storage, "csv", "all", {"header": "true"}, column_order=["n", "env"], order=order, one_file=True)
+    assert (tmp_path / "all.csv").read_text().split() == ["n,env", "1,", "3,env1", "3,env2", "4,env1"]
+    write_report(df.limit(1), storage, "csv", "all", {"header": "true"}, one_file=True)
     assert len((tmp_path / "all.csv").read_text().split()) == 2
-    (zipped,) = write_report(df, storage, "json", "all", compress=True)
+    (zipped,) = write_report(df, storage, "json", "all", compress=True, one_file=True)
     assert zipped.endswith("all.json.gz") and len(gzip.open(zipped).read().split()) == 4
-    (folder,) = write_report(df, storage, "csv", "big", {"header": "true"}, rows_per_file=2)
-    assert (tmp_path / "big.csv").is_dir() and spark.read.option("header", True).csv(folder).count() == 4
+    (folder,) = write_report(df, storage, "csv", "all", {"header": "true"})
+    assert (tmp_path / "all.csv").is_dir() and spark.read.option("header", True).csv(folder).count() == 4
+
+
+def test_scan_over_days_without_files(spark, tmp_path, monkeypatch):
+    for day in ("2020-01-01", "2020-01-03"):
+        (tmp_path / "raw").mkdir(exist_ok=True)
+        (tmp_path / "raw" / f"{day}-0.txt").write_text(f"{day}\n")
+    monkeypatch.setattr(P, "storage_uri", lambda store, bucket, path, account=None: f"{bucket}/{path}")
+    query = Query(bucket=str(tmp_path), start_date="2019-12-31", end_date="2020-01-04")
+    assert [r.value for r in R.fetch_lines(spark, Fetcher("aws", query)).collect()] == ["2020-01-01", "2020-01-03"]
+    assert R.fetch_lines(spark, Fetcher("s3", Query(bucket=str(tmp_path), end_date="2021-01-01", delta=0))).count() == 0
 
 
 def test_report_scan(spark, tmp_path):

@@ -3,32 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.dates import INDIA
 from tidegauge.operators.filters import orderable
 
 
-def collect_events(df: DataFrame, keys: Sequence[str], per_list: int = 1000) -> DataFrame:
-    """Events of a key as lists of structs (column ``events``).
+def collect_events(df: DataFrame, keys: Sequence[str], per_list: int = 1000, per_sort: int = 100_000) -> DataFrame:
+    """Events of a key as lists of structs (column ``events``), each with its number of events.
 
-    A key may own any share of the rows, so its events come as several lists of at most ``per_list``, each with
-    its number of events; together they hold every event once. Rows are numbered after a sort inside their
-    partition, so a task that runs again cuts the same lists.
+    A list holds at most ``per_list`` events of its key in the order of their columns; only the last list of a key is
+    shorter. A key with more than ``per_sort`` events is first dealt by a hash of its events to shares of about that
+    size, each with lists of its own, so no task sorts a whole hot key. The lists depend on the data alone.
     """
     keys = list(keys)
     order = [F.col(f"`{f.name}`") for f in df.schema if orderable(f.dataType)]
-    piece = F.floor(F.monotonically_increasing_id() / per_list)
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_of_key")).where(F.col("n_of_key") > per_sort)
+    large = large.select(*[F.col(k).alias(f"large_{k}") for k in keys], F.ceil(F.col("n_of_key") / per_sort).alias("shares"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"large_{k}")) for k in keys])
     body = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    return (
-        df.sortWithinPartitions(*keys, *order)
-        .select(*keys, body.alias("event"), piece.alias("piece"))
-        .groupBy(*keys, "piece")
-        .agg(F.collect_list("event").alias("events"))
-        .select(*keys, "events", F.size("events").alias("events_count"))
+    share = F.pmod(F.xxhash64(*order), F.coalesce("shares", F.lit(1)))
+    ranked = (
+        df.join(large, same, "left").withColumn("share", share)
+        .withColumn("rank", F.row_number().over(Window.partitionBy(*keys, "share").orderBy(*order)))
+        .select(*keys, "share", F.floor((F.col("rank") - 1) / per_list).alias("piece"), F.struct("rank", body.alias("event")).alias("ranked"))
     )
+    lists = ranked.groupBy(*keys, "share", "piece").agg(F.collect_list("ranked").alias("ranked"))
+    events = F.transform(F.array_sort("ranked", lambda a, b: a["rank"] - b["rank"]), lambda r: r["event"])
+    return lists.select(*keys, events.alias("events"), F.size("ranked").alias("events_count"))
 
 
 def content_rating(df: DataFrame, content: str, rating: str, condition: Column) -> DataFrame:

@@ -8,6 +8,7 @@ they still reach the file scan; only operators whose null rule differs from SQL
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from decimal import ROUND_CEILING, ROUND_FLOOR, Context, Decimal
 from functools import reduce
 from typing import Any
 
@@ -27,7 +28,7 @@ FIELD_ALIASES = {
     "itemId": "edata.eks.qid",
 }
 
-_NUMBERS = (T.LongType, T.IntegerType, T.DoubleType)
+_NUMBERS = (T.NumericType,)
 _DATES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -44,10 +45,39 @@ def _type_of(df: DataFrame, column: Column) -> T.DataType:
     return df.select(column.alias("c")).schema["c"].dataType
 
 
+def _number(value: Any) -> Decimal | None:
+    try:
+        number = Decimal(int(value)) if isinstance(value, bool) else Decimal(str(value).strip())
+    except ArithmeticError:
+        return None
+    return number if number.is_finite() else None
+
+
+def _scale(data_type: T.DataType) -> int | None:
+    """Decimals that values of an exact number type have."""
+    if isinstance(data_type, T.IntegralType):
+        return 0
+    return data_type.scale if isinstance(data_type, T.DecimalType) else None
+
+
+def _exact(number: Decimal, scale: int) -> Column:
+    """A number as it is; beyond what a decimal holds, the nearest double."""
+    digits = len(number.as_tuple().digits) + max(0, number.as_tuple().exponent)
+    if digits > 38 or -number.as_tuple().exponent > 38:
+        return F.lit(float(number))
+    return F.lit(f"{number:f}").cast(T.DecimalType(38, max(scale, -number.as_tuple().exponent, 0)))
+
+
 def _literal(value: Any, data_type: T.DataType) -> Column:
-    """The value in the column's own type; a value that cannot be read as that type becomes null."""
+    """The value in the column's own type; a value that the type cannot hold exactly becomes null."""
     if isinstance(data_type, T.NullType):
         return F.lit(value)
+    scale = _scale(data_type)
+    if scale is not None and value is not None:
+        number = _number(value)
+        if number is None or number != round(number, scale) or number.adjusted() > 37:
+            return F.lit(None).cast(data_type)
+        return F.lit(f"{number:f}").try_cast(data_type)
     return F.lit(value).try_cast(data_type)
 
 
@@ -55,10 +85,17 @@ def _is_list(value: Any) -> bool:
     return isinstance(value, (list, tuple, set, frozenset))
 
 
-def _bound(value: Any, data_type: T.DataType) -> Column:
+def _bound(value: Any, data_type: T.DataType, rounding: str = ROUND_CEILING) -> Column:
+    """The end of a range. Between two values of an exact type it moves to the neighbour inside the range."""
     if isinstance(data_type, _DATES):
         return F.to_date(F.lit(str(value)), "yyyy-MM-dd").cast(data_type)
-    return _literal(value, data_type)
+    scale = _scale(data_type)
+    number = None if scale is None else _number(value)
+    if number is None or number.adjusted() > 37:
+        return _literal(value, data_type) if scale is None or number is None else F.lit(float(number))
+    near = number.quantize(Decimal(1).scaleb(-scale), rounding, Context(prec=80))
+    # A bound outside the column's type still compares.
+    return F.coalesce(F.lit(f"{near:f}").try_cast(data_type), _exact(near, scale))
 
 
 def _equals(c: Column, value: Any, t: T.DataType) -> Column:
@@ -101,7 +138,7 @@ def _range(c: Column, value: Any, t: T.DataType) -> Column:
     if not isinstance(value, dict) or value.get("start") is None or value.get("end") is None:
         return F.lit(False)
     if isinstance(t, _NUMBERS):
-        return c.between(_bound(value["start"], t), _bound(value["end"], t))
+        return c.between(_bound(value["start"], t, ROUND_CEILING), _bound(value["end"], t, ROUND_FLOOR))
     if isinstance(t, _DATES):
         return (c > _bound(value["start"], t)) & (c < _bound(value["end"], t))
     return F.lit(False)

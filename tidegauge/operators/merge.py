@@ -7,8 +7,9 @@ delta give way to the delta's rows; the result keeps the rows inside a window th
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.schemas import MergeConfig
@@ -82,23 +83,37 @@ def window_start(latest: Column, age: str | None, count: int) -> Column:
     return F.lit("1970-01-01").cast("date")
 
 
-def trim(report: DataFrame, rollup_col: str, pattern: str, age: str | None, count: int) -> DataFrame:
-    """Rows on or after the window's first day. The latest date is a scalar subquery, one value to the filter."""
+AGES = ("ACADEMIC_YEAR", "GEN_YEAR", "MONTH", "WEEK", "DAY")
+
+
+def trim(
+    report: DataFrame, rollup_col: str, pattern: str, age: str | None, count: int, dated: Sequence[DataFrame] = ()
+) -> DataFrame:
+    """Rows on or after the window's first day, and rows whose date is missing or unreadable: those cannot be too old.
+
+    The latest date is a scalar subquery, one value to the filter, over ``dated`` (frames that together hold every date of
+    the report) or else over the report. An age that is no window keeps everything.
+    """
+    if age not in AGES:
+        return report
     day = parsed_date(rollup_col, pattern)
-    latest = report.agg(F.max(day).alias("latest"))
-    return report.where(day >= latest.select(window_start(F.col("latest"), age, count)).scalar())
+    dates = reduce(DataFrame.unionAll, [d.select(day.alias("day")) for d in dated or (report,)])
+    first = dates.agg(F.max("day").alias("latest")).select(window_start(F.col("latest"), age, count)).scalar()
+    return report.where(day.isNull() | (day >= first))
 
 
 def merge_report(report: DataFrame, delta: DataFrame, config: MergeConfig) -> DataFrame:
     """Updated report in date order. With ``rollup`` 0 the delta is the result.
 
-    The key is the rollup column when the config names one, otherwise the dimensions.
+    The key is the rollup column when the config names one, otherwise the dimensions. By the rollup column no date gets
+    lost in the upsert, so the latest one is taken from the two inputs and the upsert runs once.
     """
     if config.rollup <= 0:
         return delta
     name, pattern = rollup_spec(config)
     keys = [name] if config.rollup_col else list(config.dims)
-    merged = trim(upsert(report, delta, keys), name, pattern, config.rollup_age, config.rollup_range)
+    dated = (report, delta) if keys == [name] else ()
+    merged = trim(upsert(report, delta, keys), name, pattern, config.rollup_age, config.rollup_range, dated)
     return date_order(merged, name, pattern)
 
 
@@ -117,19 +132,32 @@ def output_columns(report: DataFrame, config: MergeConfig) -> list[str]:
     return [c for c in order if c in report.columns]
 
 
+MAX_EXPONENT = 1000
+
+
 def plain_number(value: Column) -> Column:
     """Number text without an exponent: null is ``0``, plain text keeps its digits, ``1.23E2`` is ``123``.
 
-    Text with an exponent keeps the decimals the exponent leaves. Anything beyond 20 digits before or 18 after
-    the point, and anything that is no number, stays as written.
+    The point is moved in the text, so no digit is lost at any length. Text that is no number, and exponents beyond
+    ``MAX_EXPONENT`` either way, stay as written.
     """
     text = F.upper(F.trim(value))
-    number = text.try_cast("decimal(38,18)").cast("string")
-    decimals = F.length(F.regexp_extract(text, r"\.([0-9]*)E", 1)) - F.regexp_extract(text, r"E\+?(-?[0-9]+)$", 1).try_cast("int")
-    shifted = F.when(decimals <= 0, F.substring_index(number, ".", 1)).otherwise(
-        F.substring(number, F.lit(1), F.instr(number, ".") + decimals)
+    part = lambda i: F.regexp_extract(text, r"^([+-]?)([0-9]*)(?:\.([0-9]*))?E([+-]?[0-9]{1,4})$", i)
+    digits = F.concat(part(2), part(3))
+    point = F.length(part(2)) + part(4).try_cast("int")
+    size = F.length(digits)
+    whole = F.when(point <= 0, F.lit("")).when(point >= size, F.rpad(digits, point, "0")).otherwise(F.substring(digits, F.lit(1), point))
+    rest = (
+        F.when(point <= 0, F.concat(F.repeat(F.lit("0"), -point), digits)).when(point >= size, F.lit(""))
+        .otherwise(F.substring(digits, point + 1, size))
     )
-    return F.when(value.isNull(), F.lit("0")).when(~text.contains("E"), value).otherwise(F.coalesce(shifted, value))
+    whole = F.regexp_replace(whole, "^0+(?=[0-9])", "")
+    plain = F.concat(
+        F.when(part(1) == "-", F.lit("-")).otherwise(F.lit("")), F.when(whole == "", F.lit("0")).otherwise(whole),
+        F.when(rest == "", F.lit("")).otherwise(F.concat(F.lit("."), rest)),
+    )
+    readable = (size > 0) & (F.abs(part(4).try_cast("int")) <= MAX_EXPONENT)
+    return F.when(value.isNull(), F.lit("0")).when(~text.contains("E"), value).otherwise(F.when(readable, plain).otherwise(value))
 
 
 def report_documents(
@@ -141,18 +169,25 @@ def report_documents(
 ) -> DataFrame:
     """The report as JSON documents of keys, table rows and row maps.
 
-    A document holds at most ``rows_per_document`` rows, so no document outgrows a task; together they hold
-    every row once. Small reports in one partition are one document. Rows are numbered in a fixed order
-    (``order``, or all columns), so a task that runs again numbers them alike.
+    Rows are numbered over the whole report in the order of ``order`` and of all columns, and a document holds
+    ``rows_per_document`` of them, the last one the rest. A row's number is its rank among rows of the same first value
+    plus the count of rows of smaller ones, so rows of different dates are ranked by different tasks, and one task adds
+    up one count per date. The documents depend on the data alone.
     """
     columns = list(columns) or report.columns
     cells = [
         (plain_number(F.col(f"`{c}`")) if c in metric_labels else F.col(f"`{c}`")).cast("string") for c in columns
     ]
-    ordered = report.sortWithinPartitions(*order, *[F.col(f"`{c}`") for c in report.columns])
-    number = F.monotonically_increasing_id()
+    ordered = [*order, *[F.col(f"`{c}`") for c in report.columns]]
+    rows = report.select(
+        F.array(*cells).alias("cells"), ordered[0].alias("first"),
+        F.row_number().over(Window.partitionBy(ordered[0]).orderBy(*ordered[1:], F.lit(0))).alias("rank"),
+    )
+    counts = rows.groupBy(F.col("first").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    before = counts.select("value", (F.sum("n").over(Window.orderBy("value")) - F.col("n")).alias("before"))
+    number = (F.col("before") + F.col("rank") - 1).alias("number")
     documents = (
-        ordered.select(F.array(*cells).alias("cells"), number.alias("number"))
+        rows.join(before, F.col("first").eqNullSafe(F.col("value"))).select("cells", number)
         .groupBy(F.floor(F.col("number") / rows_per_document).alias("document"))
         .agg(F.array_sort(F.collect_list(F.struct("number", "cells"))).alias("rows"))
     )

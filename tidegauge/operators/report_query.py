@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.dates import interval_range
@@ -124,7 +124,9 @@ def aggregation(df: DataFrame, spec: Mapping[str, Any], custom: Mapping[str, Cal
         result = F.avg(kept(F.col(name)))
     elif kind == "countDistinct":
         result = F.count_distinct(kept(F.col(name)))
-    elif kind in ("hyperUnique", "thetaSketch", "HLLSketchMerge", "approxDistinct"):
+    elif kind == "HLLSketchMerge":
+        result = F.hll_sketch_estimate(F.hll_union_agg(kept(F.col(name)), F.lit(True)))
+    elif kind in ("hyperUnique", "thetaSketch", "approxDistinct"):
         result = F.hll_sketch_estimate(F.hll_sketch_agg(kept(F.col(name).cast("string")), F.lit(int(spec.get("lgK") or 12))))
     elif kind == "custom":
         result = (custom or {})[spec["fnAggregate"]](kept(F.col(name)))
@@ -151,6 +153,22 @@ def _having(df: DataFrame, spec: Mapping[str, Any]) -> DataFrame:
     return df.where(tests[spec["type"].lower()])
 
 
+#: Grains that are no calendar unit, in minutes.
+_MINUTES = {"five_minute": 5, "ten_minute": 10, "fifteen_minute": 15, "thirty_minute": 30, "six_hour": 360, "eight_hour": 480}
+
+
+def _bucket(grain: str, time: str) -> Column:
+    """Start of the time bucket; ``none`` keeps the time itself."""
+    if grain == "none":
+        return F.col(time)
+    if grain in _MINUTES:
+        size = 60 * _MINUTES[grain]
+        return F.timestamp_seconds(F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / size) * size)
+    if grain not in _TRUNC:
+        raise ValueError(f"unknown granularity {grain}")
+    return F.date_trunc(_TRUNC[grain], time)
+
+
 def run_query(
     df: DataFrame,
     query: Mapping[str, Any],
@@ -163,6 +181,8 @@ def run_query(
     """Run one declarative query over ``df``; ``labels`` rename the output, ``sort`` orders it."""
     kind = query["queryType"]
     if kind == "sql":
+        if query.get("intervals") or query.get("filters"):
+            raise ValueError("a sql query states its own conditions: intervals and filters are not taken")
         return _rename(df.sparkSession.sql(query["sqlQueryStr"], source=df), labels, sort)
     rows = in_interval(df, time, query.get("intervals"), now, query.get("intervalSlider", 0))
     for spec in query.get("filters") or ():
@@ -174,7 +194,7 @@ def run_query(
     dims += [_sql_dimension(d) for d in query.get("sqlDimensions") or ()]
     grain = (query.get("granularity") or "all").lower()
     if grain != "all":
-        dims = [F.date_trunc(_TRUNC[grain], time).alias("date"), *dims]
+        dims = [_bucket(grain, time).alias("date"), *dims]
     specs = query.get("aggregations") or [_DEFAULT_AGGREGATION]
     result = rows.groupBy(*dims).agg(*[aggregation(df, spec, custom) for spec in specs])
     ordering = None
@@ -192,7 +212,12 @@ def run_query(
         result = result.orderBy(F.desc("date") if descending else F.asc("date"))
     if kind == "topN":
         others = [F.col(c) for c in result.columns if c != query["metric"]]
-        result = result.orderBy(F.desc(query["metric"]), *others).limit(int(query["threshold"]))
+        order = [F.desc(query["metric"]), *others]
+        if grain == "all":
+            result = result.orderBy(*order).limit(int(query["threshold"]))
+        else:
+            rank = F.row_number().over(Window.partitionBy("date").orderBy(*order))
+            result = result.withColumn("_rank", rank).where(F.col("_rank") <= int(query["threshold"])).drop("_rank")
     return _rename(result, labels, sort)
 
 

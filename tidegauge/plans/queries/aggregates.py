@@ -19,15 +19,17 @@ def _doubles(df, *names):
 
 
 @query("group_collect", f"""
-  SELECT user_id, count(*) AS events, sum(event_id) AS ids, max(ets) AS latest FROM ({TELEMETRY_SQL}) WHERE eid = 'START' GROUP BY 1""")
+  WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS n FROM ({TELEMETRY_SQL}) WHERE eid = 'START')
+  SELECT user_id, count(*) AS events, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS ids, max(ets) AS latest
+  FROM r GROUP BY user_id, n // 3""")
 def group_collect(spark, sf_dir):
-    """START events collected per device in bounded lists; summed up from the lists again."""
+    """START events collected per device in bounded lists: the lists themselves."""
     events = telemetry(spark, sf_dir).where("eid = 'START'")
-    lists = A.collect_events(events, ["user_id"], per_list=50)
-    total = lambda e, name: F.aggregate(e, F.lit(0).cast("bigint"), lambda acc, x: acc + x[name])
-    return lists.groupBy("user_id").agg(
-        F.sum("events_count").alias("events"), F.sum(total(F.col("events"), "event_id")).alias("ids"),
-        F.max(F.array_max(F.transform("events", lambda x: x["ets"]))).alias("latest"),
+    lists = A.collect_events(events, ["user_id"], per_list=3)
+    return lists.select(
+        "user_id", F.col("events_count").cast("bigint").alias("events"),
+        F.array_join(F.transform("events", lambda x: x["event_id"].cast("string")), ",").alias("ids"),
+        F.array_max(F.transform("events", lambda x: x["ets"])).alias("latest"),
     )
 
 
@@ -329,7 +331,7 @@ def aggquery_sql_dimensions(spark, sf_dir):
 
 @query("aggquery_sql", "SELECT event_type, count(*) AS n, max(k) AS k FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events) GROUP BY 1")
 def aggquery_sql(spark, sf_dir):
-    spec = {"queryType": "sql", "sqlQueryStr": "SELECT event_type, count(*) AS n, max(k) AS k FROM {source} GROUP BY event_type"}
+    spec = {"queryType": "sql", "intervals": None, "sqlQueryStr": "SELECT event_type, count(*) AS n, max(k) AS k FROM {source} GROUP BY event_type"}
     return _run(spark, sf_dir, spec)
 
 

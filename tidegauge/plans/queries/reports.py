@@ -108,6 +108,22 @@ _window("merge_rollup_day", "DAY", 45, "latest - INTERVAL 44 DAY")
 _window("merge_rollup_all", "NONE", 1, "DATE '1970-01-01'")
 
 
+@query("merge_undated", f"""WITH {_REPORT_SQL}, r AS (
+    SELECT CASE WHEN CAST(orders AS INT) > 1 AND priority = '5-LOW' THEN 'no date' WHEN priority = '2-HIGH' THEN NULL ELSE "Date" END AS "Date",
+      priority, orders FROM report),
+  merged AS (SELECT DISTINCT * FROM r WHERE "Date" IS NULL OR "Date" NOT IN (SELECT "Date" FROM delta) UNION ALL SELECT * FROM delta),
+  m AS (SELECT max(try_strptime("Date", '%d-%m-%Y')) AS latest FROM merged)
+  SELECT merged.* FROM merged, m WHERE try_strptime("Date", '%d-%m-%Y') IS NULL OR try_strptime("Date", '%d-%m-%Y') >= latest - INTERVAL 399 DAY""")
+def merge_undated(spark, sf_dir):
+    """Rows without a readable date stay in the report whatever the window."""
+    date = F.when((F.col("orders").cast("int") > 1) & (F.col("priority") == "5-LOW"), "no date").when(
+        F.col("priority") != "2-HIGH", F.col("Date")
+    )
+    spec = MergeConfig(1, ("Date", "priority"), "DAY", 400, "Date||%d-%m-%Y")
+    delta = M.normalise_delta(_delta(spark, sf_dir), "Date", PATTERN)
+    return M.merge_report(_report(spark, sf_dir).withColumn("Date", date), delta, spec)
+
+
 @query("distinct_dims", "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders")
 def distinct_dims(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority").distinct()
@@ -126,6 +142,20 @@ def report_json(spark, sf_dir):
     )
 
 
+@query("report_documents", f"""WITH {_REPORT_SQL}, r AS (
+    SELECT *, row_number() OVER (ORDER BY "Date", priority, orders) - 1 AS number FROM report)
+  SELECT count(*) AS n, 'priority,orders,Date' AS keys, md5(string_agg(priority || ',' || orders || ',' || "Date", ';' ORDER BY number)) AS digest
+  FROM r GROUP BY number // 1000""")
+def report_documents(spark, sf_dir):
+    """The documents themselves: their sizes, keys and table rows in order."""
+    documents = M.report_documents(_report(spark, sf_dir), ["priority", "orders", "Date"], rows_per_document=1000)
+    rows = F.transform("tableData", lambda cells: F.array_join(cells, ","))
+    return documents.select(
+        F.size("tableData").cast("bigint").alias("n"), F.array_join("keys", ",").alias("keys"),
+        F.md5(F.array_join(rows, ";").cast("binary")).alias("digest"),
+    )
+
+
 @query("report_plain_numbers", """
   SELECT p_partkey, CAST(p_size * 100 + p_partkey % 100 AS VARCHAR) AS shifted, CAST(p_size AS VARCHAR) || '.'
     || lpad(CAST(p_partkey % 100 AS VARCHAR), 2, '0') AS kept FROM part""")
@@ -149,7 +179,7 @@ def report_files_by_dims(spark, sf_dir):
         dims=["o_orderstatus", "o_orderpriority"], column_order=["o_orderdate", "o_orderkey"],
     )
     rows = spark.read.option("header", True).csv(paths)
-    file = F.regexp_extract(F.col("_metadata.file_path"), r"/orders/(.+)\.csv", 1)
+    file = F.regexp_extract(F.col("_metadata.file_path"), r"/orders/(.+?)\.csv", 1)
     return rows.groupBy(F.url_decode(file).alias("file")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col("o_orderkey").cast("bigint")).alias("keys")
     )

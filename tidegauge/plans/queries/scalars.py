@@ -60,17 +60,19 @@ def week_label(spark, sf_dir):
 
 
 @query("dates_between", """
-  SELECT l_orderkey, l_linenumber, array_to_string(list_transform(
-    generate_series(o_orderdate, l_shipdate, INTERVAL 1 DAY), lambda d: strftime(d, '%Y%m%d')), ',') AS days,
-    date_diff('day', o_orderdate, l_shipdate) AS n, strftime(l_shipdate - INTERVAL 3 DAY, '%Y-%m-%d') AS start
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate <= o_orderdate + INTERVAL 20 DAY""")
+  WITH d AS (SELECT l_orderkey, l_linenumber, o_orderdate, l_shipdate, generate_series(o_orderdate, l_shipdate, INTERVAL 1 DAY) AS days
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+  SELECT l_orderkey, l_linenumber, CAST(len(days) AS INT) AS size, strftime(days[1], '%Y%m%d') AS first, strftime(days[-1], '%Y%m%d') AS last,
+    strftime(days[len(days) // 2 + 1], '%Y%m%d') AS middle, date_diff('day', o_orderdate, l_shipdate) AS n,
+    strftime(l_shipdate - INTERVAL 3 DAY, '%Y-%m-%d') AS start FROM d""")
 def dates_between(spark, sf_dir):
+    """All line items; the days of one that was shipped before it was ordered are an empty list."""
     rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return rows.where(F.col("l_shipdate") <= F.date_add(F.col("o_orderdate").cast("date"), 20)).select(
-        "l_orderkey", "l_linenumber",
-        F.array_join(D.dates_between("o_orderdate", "l_shipdate", "yyyyMMdd"), ",").alias("days"),
-        D.days_between("o_orderdate", "l_shipdate").alias("n"),
-        D.start_date("l_shipdate", 3).cast("string").alias("start"),
+    days = rows.withColumn("days", D.dates_between("o_orderdate", "l_shipdate", "yyyyMMdd"))
+    return days.select(
+        "l_orderkey", "l_linenumber", F.size("days").alias("size"), F.get("days", F.lit(0)).alias("first"),
+        F.try_element_at("days", F.lit(-1)).alias("last"), F.get("days", F.floor(F.size("days") / 2).cast("int")).alias("middle"),
+        D.days_between("o_orderdate", "l_shipdate").alias("n"), D.start_date("l_shipdate", 3).cast("string").alias("start"),
     )
 
 
@@ -157,13 +159,12 @@ def parse_times(spark, sf_dir):
 @query("time_differences", """
   SELECT l_orderkey, l_linenumber, (epoch_us(l_shipdate) - epoch_us(o_orderdate)) / 1000000.0 AS seconds,
     CASE WHEN l_linenumber % 2 = 0 THEN (epoch_us(l_shipdate) - epoch_us(o_orderdate)) / 1000000.0 ELSE 0 END AS event_seconds,
-    date_diff('year', o_orderdate, l_shipdate)
-      - CASE WHEN strftime(l_shipdate, '%m%d') < strftime(o_orderdate, '%m%d') THEN 1 ELSE 0 END AS years
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate >= o_orderdate
-    AND strftime(o_orderdate, '%m%d') <> '0229'""")
+    CAST(floor((date_diff('month', o_orderdate, l_shipdate) + CASE WHEN day(o_orderdate) = day(l_shipdate)
+      OR (last_day(o_orderdate) = CAST(o_orderdate AS DATE) AND last_day(l_shipdate) = CAST(l_shipdate AS DATE)) THEN 0
+      ELSE (day(l_shipdate) - day(o_orderdate)) / 31.0 END) / 12) AS INT) AS years
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def time_differences(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    rows = rows.where((F.col("l_shipdate") >= F.col("o_orderdate")) & (F.date_format("o_orderdate", "MMdd") != "0229"))
     iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     start = F.when(F.col("l_linenumber") % 2 == 0, iso("o_orderdate")).otherwise(F.lit("never"))
     return rows.select(

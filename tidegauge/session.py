@@ -20,6 +20,13 @@ SESSION_CONF = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+#: Those that results or a busy key's shuffle depend on, set on sessions made elsewhere too.
+RUNTIME_CONF = (
+    "spark.sql.session.timeZone",
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition",
+)
+
 
 def get_session(app_name: str = "tidegauge", master: str | None = None, **conf: str) -> SparkSession:
     """Build (or return) a session with the settings every operator here relies on."""

@@ -9,7 +9,6 @@ from datetime import date, datetime, timedelta
 from tidegauge.schemas import Query
 
 # Scan defaults of the job configuration (fixed values).
-DEFAULT_BUCKET = "telemetry-data-store"
 DEFAULT_PREFIX = "raw/"
 DEFAULT_DATE_PATTERN = "yyyy-MM-dd"
 _STRFTIME = {"yyyy": "%Y", "MM": "%m", "dd": "%d", "HH": "%H"}
@@ -21,8 +20,9 @@ def storage_uri(store: str, container: str | None, path: str, account: str | Non
     if store in ("s3", "oci", "aws"):
         return f"s3a://{container}/{path}"
     if store == "azure":
-        host = f"{container}@{account}.blob.core.windows.net" if account else container
-        return f"wasb://{host}/{path}"
+        if not account:
+            raise ValueError("an azure path needs its storage account")
+        return f"wasb://{container}@{account}.blob.core.windows.net/{path}"
     if store == "gcloud":
         return f"gs://{container}/{path}"
     if store in ("local", "file"):
@@ -47,18 +47,20 @@ def query_days(query: Query) -> list[date]:
     return [start + timedelta(days=i) for i in range((end - start).days + 1)]
 
 
-def object_paths(query: Query, store: str = "s3") -> list[str]:
+def object_paths(query: Query, store: str = "s3", account: str | None = None) -> list[str]:
     """Scan paths of an object-store query.
 
     Dates are written into the paths, so the store lists only what the query asks for. A folder query reads the
     end date's whole folder.
     """
-    bucket, prefix = query.bucket or DEFAULT_BUCKET, query.prefix or DEFAULT_PREFIX
+    if not query.bucket:
+        raise ValueError("an object store query needs its bucket")
+    bucket, prefix = query.bucket, query.prefix or DEFAULT_PREFIX
     pattern = query.date_pattern or DEFAULT_DATE_PATTERN
     if query.folder:
         day = _format(_day(query.end_date), pattern)
-        return [storage_uri(store, bucket, f"{prefix}{day}/*")]
-    return [storage_uri(store, bucket, f"{prefix}{_format(day, pattern)}*") for day in query_days(query)]
+        return [storage_uri(store, bucket, f"{prefix}{day}/*", account)]
+    return [storage_uri(store, bucket, f"{prefix}{_format(day, pattern)}*", account) for day in query_days(query)]
 
 
 def partition_pattern(query: Query) -> str | None:

@@ -1,13 +1,15 @@
-"""Report files: one file per report, or one per value of the dimension columns.
+"""Report files: one per report, or one per value of the dimension columns.
 
-Rows are always written in parallel first. A report (or dimension value) that Spark wrote as one part becomes
-``<name>.<format>``; one that is too large for a single part stays a folder of that name holding its parts,
-which every Spark reader takes like a file. The whole report never passes through one task.
+The layout does not depend on the size: a report (or dimension value) is a folder ``<name>.<format>`` of the parts that
+Spark wrote in parallel, which every Spark reader takes like a file. With ``one_file`` it is a single file instead, and
+then the rows of a report or of a dimension value pass through one task; the caller vouches that they are few.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +22,17 @@ from tidegauge.session import ensure_checkpoint_dir
 from tidegauge.sources.paths import storage_uri
 from tidegauge.sources.readers import read_report
 
-MAX_FILES = 100_000
-_NULL_NAME = "__HIVE_DEFAULT_PARTITION__"
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+#: Folders moved at a time; a move is a request to the store, or a copy there.
+MOVERS = 16
+
+
+def _file_value(folder: str) -> str:
+    """A dimension value in a file name. Missing values are ``null``, so the text of that name is written escaped."""
+    value = folder.split("=", 1)[1]
+    if value == _NULL_FOLDER:
+        return "null"
+    return "%6Eull" if value == "null" else value
 
 
 class _Folder:
@@ -52,10 +63,12 @@ class _Folder:
         pattern = text + "/*=*" * depth
         return sorted(str(s.getPath().toString()) for s in self.fs.globStatus(self.path(pattern)) or [])
 
-    def settle(self, folder: str, target: str) -> None:
-        """Give a written folder its final name: a single part becomes the file itself."""
-        parts = self.parts(folder)
-        self.move(parts[0] if len(parts) == 1 else folder, target)
+    def settle(self, folder: str, target: str, one_file: bool) -> None:
+        """Give a written folder its final name, or the name to its single part."""
+        parts = self.parts(folder) if one_file else []
+        if len(parts) > 1:
+            raise ValueError(f"{folder} has {len(parts)} parts")
+        self.move(parts[0] if parts else folder, target)
 
 
 def write_report(
@@ -68,17 +81,17 @@ def write_report(
     column_order: Sequence[str] = (),
     file_ext: str | None = None,
     compress: bool = False,
-    rows_per_file: int = 1_000_000,
+    one_file: bool = False,
     order: Sequence = (),
 ) -> list[str]:
     """Write a report and return its paths; an existing report of the name is replaced.
 
-    ``dims`` gives one file per distinct value combination at ``<report>/<v1>/<v2>.<format>``; dimension columns
-    are left out of the file. ``order`` sorts rows inside the files.
+    ``dims`` gives one path per distinct value combination at ``<report>/<v1>/<v2>.<format>``; dimension columns
+    are left out of the file. ``order`` sorts rows inside the files. Each call has a temporary folder of its own.
     """
     spark = df.sparkSession
     base = storage_uri(storage.store, storage.container, storage.file_name, storage.account).rstrip("/")
-    final, temp = f"{base}/{report_id}", f"{base}/_tmp/{report_id}"
+    final, temp = f"{base}/{report_id}", f"{base}/_tmp-{report_id}-{uuid.uuid4().hex}"
     ext = file_ext or format
     if compress:
         options, ext = {**(options or {}), "compression": "gzip"}, f"{ext}.gz"
@@ -86,38 +99,30 @@ def write_report(
     if column_order:
         df = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*column_order, *dims])])
     folder = _Folder(spark, base)
-    if not dims:
-        # One file when the rows fit in one; the row count decides, and it is all the driver sees.
-        few = df.limit(rows_per_file + 1).count() <= rows_per_file
-        rows = df.coalesce(1) if few else df
-        rows = rows.sortWithinPartitions(*order) if order else rows
-        rows.write.mode("overwrite").format(format).options(**(options or {})).save(temp)
-        target = f"{final}.{ext}"
-        folder.settle(temp, target)
-        folder.delete(f"{base}/_tmp")
-        return [target]
-    # Rebalancing brings a value's rows together and lets Spark split a value that is too large for one task.
-    rows = df.hint("rebalance", *[F.col(d) for d in dims])
-    rows = rows.sortWithinPartitions(*dims, *order)
-    writer = rows.write.mode("overwrite").format(format).options(**(options or {}))
-    writer.option("maxRecordsPerFile", rows_per_file).option("partitionOverwriteMode", "static").partitionBy(*dims).save(temp)
-    leaves = folder.leaves(temp, len(dims))
-    if len(leaves) > MAX_FILES:
-        raise ValueError(f"{len(leaves)} files for the dimensions {dims}; choose coarser ones")
-    paths = []
-    for leaf in leaves:
-        # A folder name with a leading underscore is hidden from readers, so missing values are named "null".
-        values = [part.split("=", 1)[1].replace(_NULL_NAME, "null") for part in leaf.rsplit("/", len(dims))[1:]]
-        target = "/".join([final, *values]) + f".{ext}"
-        folder.settle(leaf, target)
-        paths.append(target)
-    folder.delete(f"{base}/_tmp")
-    return paths
+    try:
+        if not dims:
+            rows = df.coalesce(1) if one_file else df
+            rows = rows.sortWithinPartitions(*order) if order else rows
+            rows.write.format(format).options(**(options or {})).save(temp)
+            folder.settle(temp, f"{final}.{ext}", one_file)
+            return [f"{final}.{ext}"]
+        # Rebalancing brings a value's rows together and lets Spark split a value that is too large for one task.
+        rows = df.repartition(*dims) if one_file else df.hint("rebalance", *[F.col(d) for d in dims])
+        rows.sortWithinPartitions(*dims, *order).write.format(format).options(**(options or {})).partitionBy(*dims).save(temp)
+        targets = {
+            leaf: "/".join([final, *map(_file_value, leaf.rsplit("/", len(dims))[1:])]) + f".{ext}"
+            for leaf in folder.leaves(temp, len(dims))
+        }
+        with ThreadPoolExecutor(MOVERS) as movers:
+            list(movers.map(lambda leaf: folder.settle(leaf, targets[leaf], one_file), targets))
+        return list(targets.values())
+    finally:
+        folder.delete(temp)
 
 
 def merge_report_files(
     spark: SparkSession, config: MergeConfig, report_path: str, delta_path: str, today: str, store: str = "local",
-    container: str | None = None,
+    container: str | None = None, one_file: bool = False,
 ) -> DataFrame:
     """Merge a delta file into a report file: back the old report up, then write CSV and JSON.
 
@@ -144,8 +149,8 @@ def merge_report_files(
         target = StorageConfig(store, container, where)
         by_date = [parsed_date(name, pattern)] if name in rows.columns else []
         documents = report_documents(rows, columns, config.metric_labels, order=by_date)
-        write_report(documents, target, "json", report_id)
-        write_report(rows, target, "csv", report_id, header, column_order=order, order=by_date)
+        write_report(documents, target, "json", report_id, one_file=one_file)
+        write_report(rows, target, "csv", report_id, header, column_order=order, order=by_date, one_file=one_file)
 
     save(old, f"{folder}/report-backups", f"{stem}-{today}", ())
     save(merged, folder or ".", stem, columns)

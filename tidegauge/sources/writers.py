@@ -32,10 +32,12 @@ def _needs(params: Mapping[str, Any], *names: str) -> None:
 
 
 def _console(lines: DataFrame, params: Mapping[str, Any]) -> None:
-    # The full pass comes first: rows are counted in the first action, and printing reads only a few.
+    # The full pass comes first: rows are counted in the first action. Printing brings one partition at a time.
     lines.write.format("noop").mode("overwrite").save()
     if params.get("printEvent", True):
-        lines.show(int(params.get("rows", 20)), truncate=False)
+        shown = lines.limit(int(params["rows"])) if params.get("rows") else lines
+        for row in shown.toLocalIterator():
+            print(row.value)
 
 
 def _text(lines: DataFrame, path: str, params: Mapping[str, Any]) -> None:
@@ -88,6 +90,21 @@ def dispatch(df: DataFrame, sink: Dispatcher) -> int:
     return rows.get["rows"]
 
 
+#: The setting of a sink that names where its files go.
+_PLACES = {"file": "file", "s3": "key", "oci": "key"}
+
+
+def placed(sinks: Iterable[Dispatcher] | None, *folders: str) -> list[Dispatcher]:
+    """The sinks with their files in folders of their own, so that several results don't replace each other."""
+    out = []
+    for sink in sinks or ():
+        name = _PLACES.get(sink.to)
+        if name and sink.params.get(name) and folders:
+            sink = Dispatcher(sink.to, {**sink.params, name: "/".join([sink.params[name].rstrip("/"), *folders])})
+        out.append(sink)
+    return out
+
+
 def dispatch_all(df: DataFrame, sinks: Iterable[Dispatcher] | None) -> int:
     """Write to every sink. With several sinks the rows are computed once and kept for the others."""
     sinks = list(sinks or ())

@@ -18,7 +18,7 @@ from tidegauge.operators.session_tree import Event, SessionTree
 from tidegauge.operators.workflow import KEYS
 from tidegauge.plans.models import Model
 from tidegauge.schemas import JobConfig
-from tidegauge.sources.writers import dispatch_all, kafka_options, to_lines
+from tidegauge.sources.writers import dispatch_all, kafka_options, placed, to_lines
 
 
 # ---- sources and sinks ------------------------------------------------------------------------------------
@@ -66,13 +66,18 @@ def process_batches(
 def run_models_on_stream(
     lines: DataFrame, config: JobConfig, models: Sequence[Model], checkpoint: str, trigger: Mapping[str, Any] | None = None
 ) -> StreamingQuery:
-    """Streaming job: every model runs on every micro-batch and its result goes to the sinks."""
+    """Streaming job: every model runs on every micro-batch and its result goes to the sinks.
+
+    Files go to a folder per batch number (and per model, if there are several), so a batch that is handed out again
+    replaces its own files only.
+    """
 
     def handle(batch: DataFrame, number: int) -> None:
         kept = batch.persist()
         try:
             for model in models:
-                dispatch_all(model.execute(kept, config.model_params), config.output)
+                folders = [f"model={model.name}"] * (len(models) > 1) + [f"batch={number}"]
+                dispatch_all(model.execute(kept, config.model_params), placed(config.output, *folders))
         finally:
             kept.unpersist()
 
