@@ -5,7 +5,9 @@ each step the labelled good documents beyond it are counted, and the step is tak
 says that at most ``risk / rules`` of all good documents of the stratum would be rejected. Walking in a fixed order and
 stopping at the first failure needs no correction between cutoffs; between rules and strata ``delta`` is divided by
 their number (Bonferroni). So with probability ``1 - delta`` no stratum loses more than ``risk`` of its good documents.
-A rule without enough labels to prove that stays off.
+Of the
+proven cutoffs the one that parts bad from good best is used. A rule without enough labels to prove one stays off, and so
+does one that catches no bad document.
 
 Null or empty texts have no words and all counts 0, so they fail the base rule. A null ``lang`` is a stratum of its own.
 Rows with equal ids are judged one by one; a label whose row is repeated counts once for each. Without labels only the
@@ -140,44 +142,50 @@ def at_most(k: int, n: int, p: float) -> float:
     return min(1.0, math.fsum(map(math.exp, logs)))
 
 
-def choose_cutoff(rejected: list[int], n: int, limit: float, level: float) -> float | None:
-    """The lowest proven cutoff; rejected[i] is the number of good documents beyond i / BINS."""
-    cutoff = None
+def choose_cutoff(good: list[int], bad: list[int], limit: float, level: float) -> float | None:
+    """One of the proven cutoffs: the one that parts bad from good best, and of equal ones the highest.
+
+    good[i] and bad[i] are the numbers of labelled documents beyond i / BINS, the last entries those of all. Every step
+    down to the lowest proven cutoff holds at ``level``, so any of them may be chosen.
+    """
+    n, m = good[-1], max(1, bad[-1])
+    best, cutoff = 0.0, None
     for i in range(BINS, -1, -1):
-        if rejected[i] > n * limit or at_most(rejected[i], n, limit) > level:
+        if good[i] > n * limit or at_most(good[i], n, limit) > level:
             break
-        cutoff = i / BINS
+        gain = bad[i] / m - good[i] / n
+        if gain > best:
+            best, cutoff = gain, i / BINS
     return cutoff
 
 
 def cutoffs(counted: DataFrame, labels: DataFrame, risk: float = 0.05, delta: float = 0.05) -> DataFrame:
     """One row per stratum with a cutoff for each rule, null where none is proven.
 
-    Only counts per (stratum, rule, step) reach the driver: at most ``6 * 201`` numbers for each language.
+    Only counts per (stratum, rule, step) reach the driver: at most ``2 * 6 * 201`` numbers for each language.
     """
-    good = labels.filter(F.col("quality") == 1).select(F.col("doc_id").alias("label_id")).distinct()
+    known = labels.filter(F.col("quality").isin(0, 1)).select(F.col("doc_id").alias("q__id"), F.col("quality").alias("q__good")).distinct()
     bins = F.array(*[
         F.struct(F.lit(r).alias("rule"), F.ceil(x * BINS).cast("int").alias("bin")) for r, x in ratios().items()
     ])
     rows = (
         counted.filter(~base_failed())
-        .join(good, F.col("doc_id") == F.col("label_id"), "left_semi")
-        .select("lang", F.explode(bins).alias("b"))
-        .groupBy("lang", "b.rule", "b.bin").count().collect()
+        .join(known, F.col("doc_id") == F.col("q__id"))
+        .select("lang", "q__good", F.explode(bins).alias("b"))
+        .groupBy("lang", "q__good", "b.rule", "b.bin").count().collect()
     )
     beyond: dict = {}
-    for lang, rule, step, count in rows:
-        beyond.setdefault(lang, {}).setdefault(rule, [0] * (BINS + 1))[step] += count
+    for lang, quality, rule, step, count in rows:
+        by_rule = beyond.setdefault(lang, {r: ([0] * (BINS + 1), [0] * (BINS + 1)) for r in RULES})
+        by_rule[rule][quality][step] += count
     level = delta / max(1, len(beyond) * len(RULES))
     table = []
     for lang, by_rule in beyond.items():
         chosen = []
         for rule in RULES:
-            steps = by_rule[rule]
-            n = sum(steps)
             # A ratio in step i lies in ((i - 1) / BINS, i / BINS], so it is beyond every cutoff below i / BINS.
-            rejected = [sum(steps[i + 1 :]) for i in range(BINS + 1)]
-            chosen.append(choose_cutoff(rejected, n, risk / len(RULES), level))
+            bad, good = ([*(sum(steps[i + 1 :]) for i in range(BINS + 1)), sum(steps)] for steps in by_rule[rule])
+            chosen.append(choose_cutoff(good, bad, risk / len(RULES), level))
         table.append((lang, *chosen))
     schema = T.StructType([
         T.StructField("q__stratum", counted.schema["lang"].dataType),
