@@ -17,6 +17,12 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def lowered_words(text: Column, breaks: str) -> Column:
+    """``words`` with A-Z as a-z. Few words have capitals, and only those are translated letter by letter; ``breaks``
+    must not hold letters."""
+    return F.transform(words(text, breaks), lambda w: F.when(F.lower(w) == w, w).otherwise(ascii_lower(w)))
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once per row, however often the body reads it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -16,16 +16,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.native import ascii_lower, bind, broadcast_if_small, words
+from tidegauge.llm.native import bind, broadcast_if_small, lowered_words, words
 from tidegauge.llm.scratch import stored
 
 WINDOW = 13
 GRAM = 5
-BREAKS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
+#: Between words, once A-Z are a-z: all of ASCII but digits and letters.
+BREAKS = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 
 
 def word_list(text: Column) -> Column:
-    return words(ascii_lower(text), BREAKS)
+    return lowered_words(text, BREAKS)
 
 
 def _none(kind: str) -> Column:
@@ -137,7 +138,7 @@ def judged(docs: DataFrame, items: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = hits(docs, items)
     counted = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_key"), F.size(word_list(F.col("text"))).cast("long").alias("n_words")
+        "doc_id", F.xxhash64("text").alias("text_key"), F.size(words(F.col("text"), BREAKS)).cast("long").alias("n_words")
     )
     joined = counted.join(found, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_key") == F.col("hit_key")), "left")
     ids = F.coalesce("item_ids", _none("string"))
@@ -158,6 +159,6 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
     same = (
         docs["doc_id"].eqNullSafe(F.col("w__id")) & (F.xxhash64(docs["text"]) == F.col("w__key"))
-        & (F.lit(20) * F.col("w__hit") >= F.size(word_list(docs["text"])))
+        & (F.lit(20) * F.col("w__hit") >= F.size(words(docs["text"], BREAKS)))
     )
     return docs.join(broadcast_if_small(bad), same, "left_anti")
