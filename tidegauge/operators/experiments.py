@@ -22,8 +22,8 @@ def _criteria(raw: Any) -> list[Filter]:
 def assign_experiments(population: DataFrame, id_column: str, experiments: Iterable[Mapping[str, Any]]) -> DataFrame:
     """One row per member and experiment it qualifies for.
 
-    An experiment has an id, criteria and, for split experiments, a modulus: members whose id hash leaves
-    remainder 0 take part. All experiments are decided in one pass over the population.
+    An experiment has an id, criteria and, for split experiments, a modulus: members whose id hash (the
+    first eight hex digits of its MD5) leaves remainder 0 take part. All experiments are decided in one pass over the population.
     """
     entries: list[Column] = []
     for experiment in experiments:
@@ -31,8 +31,8 @@ def assign_experiments(population: DataFrame, id_column: str, experiments: Itera
         condition = conjunction(population, _criteria(criteria.get("filters", ())))
         condition = F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))
         if criteria.get("modulus"):
-            split = F.pmod(F.xxhash64(F.col(id_column).cast("string")), F.lit(int(criteria["modulus"])))
-            condition = condition & (split == 0)
+            number = F.conv(F.substring(F.md5(F.col(id_column).cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
+            condition = condition & (number % F.lit(int(criteria["modulus"])) == 0)
         entries.append(F.when(condition, F.lit(experiment["experiment_id"])))
     chosen = F.array_compact(F.array(*entries)) if entries else F.array().cast("array<string>")
     return population.select(F.col(id_column), F.explode(chosen).alias("experiment_id"))

@@ -172,9 +172,11 @@ def experiment_assignment(spark, sf_dir):
     return X.assign_experiments(table(spark, sf_dir, "customer"), "c_custkey", experiments)
 
 
-@query("experiment_split")
+@query("experiment_split", """
+  SELECT c_custkey, 'fifth' AS experiment_id FROM customer
+  WHERE CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8) AS BIGINT) % 5 = 0""")
 def experiment_split(spark, sf_dir):
-    """Every fifth member by hash; SQL has no such hash, the tests check the split."""
+    """Every fifth member by hash."""
     experiment = {"experiment_id": "fifth", "criteria": {"type": "user_mod", "modulus": 5}}
     return X.assign_experiments(table(spark, sf_dir, "customer"), "c_custkey", [experiment])
 
@@ -341,9 +343,28 @@ def aggquery_distinct_ids(spark, sf_dir):
     return table(spark, sf_dir, "events").where(inside).select(F.col("user_id").alias("Id")).distinct()
 
 
-@query("aggquery_approx_distinct")
+def _close(estimate, exact):
+    """A sketch of 2**12 registers errs by 1.6%; four times that is close."""
+    return (F.abs(F.col(estimate) - F.col(exact)) <= 0.065 * F.col(exact) + 1).alias("close")
+
+
+@query("aggquery_approx_distinct", f"""
+  SELECT event_type, count(DISTINCT user_id) AS users, TRUE AS close FROM events WHERE {_IN_JANUARY} GROUP BY 1""")
 def aggquery_approx_distinct(spark, sf_dir):
-    """Distinct users by sketch; checked against exact counts within its error in the tests."""
+    """Distinct users by sketch next to their exact number."""
     spec = {"queryType": "groupBy", "dimensions": [{"fieldName": "event_type"}], "aggregations": [
-        {"name": "users", "type": "thetaSketch", "fieldName": "user_id", "lgK": 12}]}
-    return _run(spark, sf_dir, spec)
+        {"name": "estimate", "type": "thetaSketch", "fieldName": "user_id", "lgK": 12},
+        {"name": "users", "type": "countDistinct", "fieldName": "user_id"}]}
+    return _run(spark, sf_dir, spec).select("event_type", "users", _close("estimate", "users"))
+
+
+@query("aggquery_sketch_merge", "SELECT event_type, count(DISTINCT user_id) AS users, TRUE AS close FROM events GROUP BY 1")
+def aggquery_sketch_merge(spark, sf_dir):
+    """Users per event type by merging the sketches of single days, next to their exact number."""
+    events = table(spark, sf_dir, "events")
+    days = events.groupBy(F.date_trunc("day", "ts").alias("ts"), "event_type").agg(F.hll_sketch_agg("user_id", F.lit(12)).alias("sketch"))
+    spec = {"queryType": "groupBy", "dimensions": [{"fieldName": "event_type"}], "aggregations": [
+        {"name": "estimate", "type": "HLLSketchMerge", "fieldName": "sketch"}]}
+    merged = run_query(days, spec, "ts").withColumnRenamed("event_type", "merged_type")
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    return exact.join(merged, F.col("event_type") == F.col("merged_type")).select("event_type", "users", _close("estimate", "users"))
