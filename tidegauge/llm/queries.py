@@ -166,7 +166,7 @@ FROM t JOIN v USING (host, template)
 """
 )
 
-_WORD_SET = f"list_sort(list_distinct(regexp_extract_all({_LOWERED.replace('text', 'line')}, '[^\\x20\\x09-\\x0D]+')))"
+_WORD_SET = f"list_sort(list_distinct(regexp_extract_all(lower(line), '[^\\x20\\x09-\\x0D]+')))"
 
 ORACLES["op4_line_dedup"] = f"""
 WITH raw AS (

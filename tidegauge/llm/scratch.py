@@ -19,3 +19,14 @@ def stored(df: DataFrame) -> DataFrame:
 
 def new_path(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+
+
+#: Bytes that Spark hands to a Python task at once. Its default of 10,000 rows is too much for whole texts.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to what a task of whole texts can hold; a lower setting stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(key, BATCH_BYTES)
