@@ -11,8 +11,8 @@ of depth d holds all suffixes that agree on d bytes. Its left extensions are tes
 reaches left for all of them alike; where they differ, the suffixes are ordered by what stands to their left and each
 reaches left as far as it agrees with a neighbour in that order. A repeat counts from ``WINDOW`` bytes on.
 
-A bucket of more than ``BUCKET`` different members is not put into one task: its windows are hashed one by one and
-summed by Spark, which gives the same bytes.
+A bucket of more than ``BUCKET`` different members is not put into one task: hashes of its windows are summed by Spark,
+``SLOT`` windows at a time and one by one where that leaves it open, which gives the same bytes.
 
 Texts: null is empty; repeated rows are copies of each other; ids decide nothing, rows with a null id take part too.
 """
@@ -30,12 +30,13 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm import repeats
 from tidegauge.llm.scratch import stored
-from tidegauge.llm.text import Sums, byte_sums, pieces, utf8
+from tidegauge.llm.text import Sums, byte_sums, mix, pieces, utf8
 
 WINDOW = 400
 PREFIX = 160
 REACH = WINDOW - PREFIX + 1
 BUCKET = 400
+SLOT = 16
 
 
 def _sliding_lowest(values: np.ndarray, width: int) -> np.ndarray:
@@ -192,8 +193,9 @@ def _spans(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "key", "region", "start", "stop"])
 
 
-def _windows(asked: DataFrame) -> DataFrame:
-    """Every window of the asked regions of crowded keys."""
+def _slots(asked: DataFrame) -> DataFrame:
+    """The windows of crowded regions, ``SLOT`` starts at a time, counted from the anchor: hashes of all their bytes
+    (with the place of the first and last start) and of the bytes that all of them hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -203,25 +205,86 @@ def _windows(asked: DataFrame) -> DataFrame:
             _, once = np.unique(hit, return_index=True)
             at, hit = at[once], hit[once]
             at, hit = at[hits.crowded[hit] == 1], hit[hits.crowded[hit] == 1]
-            count = found.last[at] - found.first[at] + 1
-            step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            times = np.repeat(hits.times[hit], count)
-            at = np.repeat(at, count)
-            start = found.first[at] + step
+            lowest, highest = (found.first[at] - found.anchor[at]) // SLOT, (found.last[at] - found.anchor[at]) // SLOT
+            count = highest - lowest + 1
+            slot = np.repeat(lowest, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            times, at = np.repeat(hits.times[hit], count), np.repeat(at, count)
+            base = found.anchor[at] + SLOT * slot
+            lo, hi = np.maximum(base, found.first[at]), np.minimum(base + SLOT - 1, found.last[at])
+            full = mix(sums.span(lo, hi + WINDOW) + mix((lo - base).astype(np.uint64) * np.uint64(SLOT) + (hi - base).astype(np.uint64)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(pa.array(found.text[at])),
+                    pa.array(found.key[at].view(np.int64)), pa.array(found.region[at].view(np.int64)), pa.array(slot), pa.array(times),
+                    pa.array(full.view(np.int64)), pa.array(sums.span(base + SLOT - 1, base + WINDOW).view(np.int64)),
+                ],
+                names=["doc_id", "key", "region", "slot", "times", "full", "core"],
+            )
+
+    return asked.mapInArrow(run, "doc_id long, key long, region long, slot long, times long, full long, core long")
+
+
+def _windows(asked: DataFrame) -> DataFrame:
+    """Every window of the slots that a row asks for; ``start`` and ``place`` count from the region and the anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            found, sums = _regions(*utf8(batch.column("text")))
+            hits = repeats.HitList(batch.column("slots"), "key", "region", "slot", "total")
+            at, hit = hits.match(found)
+            _, once = np.unique(hit, return_index=True)
+            at, hit = np.repeat(at[once], SLOT), np.repeat(hit[once], SLOT)
+            start = found.anchor[at] + SLOT * hits.slot[hit] + np.arange(len(at)) % SLOT
+            inside = (start >= found.first[at]) & (start <= found.last[at])
+            at, hit, start = at[inside], hit[inside], start[inside]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(found.text[at])),
                     pa.array(found.key[at].view(np.int64)), pa.array(found.region[at].view(np.int64)),
-                    pa.array(step), pa.array(times), pa.array(sums.span(start, start + WINDOW).view(np.int64)),
+                    pa.array(start - found.first[at]), pa.array(hits.total[hit]), pa.array(sums.span(start, start + WINDOW).view(np.int64)),
                 ],
-                names=["doc_id", "key", "region", "step", "times", "window"],
+                names=["doc_id", "key", "region", "start", "total", "window"],
             )
 
-    return asked.mapInArrow(run, "doc_id long, key long, region long, step long, times long, window long")
+    return asked.mapInArrow(run, "doc_id long, key long, region long, start long, total long, window long")
+
+
+def _crowded_spans(asked: DataFrame) -> DataFrame:
+    """Spans of crowded keys that occur again, by sums over hashes.
+
+    A slot that occurs again is taken whole, one whose common bytes are unique is left whole; only the others, at most one
+    or two at either end of a repeat, are looked at window by window.
+    """
+    crowded = asked.filter(F.exists("hits", lambda h: h["crowded"] == 1))
+    slots = stored(_slots(crowded))
+    kinds = stored(
+        slots.groupBy(F.col("key").alias("k"), F.col("slot").alias("s"), F.col("full").alias("f")).agg(
+            F.sum("times").alias("total"), F.any_value("core").alias("core"), F.min(F.struct("doc_id", "region")).alias("member")
+        )
+    )
+    again = kinds.filter("total > 1").select("k", "s", "f")
+    whole = slots.join(again, (F.col("key") == F.col("k")) & (F.col("slot") == F.col("s")) & (F.col("full") == F.col("f")), "left_semi")
+    # Slots count from the anchor; where the region begins is known to the task that reads the text.
+    whole = whole.select("doc_id", "key", "region", F.col("slot").alias("start"), F.lit(-2).cast("long").alias("stop"))
+    shared = kinds.groupBy(F.col("k").alias("ck"), F.col("s").alias("cs"), F.col("core").alias("cc")).agg(F.count("*").alias("n")).filter("n > 1")
+    open_ = kinds.join(shared, (F.col("k") == F.col("ck")) & (F.col("s") == F.col("cs")) & (F.col("core") == F.col("cc")), "left_semi")
+    by_text = open_.groupBy(F.col("member.doc_id").alias("s_id")).agg(
+        F.collect_list(F.struct(F.col("k").alias("key"), F.col("member.region").alias("region"), F.col("s").alias("slot"), "total")).alias("slots")
+    )
+    windows = stored(_windows(crowded.join(by_text, F.col("doc_id").eqNullSafe(F.col("s_id"))).select("doc_id", "text", "slots")))
+    twice = windows.groupBy(F.col("key").alias("k"), F.col("window").alias("w")).agg(F.sum("total").alias("all_total")).filter("all_total > 1")
+    single = (
+        windows.filter("total = 1").join(twice, (F.col("key") == F.col("k")) & (F.col("window") == F.col("w")))
+        .select("doc_id", "key", "region", "start", (F.col("start") + WINDOW).alias("stop"))
+    )
+    return whole.unionByName(single)
 
 
 def repeated_spans(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, hits): spans inside regions that occur again; ``stop`` is -1 for a whole region."""
+    """(doc_id, hits): spans inside regions that occur again.
+
+    ``stop`` is -1 for a whole region, and -2 where ``start`` is the number of a slot.
+    """
     rows = repeats.shared_rows(repeats.anchors(docs, find), F.col("total") > 1)
     whole_span = (F.lit(0).cast("long").alias("start"), F.lit(-1).cast("long").alias("stop"))
     one = rows.filter(~F.col("several")).select("doc_id", "key", "region", *whole_span)
@@ -241,14 +304,7 @@ def repeated_spans(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
         docs, repeats.by_document(asked, "key", "region", "crowded", "times"), "inner"
     ))
     sorted_contexts = _contexts(asked).repartition("key").sortWithinPartitions("key", "suffix", "left")
-    single = _windows(asked.filter(F.exists("hits", lambda h: h["crowded"] == 1)))
-    single = stored(single)
-    twice = single.groupBy(F.col("key").alias("k"), F.col("window").alias("w")).agg(F.sum("times").alias("total")).filter("total > 1")
-    windows = (
-        single.filter("times = 1").join(twice, (F.col("key") == F.col("k")) & (F.col("window") == F.col("w")))
-        .select("doc_id", "key", "region", F.col("step").alias("start"), (F.col("step") + WINDOW).alias("stop"))
-    )
-    spans = one.unionByName(whole).unionByName(_scan(sorted_contexts)).unionByName(windows)
+    spans = one.unionByName(whole).unionByName(_scan(sorted_contexts)).unionByName(_crowded_spans(asked))
     return repeats.by_document(spans, "key", "region", "start", "stop")
 
 
@@ -265,8 +321,12 @@ def remove_repeats(docs: DataFrame, bucket: int = BUCKET, texts_too: bool = True
             if len(hits.text):
                 found, _ = _regions(data, offsets)
                 at, hit = hits.match(found)
-                start = found.first[at] + hits.start[hit]
-                stop = np.where(hits.stop[hit] < 0, found.last[at] + WINDOW, found.first[at] + hits.stop[hit])
+                start, stop = found.first[at] + hits.start[hit], found.first[at] + hits.stop[hit]
+                stop[hits.stop[hit] == -1] = (found.last[at] + WINDOW)[hits.stop[hit] == -1]
+                slots = np.flatnonzero(hits.stop[hit] == -2)
+                base = found.anchor[at[slots]] + SLOT * hits.start[hit[slots]]
+                start[slots] = np.maximum(base, found.first[at[slots]])
+                stop[slots] = np.minimum(base + SLOT - 1, found.last[at[slots]]) + WINDOW
                 gone = repeats.covered(len(data), start, stop)
             new = gone.copy()
             new[1:] &= ~gone[:-1]
