@@ -118,7 +118,7 @@ def test_near_duplicates_off_the_hub(spark):
         return " ".join(out)
 
     docs = [(i, changed(i)) for i in range(1, 30)] + [(50, " ".join(base))]
-    same(minmax.near_duplicates(table(spark, docs), words=3, percent=85, rows=4, star_rounds=1), brute.near(docs))
+    same(minmax.near_duplicates(table(spark, docs), words=3, percent=85, rows=4), brute.near(docs))
 
 
 def test_components(spark):

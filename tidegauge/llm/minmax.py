@@ -5,9 +5,11 @@ lowest and the highest, so a signature takes half as many hash evaluations as on
 same element in two sets with a probability equal to their Jaccard similarity, and the two ends together vary less.
 Bands of ``rows`` values are the candidate keys.
 
-Equal sets are one class from the start, met by a sum. Inside a band key only stars are compared, each class with one
-hub; a pair counts only after its whole sets have been compared. Pairs that the stars leave in different components are
-then compared too, so a class that is similar to another member but not to the hub is found all the same.
+Equal sets are one class from the start, met by a sum. Inside a band key first only a star is compared, each class with
+the hub, the class that meets most others; a pair counts only after its whole sets have been compared. Pairs that the
+stars leave in different components are then compared too, so a class that is similar to another member but not to the
+hub is found all the same. Of these, pairs are left out only where sizes, or the distances from the hub by the triangle
+inequality, prove that they are no links.
 
 With 24 bands of 4 values a pair at similarity 0.85 meets in no band with a probability of 2e-8, with 3 values at 0.8
 of 3e-8; all other steps are exact. Members of a band that are similar to a degree below the threshold and in different
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.components import components
-from tidegauge.llm.scratch import stored
+from tidegauge.llm.scratch import small_batches, stored
 from tidegauge.llm.text import LOWER, Sums, Words, mix, pieces, utf8
 
 BANDS = 24
@@ -91,8 +93,8 @@ def _signatures(docs: DataFrame, words: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+def _measured(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) with the Jaccard distance of their whole sets, and whether they are similar enough."""
     first = pairs.join(docs, F.col("a") == F.col("doc_id")).select("a", "b", F.col("text").alias("text_a"))
     both = first.join(docs, F.col("b") == F.col("doc_id")).select("a", "b", "text_a", F.col("text").alias("text_b"))
 
@@ -102,67 +104,77 @@ def _linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Data
             right = shingle_sets(*utf8(batch.column("text_b")), words)
             same = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right, strict=True)]
             good = [100 * s >= percent * (len(x) + len(y) - s) for s, x, y in zip(same, left, right, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            far = [1 - s / (len(x) + len(y) - s) for s, x, y in zip(same, left, right, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(far, pa.float64()), pa.array(good, pa.bool_())],
+                names=["a", "b", "distance", "linked"],
+            )
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, "a long, b long, distance double, linked boolean")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: int = 3, star_rounds: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest linked doc_id), kept (it is that one) of every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    small_batches(docs.sparkSession)
     signed = stored(_signatures(docs, words, rows))
     sized = signed.filter("n_shingles > 0 and doc_id is not null")
-    # One class per set; rows of one id with different texts are tied together below.
-    classes = stored(sized.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("head"), F.any_value("bands").alias("bands")))
-    keys = classes.select(F.col("head").alias("member"), F.posexplode("bands").alias("band", "value"))
+    # One class per set, named by its smallest id.
+    classes = stored(
+        sized.groupBy("set_a", "set_b")
+        .agg(F.min("doc_id").alias("head"), F.any_value("bands").alias("bands"), F.max("n_shingles").alias("size"))
+    )
+    keys = classes.select(F.col("head").alias("member"), "size", F.posexplode("bands").alias("band", "value"))
     shared = keys.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1").select(
-        F.col("band").alias("s_band"), F.col("value").alias("s_value")
+        F.col("band").alias("s_band"), F.col("value").alias("s_value"), "n"
     )
     in_band = (F.col("band") == F.col("s_band")) & (F.col("value") == F.col("s_value"))
-    keys = stored(keys.join(shared, in_band, "left_semi").distinct())
-    heads = keys.select(F.col("member").alias("head_id")).distinct()
-    # Texts of possible members only; an id with several texts keeps one here, its class was named by either.
-    named = classes.select(F.col("head").alias("c_head"), F.col("set_a").alias("c_a"), F.col("set_b").alias("c_b"))
-    texts = docs.join(heads, F.col("doc_id") == F.col("head_id"), "left_semi").dropDuplicates(["doc_id"])
-    texts = stored(texts)
+    keys = stored(keys.join(shared, in_band).select("band", "value", "member", "size", "n").distinct())
+    # The centre of a crowd meets most others, so it makes the best hub.
+    met = stored(keys.groupBy(F.col("member").alias("met_id")).agg(F.sum("n").alias("met")))
+    hubs = (
+        keys.join(met, F.col("member") == F.col("met_id")).groupBy(F.col("band").alias("s_band"), F.col("value").alias("s_value"))
+        .agg(F.max_by("member", F.struct("met", -F.col("member"))).alias("hub"))
+    )
+    keys = stored(keys.join(hubs, in_band).select("band", "value", "member", "size", "hub"))
+    texts = stored(docs.join(met, F.col("doc_id") == F.col("met_id"), "left_semi").dropDuplicates(["doc_id"]))
+
+    first, second = F.least("member", "hub").alias("a"), F.greatest("member", "hub").alias("b")
+    stars = stored(_measured(keys.filter("member != hub").select(first, second).distinct(), texts, words, percent))
+    links = stars.filter("linked").select("a", "b")
+
+    # Pairs that the stars leave in different components. Jaccard distance is a metric: two members whose distances from
+    # their hub differ by more than the threshold's cannot be linked, nor can two whose sizes differ too much.
+    joined = components(links).select(F.col("id").alias("m_id"), "component")
+    placed = keys.join(joined, F.col("member") == F.col("m_id"), "left").withColumn("component", F.coalesce("component", "member"))
+    split = placed.groupBy(F.col("band").alias("s_band"), F.col("value").alias("s_value")).agg(
+        F.min("component").alias("least"), F.max("component").alias("most")
+    ).filter("least != most")
+    spokes = stars.select(F.col("a").alias("s_a"), F.col("b").alias("s_b"), "distance")
+    open_keys = stored(
+        placed.join(split, in_band, "left_semi")
+        .join(spokes, (F.least("member", "hub") == F.col("s_a")) & (F.greatest("member", "hub") == F.col("s_b")), "left")
+        .select("band", "value", "member", "size", "component", F.coalesce("distance", F.lit(0.0)).alias("distance"))
+    )
+    other = open_keys.select(
+        F.col("band").alias("s_band"), F.col("value").alias("s_value"), F.col("member").alias("o_member"), F.col("size").alias("o_size"),
+        F.col("component").alias("o_component"), F.col("distance").alias("o_distance"),
+    )
+    possible = (
+        in_band & (F.col("member") < F.col("o_member")) & (F.col("component") != F.col("o_component"))
+        & (100 * F.least("size", "o_size") >= percent * F.greatest("size", "o_size"))
+        & (F.abs(F.col("distance") - F.col("o_distance")) <= 1 - percent / 100 + 1e-9)
+    )
+    pairs = open_keys.join(other, possible).select(F.col("member").alias("a"), F.col("o_member").alias("b")).distinct()
+    pairs = stored(pairs.join(spokes, (F.col("a") == F.col("s_a")) & (F.col("b") == F.col("s_b")), "left_anti"))
+    more = stored(_measured(pairs, texts, words, percent)).filter("linked").select("a", "b")
 
-    member = (
+    named = classes.select(F.col("head").alias("c_head"), F.col("set_a").alias("c_a"), F.col("set_b").alias("c_b"))
+    copies = (
         sized.join(named, (F.col("set_a") == F.col("c_a")) & (F.col("set_b") == F.col("c_b")))
         .select(F.col("doc_id").alias("a"), F.col("c_head").alias("b")).filter("a != b")
     )
-    links = tested = None
-    for turn in range(star_rounds + 1):
-        if links is None:
-            placed = keys.withColumn("component", F.col("member"))
-        else:
-            linked = components(links).select(F.col("id").alias("m_id"), "component")
-            placed = keys.join(linked, F.col("member") == F.col("m_id"), "left").select(
-                "band", "value", "member", F.coalesce("component", "member").alias("component")
-            )
-        mixed = placed.groupBy(F.col("band").alias("s_band"), F.col("value").alias("s_value")).agg(
-            F.min("component").alias("least"), F.max("component").alias("most"),
-            F.min_by("member", F.xxhash64("member", F.lit(turn))).alias("hub") if turn else F.min("member").alias("hub"),
-        ).filter("least != most")
-        open_keys = placed.join(mixed, in_band)
-        if turn < star_rounds:
-            pairs = open_keys.filter("member != hub").select(F.least("member", "hub").alias("a"), F.greatest("member", "hub").alias("b"))
-        else:
-            open_keys = stored(open_keys.select("band", "value", "member", "component"))
-            other = open_keys.select(
-                F.col("band").alias("s_band"), F.col("value").alias("s_value"),
-                F.col("member").alias("o_member"), F.col("component").alias("o_component"),
-            )
-            pairs = open_keys.join(other, in_band & (F.col("member") < F.col("o_member")) & (F.col("component") != F.col("o_component"))).select(
-                F.col("member").alias("a"), F.col("o_member").alias("b")
-            )
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        more = stored(_linked(pairs, texts, words, percent))
-        links = more if links is None else links.unionByName(more)
-    linked = components(links.unionByName(member)).select(F.col("id").alias("m_id"), "component")
+    linked = components(links.unionByName(more).unionByName(copies)).select(F.col("id").alias("m_id"), "component")
     component = F.coalesce("component", "doc_id")
     return signed.join(linked, F.col("doc_id") == F.col("m_id"), "left").select(
         "doc_id", "n_shingles", component.alias("component_id"),
