@@ -200,9 +200,9 @@ WITH RECURSIVE w AS (
 ), n AS (
   SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
 ), pairs AS (
-  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y USING (shingle) WHERE x.doc_id <> y.doc_id GROUP BY ALL
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y USING (shingle) WHERE x.doc_id <> y.doc_id GROUP BY ALL
 ), links AS (
-  SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * both >= 85 * (x.n + y.n - both)
+  SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * common >= 85 * (x.n + y.n - common)
 ), reach(a, b) AS (
   SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
 ), least_ AS (
