@@ -153,6 +153,24 @@ def test_quality_counts(spark, name):
     assert quality.passing(docs, labels).columns == docs.columns
 
 
+def test_quality_counts_lines_of_many_texts_together():
+    """Texts of one Arrow batch; some repeat their first line, some are empty or end with a line feed."""
+    import pyarrow as pa
+
+    from tidegauge.llm.text import utf8
+
+    r = random.Random(31)
+    texts = ["abc x", "def y\nzz\ndef y", None, "", "a\n", "\na\na", "a\n\na\n", " \n \nb", "\n"]
+    for _ in range(300):
+        own = [" ".join(r.choice("abc") for _ in range(r.randint(0, 3))) for _ in range(r.randint(1, 6))]
+        texts.append("\n".join([*own, own[0]] if r.random() < 0.3 else own))
+    r.shuffle(texts)
+    found = quality.count_text(*utf8(pa.array(texts)))
+    lines_of = [[line for line in (t or "").split("\n") if line.strip(" ")] for t in texts]
+    assert found["n_lines"].tolist() == [len(own) for own in lines_of]
+    assert found["n_dup_lines"].tolist() == [len(own) - len(set(own)) for own in lines_of]
+
+
 def test_cutoffs_keep_their_promise():
     assert abs(quality.at_most(2, 10, 0.3) - 0.3827827864) < 1e-9
     r = random.Random(4)

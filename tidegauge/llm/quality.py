@@ -70,10 +70,9 @@ def count_text(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         out[name] = _per_text(members[data], offsets)
 
     feeds = np.flatnonzero(data == 10)
+    # Every text has as many begins as ends, none beyond the text's own edges: in order, the k-th begin has the k-th end.
     begin = np.sort(np.concatenate([offsets[:-1], feeds + 1]), kind="stable")
-    begin = np.unique(begin[begin < len(data)])
-    stop = np.searchsorted(np.sort(np.concatenate([feeds, offsets[1:]])), begin)
-    stop = np.sort(np.concatenate([feeds, offsets[1:]]))[stop]
+    stop = np.sort(np.concatenate([feeds, offsets[1:]]), kind="stable")
     full = np.searchsorted(words.start, stop) > np.searchsorted(words.start, begin)
     begin, stop = begin[full], stop[full]
     text = np.searchsorted(offsets, begin, "right") - 1
