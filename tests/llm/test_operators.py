@@ -374,6 +374,33 @@ def test_line_dedup(spark, percent):
     assert lines.line_decisions(table(spark, [])).count() == 0
 
 
+def test_line_dedup_of_rows_with_equal_ids(spark):
+    """Rows of one id, null or not, with different texts: each loses its own repeated lines and no other's."""
+    first, second = "one two three", "once upon a time"
+    docs = [
+        (None, f"alpha beta\n{first}\ngamma delta"), (None, f"epsilon zeta\neta theta\n{first}"), (None, "iota kappa\nlambda mu\nnu xi"),
+        (7, f"{second}\nomicron pi"), (7, f"{second}\nrho sigma"), (7, f"{second}\nrho sigma"),
+    ]
+    reduced = [(x.doc_id, x.text) for x in lines.without_repeats(table(spark, docs)).collect()]
+    assert {t for d, t in reduced if d is None} == {docs[0][1], "epsilon zeta\neta theta", docs[2][1]}
+    # Which of the two texts stays whole is up to their hashes; the repeated row is treated as its copy.
+    own = Counter(t for d, t in reduced if d == 7)
+    assert own in (Counter({docs[3][1]: 1, "rho sigma": 2}), Counter({"omicron pi": 1, docs[4][1]: 2}))
+
+
+def test_line_dedup_verifies_the_line_of_each_row(spark):
+    """Similar, not equal lines, whose rows share id and line number with other lines."""
+    r = random.Random(17)
+    base = [r.choice(vocabulary()) for _ in range(60)]
+    docs = []
+    for i in range(20):
+        line = list(base) if i % 2 else [r.choice(vocabulary()) for _ in range(60)]
+        line[i] = f"only{i}"
+        docs.append((None if i < 10 else 5, " ".join(line)))
+    kept = lines.without_repeats(table(spark, docs)).filter("text != ''").count()
+    assert kept == 11
+
+
 def test_urls(spark):
     rules = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/de/", "block")]
     rows = [
