@@ -294,6 +294,47 @@ def test_toxicity_learns(spark):
     assert toxicity.toxicity(table(spark, []), spark.createDataFrame(labels, "doc_id long, toxic int")).count() == 0
 
 
+def test_toxicity_model_holds_every_gram(spark):
+    """Ratios of all labelled n-grams, of one document too, against plain Kneser-Ney sums."""
+    import math
+
+    def grams(text):
+        out = set()
+        for word in text.encode().split():
+            row = b"    " + word + b" "
+            out |= {row[i : i + 5] for i in range(len(row) - 4)}
+        return out
+
+    docs = [(0, "zorg plain words", 1), (1, "plain words here", 0), (4, "more plain words", 0), (5, "unlabelled zebra", None)]
+    ids = {t: np.array([i for i, _, own in docs if own == t], np.int64) for t in (0, 1)}
+    counts = toxicity._counts(spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string"), ids)
+    codes, ratios, contexts, free = toxicity._model(counts)
+    every = set().union(*(grams(t) for _, t, _ in docs))
+    of = {c: Counter(g for _, t, own in docs if own == c for g in grams(t)) for c in (1, 0)}
+    cont = Counter(g[1:] for g in every)
+    last = Counter(g[4:] for g in every)
+
+    def shared(g):
+        after = [n for c, n in cont.items() if c[:3] == g[1:4]]
+        return (max(cont[g[1:]] - 0.75, 0) + 0.75 * len(after) * last[g[4:]] / len(every)) / sum(after)
+
+    def parts(c, context):
+        after = [n for g, n in of[c].items() if g[:4] == context]
+        return sum(after), 0.75 * len(after) / sum(after) if after else 1.0
+
+    wanted, rest = {}, {}
+    for g in of[1].keys() | of[0].keys():
+        p = []
+        for c in (1, 0):
+            total, backoff = parts(c, g[:4])
+            p.append(max(of[c][g] - 0.75, 0) / max(total, 1) + backoff * shared(g))
+        wanted[int.from_bytes(g, "big")] = math.log(p[0] / p[1])
+        rest[int.from_bytes(g[:4], "big")] = math.log(parts(1, g[:4])[1] / parts(0, g[:4])[1])
+    assert codes.tolist() == sorted(wanted) and contexts.tolist() == sorted(rest)
+    assert np.allclose(ratios, [wanted[c] for c in codes.tolist()]) and np.allclose(free, [rest[c] for c in contexts.tolist()])
+    assert all(wanted[int.from_bytes(g, "big")] > 0 for g in grams("zorg") if g[:4] != b"    ")
+
+
 def test_winnowing(spark):
     words = vocabulary(3, 300)
     r = random.Random(12)

@@ -10,8 +10,9 @@ over all bytes of the text, and the two highest means over single words (a long
 function of these is fitted on labels that the counts did not see.
 
 Counts per class come from at most ``sample`` labelled documents each, the fit from at most ``sample`` of either class,
-the ones of lowest hash; so what is broadcast has a bound. Everything else covers all documents: the backoff counts, the
-scores. Rows whose crc32(doc_id) mod 4 is 2 are held out of both; of the others, remainders 0 and 1 are counted and 3 is
+the ones of lowest hash. Every n-gram and every context of these documents is in the model that is broadcast, those seen
+once too; 16 bytes each, it grows with the sampled texts but not with the table. Everything else covers all documents: the
+backoff counts, the scores. Rows whose crc32(doc_id) mod 4 is 2 are held out of both; of the others, remainders 0 and 1 are counted and 3 is
 fitted. Labels, lang, source and doc_id are not part of a score.
 
 Texts: a null or an empty text has all three figures 0 and gets the score of that. Without labels of both classes every
@@ -35,7 +36,7 @@ from tidegauge.llm.text import LOWER, Words, pieces, utf8
 ORDER = 5
 DISCOUNT = 0.75
 SAMPLE = 6000
-MODEL_GRAMS = 1 << 18
+CLASSES = ("n_toxic", "n_ordinary")
 _FLUSH = 1 << 20
 
 
@@ -140,42 +141,40 @@ def _model(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
         F.sum("before").alias("c_total"), F.count("*").alias("c_types")
     )
     single = counts.groupBy(letter.alias("l_letter")).agg(F.count("*").alias("l_count"))
+    letters = single.agg(F.sum("l_count")).first()[0]
     seen = counts.filter("n_toxic + n_ordinary > 0")
-    contexts = seen.groupBy(F.shiftright("code", 8).alias("context")).agg(
-        *[F.sum(c).alias(c) for c in ("n_toxic", "n_ordinary")],
-        *[F.sum((F.col(c) > 0).cast("long")).alias(f"types_{c}") for c in ("n_toxic", "n_ordinary")],
+    around = seen.groupBy(F.shiftright("code", 8).alias("context")).agg(
+        *[F.sum(c).alias(f"total_{c}") for c in CLASSES], *[F.count_if(F.col(c) > 0).alias(f"types_{c}") for c in CLASSES],
     )
-    top = seen.filter("n_toxic + n_ordinary > 1").orderBy(F.desc(F.col("n_toxic") + F.col("n_ordinary")), "code").limit(MODEL_GRAMS)
-    top = (
-        top.withColumn("suffix", suffix).withColumn("letter", letter)
+    backoff = {
+        c: F.when(F.col(f"total_{c}") > 0, DISCOUNT * F.col(f"types_{c}") / F.col(f"total_{c}")).otherwise(F.lit(1.0)) for c in CLASSES
+    }
+    around = stored(around.select("context", *[f"total_{c}" for c in CLASSES], *[backoff[c].alias(f"free_{c}") for c in CLASSES]))
+    labelled = around.agg(*[F.sum(f"total_{c}") for c in CLASSES]).first()
+    if not all(labelled):
+        return None
+    shared = (
+        F.greatest(F.col("before") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("c_types") * F.col("l_count") / F.lit(float(letters))
+    ) / F.col("c_total")
+    own = {c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.greatest(F.col(f"total_{c}"), F.lit(1)) for c in CLASSES}
+    logs = [F.log(own[c] + F.col(f"free_{c}") * shared) for c in CLASSES]
+    every = (
+        seen.withColumns({"suffix": suffix, "letter": letter})
+        .join(around, F.shiftright("code", 8) == F.col("context"))
         .join(cont, F.col("suffix") == F.col("c_suffix"))
         .join(by_context, F.shiftright("suffix", 8) == F.col("c_context"))
-        .join(single, F.col("letter") == F.col("l_letter"))
-        .select("code", "n_toxic", "n_ordinary", "before", "c_total", "c_types", "l_count").toPandas()
+        .join(F.broadcast(single), F.col("letter") == F.col("l_letter"))
+        .select("code", (logs[0] - logs[1]).alias("ratio"))
     )
-    around = contexts.orderBy(F.desc(F.col("n_toxic") + F.col("n_ordinary")), "context").limit(MODEL_GRAMS).toPandas()
-    if not len(top) or not around.n_toxic.sum() or not around.n_ordinary.sum():
-        return None
-    letters = single.agg(F.sum("l_count")).first()[0]
-    shared = (
-        np.maximum(top.before - DISCOUNT, 0) + DISCOUNT * top.c_types * (top.l_count / letters)
-    ) / top.c_total
-    around = around.sort_values("context").reset_index(drop=True)
-    keys = around.context.to_numpy(np.int64).view(np.uint64)
-    code = top.code.to_numpy(np.int64).view(np.uint64)
-    at = np.searchsorted(keys, code >> np.uint64(8))
-    at[at == len(keys)] = 0
-    within = keys[at] == code >> np.uint64(8)
-    ratio, free = np.zeros(len(top)), np.zeros(len(keys))
-    for c, sign in (("n_toxic", 1), ("n_ordinary", -1)):
-        total, types = around[c].to_numpy(float), around[f"types_{c}"].to_numpy(float)
-        backoff = np.where(total > 0, DISCOUNT * types / np.maximum(total, 1), 1.0)
-        free += sign * np.log(backoff)
-        own = np.maximum(top[c].to_numpy(float) - DISCOUNT, 0) / np.maximum(total[at], 1)
-        ratio += sign * np.log(own + backoff[at] * shared.to_numpy(float))
-    ratio = np.where(within, ratio, 0.0)
-    order = np.argsort(code)
-    return code[order], ratio[order], keys, free
+    rest = around.select("context", (F.log(f"free_{CLASSES[0]}") - F.log(f"free_{CLASSES[1]}")).alias("free"))
+    return *_sorted(every), *_sorted(rest)
+
+
+def _sorted(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The two columns of a table, by the first: 16 bytes a row on the driver."""
+    keys, values = (column.to_numpy() for column in table.toArrow().columns)
+    order = np.argsort(keys)
+    return keys[order].view(np.uint64), values[order]
 
 
 def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
