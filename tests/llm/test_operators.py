@@ -121,6 +121,17 @@ def test_near_duplicates_off_the_hub(spark):
     same(minmax.near_duplicates(table(spark, docs), words=3, percent=85, rows=4), brute.near(docs))
 
 
+def test_near_duplicates_of_an_id_with_several_texts(spark):
+    """Id 50 stands on rows of four texts, each similar to that of one other document."""
+    r = random.Random(41)
+    docs = []
+    for i in range(4):
+        base = [r.choice(vocabulary()) for _ in range(300)]
+        docs += [(50, " ".join(base)), (60 + i, " ".join([*base[:-1], "changed"]))]
+    found = minmax.near_duplicates(table(spark, docs), words=3, percent=85, rows=4).select("doc_id", "component_id", "kept")
+    same(found, [*[(50, 50, True)] * 4, *((60 + i, 50, False) for i in range(4))])
+
+
 def test_components(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(100, 125)] + [(1000, i) for i in range(1001, 1200)] + [(r.randrange(50), r.randrange(50)) for _ in range(30)]

@@ -16,7 +16,7 @@ of 3e-8; all other steps are exact. Members of a band that are similar to a degr
 components must be compared pair by pair; nothing bounds their number but the data.
 
 Texts: a null or an empty text has no shingles and is linked with nothing; fewer words than a shingle are one shingle.
-Rows with equal ids are the same document to the result: they share a component. A null id is linked with nothing.
+Rows with equal ids are the same document to the result: they share a component, linked by any of their texts. A null id is linked with nothing.
 """
 
 from __future__ import annotations
@@ -93,10 +93,22 @@ def _signatures(docs: DataFrame, words: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
 
 
-def _measured(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _class_texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(member, text): one text for each set of ``wanted`` (member, head), found by its own set and not by the id alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            names = np.array([mix(s).sum() for s in shingle_sets(*utf8(batch.column("text")), words)], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), batch.column("text")], names=["member", "text"])
+
+    own = docs.join(wanted.select("head").distinct(), F.col("doc_id") == F.col("head"), "left_semi").select("text")
+    return own.mapInArrow(run, "member long, text string").join(wanted, "member", "left_semi").dropDuplicates(["member"])
+
+
+def _measured(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) with the Jaccard distance of their whole sets, and whether they are similar enough."""
-    first = pairs.join(docs, F.col("a") == F.col("doc_id")).select("a", "b", F.col("text").alias("text_a"))
-    both = first.join(docs, F.col("b") == F.col("doc_id")).select("a", "b", "text_a", F.col("text").alias("text_b"))
+    first = pairs.join(texts, F.col("a") == F.col("member")).select("a", "b", F.col("text").alias("text_a"))
+    both = first.join(texts, F.col("b") == F.col("member")).select("a", "b", "text_a", F.col("text").alias("text_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text_a"):
@@ -119,12 +131,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     small_batches(docs.sparkSession)
     signed = stored(_signatures(docs, words, rows))
     sized = signed.filter("n_shingles > 0 and doc_id is not null")
-    # One class per set, named by its smallest id.
+    # One class per set, named by half of the set's own name: an id may stand on rows of several sets.
     classes = stored(
         sized.groupBy("set_a", "set_b")
         .agg(F.min("doc_id").alias("head"), F.any_value("bands").alias("bands"), F.max("n_shingles").alias("size"))
     )
-    keys = classes.select(F.col("head").alias("member"), "size", F.posexplode("bands").alias("band", "value"))
+    keys = classes.select(F.col("set_a").alias("member"), "size", F.posexplode("bands").alias("band", "value"))
     shared = keys.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1").select(
         F.col("band").alias("s_band"), F.col("value").alias("s_value"), "n"
     )
@@ -134,10 +146,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     met = stored(keys.groupBy(F.col("member").alias("met_id")).agg(F.sum("n").alias("met")))
     hubs = (
         keys.join(met, F.col("member") == F.col("met_id")).groupBy(F.col("band").alias("s_band"), F.col("value").alias("s_value"))
-        .agg(F.max_by("member", F.struct("met", -F.col("member"))).alias("hub"))
+        .agg(F.max_by("member", F.struct("met", "member")).alias("hub"))
     )
     keys = stored(keys.join(hubs, in_band).select("band", "value", "member", "size", "hub"))
-    texts = stored(docs.join(met, F.col("doc_id") == F.col("met_id"), "left_semi").dropDuplicates(["doc_id"]))
+    wanted = classes.join(met, F.col("set_a") == F.col("met_id"), "left_semi").select(F.col("set_a").alias("member"), "head")
+    texts = stored(_class_texts(docs, stored(wanted), words))
 
     first, second = F.least("member", "hub").alias("a"), F.greatest("member", "hub").alias("b")
     stars = stored(_measured(keys.filter("member != hub").select(first, second).distinct(), texts, words, percent))
@@ -174,7 +187,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
         sized.join(named, (F.col("set_a") == F.col("c_a")) & (F.col("set_b") == F.col("c_b")))
         .select(F.col("doc_id").alias("a"), F.col("c_head").alias("b")).filter("a != b")
     )
-    linked = components(links.unionByName(more).unionByName(copies)).select(F.col("id").alias("m_id"), "component")
+    heads = classes.select(F.col("set_a").alias("h_set"), F.col("head").alias("h_id"))
+    alike = links.unionByName(more).join(heads, F.col("a") == F.col("h_set")).select(F.col("h_id").alias("h_a"), "b")
+    alike = alike.join(heads, F.col("b") == F.col("h_set")).select(F.col("h_a").alias("a"), F.col("h_id").alias("b")).filter("a != b")
+    linked = components(alike.unionByName(copies)).select(F.col("id").alias("m_id"), "component")
     component = F.coalesce("component", "doc_id")
     return signed.join(linked, F.col("doc_id") == F.col("m_id"), "left").select(
         "doc_id", "n_shingles", component.alias("component_id"),
