@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import lines, minmax, packing, quality, recompression, suffix_array, token_file, toxicity, urls, winnow
+from tidegauge.llm import (
+    bpe_automaton,
+    lines,
+    minmax,
+    packing,
+    quality,
+    recompression,
+    suffix_array,
+    token_file,
+    toxicity,
+    urls,
+    winnow,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,6 +98,13 @@ def op10_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.remove_repeats(docs, texts_too=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op13_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe_automaton.round_trip_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES["op2_winnowing_decontamination"] = rf"""
