@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.llm import (
     bpe_automaton,
+    cholesky_qr,
     lines,
     minmax,
     packing,
@@ -98,6 +99,11 @@ def op10_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.remove_repeats(docs, texts_too=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op11_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cholesky_qr.whitened(_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
