@@ -14,6 +14,7 @@ from tidegauge.llm import (
     packing,
     quality,
     recompression,
+    repair,
     suffix_array,
     token_file,
     toxicity,
@@ -104,6 +105,12 @@ def op11_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cholesky_qr.whitened(_table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damaged(turns), turns)
+
+
 @query
 def op13_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
