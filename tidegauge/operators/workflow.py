@@ -1,68 +1,59 @@
 """Workflow summary: nested session summaries of every (device, channel, app).
 
-The state of a key is inherently ordered, so a key cannot simply be salted. Instead the events are range
-partitioned on (key, time, id): every partition ("block") is a contiguous stretch of the total order, so a
-key that holds a third of the rows is spread over a third of the blocks.
-
-* Keys that begin and end inside a block are finished there, in one pass.
-* The last key of a block starts there, so its state at the block's end is exact; the state is handed on.
-* The first key of a block may have started earlier. Its events up to the first app START are handed on as
-  they are. From that START on the block assumes the START found nothing it depends on, which is what an app
-  START does, since it closes the app session it finds.
-* A second stage stitches the handed-on pieces of every key in order. It feeds the handed-on events and the
-  app START to the true state and checks the assumption. Where it does not hold, the key is done over
-  without assumptions, so the result is exact either way.
-
-Events are handed on in a short form: a run of events that neither start nor end a session is added up in the
-block. The one ordered walk per key that is left sees a key's STARTs and ENDs and one entry per run.
-
-Results of the first stage are read twice and range bounds are sampled per execution, so the first stage is
-written to the shared checkpoint folder.
+What a session counts is a sum over the events between its START and its end, so only the question which sessions are open
+is ordered. Everything else is grouping:
+
+1. Events are grouped by (key, time slot). Window functions inside a slot cut them into *runs*: one START, one END, or events
+   of other kinds in a row. Times and stays on pages are worked out there, so a key that holds a third of all events is
+   spread over as many groups as it has slots.
+2. The runs of a key, one small row each, are walked in order (:mod:`tidegauge.operators.session_walk`). The walk gives
+   (run, session) pairs, and a row per summary with what is left: times, and the stays on pages from one run to the next.
+3. What the events of a run count for is joined to the run's sessions and added up, with partial sums before the shuffle, so
+   a session as long as the whole input is no hot group.
+
+The events in runs and the walk's result are read twice, so they are written to the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.dates import sync_ts
 from tidegauge.functions.values import DEFAULT_APP, centiseconds, flat_responses, parse_json, summary_id, to_json_text
-from tidegauge.operators.session_tree import Event, Runs, SessionTree
-from tidegauge.operators.sessions import interaction_rate
+from tidegauge.operators.session_walk import Row, Walk
+from tidegauge.operators.sessions import INTERACT_TYPES, interaction_rate
 from tidegauge.schemas import V3_EVENT
 from tidegauge.session import ensure_checkpoint_dir
 
 KEYS = ["did", "channel", "pdata_id"]
 SERVER_EVENTS = ("LOG", "AUDIT", "SEARCH")
-_PIECE_PARTS = 500
-_OUT_ROWS = 500
+#: Length of the time slots in which runs are cut.
+SLOT_MS = 86_400_000
 
-_PAGES = "array<struct<id:string,type:string,env:string,ms:bigint,visits:bigint>>"
-_SUMMARY_DDL = (
-    "did string, channel string, pdata_id string, head string, type string, mode string, start_time bigint, "
-    "end_time bigint, spent_cs bigint, interactions bigint, counts array<struct<id:string,count:bigint>>, "
-    f"pages {_PAGES}, items array<string>, sync_ms bigint"
-)
-_STAGE_DDL = f"kind string, block int, seq bigint, piece binary, {_SUMMARY_DDL}"
 _SUMMARY_COLUMNS = [
     "did", "channel", "pdata_id", "head", "type", "mode", "start_time", "end_time", "spent_cs", "interactions",
     "counts", "pages", "items", "sync_ms",
 ]
-_PA_PAGES = pa.list_(pa.struct([
-    ("id", pa.string()), ("type", pa.string()), ("env", pa.string()), ("ms", pa.int64()), ("visits", pa.int64()),
-]))
-_PA_STAGE = pa.schema([
-    ("kind", pa.string()), ("block", pa.int32()), ("seq", pa.int64()), ("piece", pa.binary()),
-    ("did", pa.string()), ("channel", pa.string()), ("pdata_id", pa.string()), ("head", pa.string()),
-    ("type", pa.string()), ("mode", pa.string()), ("start_time", pa.int64()), ("end_time", pa.int64()),
+_SUMMARY_DDL = (
+    "head string, type string, mode string, start_time bigint, end_time bigint, spent_cs bigint, interactions bigint, "
+    "lead array<struct<id:string,ms:bigint>>, sync_ms bigint"
+)
+_WALK_DDL = (
+    "did string, channel string, pdata_id string, slot bigint, run bigint, node bigint, epoch bigint, part bigint, "
+    f"opens boolean, summary struct<{_SUMMARY_DDL}>"
+)
+_PA_SUMMARY = pa.struct([
+    ("head", pa.string()), ("type", pa.string()), ("mode", pa.string()), ("start_time", pa.int64()), ("end_time", pa.int64()),
     ("spent_cs", pa.int64()), ("interactions", pa.int64()),
-    ("counts", pa.list_(pa.struct([("id", pa.string()), ("count", pa.int64())]))),
-    ("pages", _PA_PAGES), ("items", pa.list_(pa.string())), ("sync_ms", pa.int64()),
+    ("lead", pa.list_(pa.struct([("id", pa.string()), ("ms", pa.int64())]))), ("sync_ms", pa.int64()),
+])
+_PA_WALK = pa.schema([
+    *[(k, pa.string()) for k in ("did", "channel", "pdata_id")],
+    *[(c, pa.int64()) for c in ("slot", "run", "node", "epoch", "part")], ("opens", pa.bool_()), ("summary", _PA_SUMMARY),
 ])
 
 _HEAD = (
@@ -143,9 +134,9 @@ def session_keys(events: DataFrame, default_app: str = DEFAULT_APP) -> DataFrame
     )
 
 
-def session_columns(keyed: DataFrame) -> DataFrame:
-    """Flat columns for the session state; nested parts that are only passed on travel as JSON text."""
-    head = F.struct(
+def _head() -> Column:
+    """What a summary takes from the event that opens its session, as JSON text."""
+    return to_json_text(F.struct(
         F.coalesce("sid", F.lit("")).alias("sid"),
         F.coalesce("uid", F.lit("")).alias("uid"),
         "ver",
@@ -155,7 +146,11 @@ def session_columns(keyed: DataFrame) -> DataFrame:
         "cdata",
         "rollup",
         "object",
-    )
+    ))
+
+
+def _item() -> Column:
+    """An answer as JSON text, null for events without one."""
     answer = F.col("answer")
     item = F.struct(
         answer["id"].alias("itemId"),
@@ -171,176 +166,127 @@ def session_columns(keyed: DataFrame) -> DataFrame:
         answer["title"].alias("qtitle"),
         answer["desc"].alias("qdesc"),
     )
-    return keyed.select(
-        *KEYS,
-        "ets",
-        "mid",
-        "eid",
-        "etype",
-        "mode",
-        "pageid",
-        "env",
-        to_json_text(head).alias("head"),
-        F.when(answer.isNotNull(), to_json_text(item)).alias("item"),
-        sync_ts("sync_time").alias("sync_ms"),
-    )
-
-
-def session_events(events: DataFrame, default_app: str = DEFAULT_APP) -> DataFrame:
-    return session_columns(session_keys(events, default_app))
-
-
-_ORDER = [*KEYS, "ets", "mid", "eid", "etype"]
-
-
-# ---- stages inside tasks ----------------------------------------------------------------------------------
-
-
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch in batches:
-        yield from zip(*(column.to_pylist() for column in batch.columns))
-
-
-class _Writer:
-    """Collects output rows and hands them out as record batches of limited size."""
+    return F.when(answer.isNotNull(), to_json_text(item))
 
-    def __init__(self):
-        self.rows = []
 
-    def summaries(self, key: tuple, found: list[dict]):
-        did, channel, pdata_id = key
-        for row in found:
-            self.rows.append({"kind": "summary", "did": did, "channel": channel, "pdata_id": pdata_id, **row})
+# ---- runs -------------------------------------------------------------------------------------------------
 
-    def piece(self, kind: str, key: tuple, block: int = 0, seq: int = 0, content=None):
-        did, channel, pdata_id = key
-        self.rows.append({
-            "kind": kind, "block": block, "seq": seq, "did": did, "channel": channel, "pdata_id": pdata_id,
-            "piece": None if content is None else pickle.dumps(content),
-        })
+_ORDER = ["ets", "mid", "eid", "etype"]
+_COUNT, _PAGE, _ITEM_FACT = 0, 1, 2
+_FACT = "struct<kind:int,id:string,ms:bigint,visits:bigint>"
 
-    def batches(self, at_least: int = _OUT_ROWS) -> Iterator[pa.RecordBatch]:
-        if len(self.rows) >= max(at_least, 1):
-            rows, self.rows = self.rows, []
-            yield pa.RecordBatch.from_pylist(rows, schema=_PA_STAGE)
 
+def session_runs(keyed: DataFrame, idle_ms: int, break_ms: int, slot_ms: int = SLOT_MS) -> DataFrame:
+    """Keyed events with their place (slot, run), whether they open the run, and their ``facts``: their kind, the stay on a
+    page of the run that they end, the page they show, their answer. A run's last event also holds the run's walk row.
 
-def _starts_app(event: Event) -> bool:
-    return event.eid == "START" and (event.etype or "").lower() == "app" and not event.mode
+    The stay on a page that was in view before the run is the row's ``lead_ms``; a step that ends in a view counts twice.
+    All comes from one pass over a slot in its order: a run's totals are differences of running sums.
+    """
+    slot = Window.partitionBy(*KEYS, "slot").orderBy(*_ORDER)
+    until = slot.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = slot.rowsBetween(Window.unboundedPreceding, -1)
+    view, structural = F.col("eid") == "IMPRESSION", F.col("eid").isin("START", "END")
+    clicked = F.coalesce((F.col("eid") == "INTERACT") & F.lower("etype").isin(*INTERACT_TYPES), F.lit(False))
+    last, opens, seen = F.col("last"), F.col("opens"), F.col("seen")
+    gap = F.col("ets") - last["ets"]
+    on_page = ~opens & F.coalesce(seen["run"] == F.col("run"), F.lit(False))
+    step = F.when(view, 2 * gap).otherwise(gap)
+    events = (
+        keyed.withColumn("slot", F.floor(F.col("ets") / slot_ms))
+        .withColumn("last", F.lag(F.struct("ets", structural.alias("cut"))).over(slot))
+        .withColumn("opens", last.isNull() | structural | last["cut"] | (gap > break_ms))
+        .withColumn("closes", F.coalesce(F.lead("opens").over(slot), F.lit(True)))
+        .withColumn("run", F.sum(opens.cast("bigint")).over(until))
+        .withColumn("seen", F.last(F.when(view & ~opens, F.struct("run", "pageid")), ignorenulls=True).over(before))
+        .withColumn("spent", F.sum(F.when(~opens & (gap <= idle_ms), F.floor((gap + 5) / 10)).otherwise(0)).over(until))
+        .withColumn("clicks", F.sum((clicked & ~opens).cast("bigint")).over(until))
+        .withColumn("waited", F.sum(F.when(~opens & ~on_page, step).otherwise(0)).over(until))
+    )
+    sums = ("spent", "clicks", "waited")
+    opener = F.when(opens, F.struct(
+        F.row_number().over(slot).alias("at"), "ets", "eid", F.lower("etype").alias("type"), F.coalesce("mode", F.lit("")).alias("mode"),
+        clicked.alias("clicked"), view.alias("viewed"), "pageid", _head().alias("head"), sync_ts("sync_time").alias("sync"), *sums,
+    ))
+    first = F.last(opener, ignorenulls=True).over(until)
+    events = events.withColumns({"first": F.when(F.col("closes"), first), "at": F.row_number().over(slot)})
+    first = F.col("first")
+    shown = F.when(view & ~opens, F.struct("run", "pageid"))
+    latest = F.coalesce(shown, F.when(seen["run"] == F.col("run"), seen))
+    row = F.struct(
+        first["ets"].alias("first_ets"), F.col("ets").alias("last_ets"), (F.col("at") - first["at"] + 1).alias("events"),
+        *[first[c].alias(c) for c in ("eid", "type", "mode", "clicked", "viewed")], first["pageid"].alias("page"),
+        *[(F.col(c) - first[c]).alias(name) for c, name in zip(sums, ("spent_cs", "clicks", "lead_ms"), strict=True)],
+        latest.isNotNull().alias("seen"), latest["pageid"].alias("last_page"), first["head"].alias("head"),
+        first["sync"].alias("first_sync"), sync_ts("sync_time").alias("last_sync"),
+    )
 
+    def fact(kind: int, id_: Column, ms: Column | None = None, visits: int = 0) -> Column:
+        ms = F.lit(0) if ms is None else ms
+        return F.struct(F.lit(kind).alias("kind"), id_.alias("id"), ms.alias("ms"), F.lit(visits).alias("visits")).cast(_FACT)
 
-def _block_stage(idle_ms: int, break_ms: int, assume: bool = True):
-    """First stage: one block of the total order.
+    facts = F.filter(
+        F.array(
+            fact(_COUNT, F.col("eid")),
+            F.when(on_page, fact(_PAGE, seen["pageid"], step)),
+            F.when(view, fact(_PAGE, F.col("pageid"), visits=1)),
+            F.when(F.col("answer").isNotNull(), fact(_ITEM_FACT, F.lit(None).cast("string"))),
+        ),
+        lambda f: f.isNotNull(),
+    )
+    return events.select(
+        *KEYS, "slot", "run", "opens", "ets", "mid", F.col("etype").alias("type"), "env", facts.alias("facts"), _item().alias("item"),
+        F.when(F.col("closes"), row).alias("row"),
+    )
 
-    With ``assume`` off nothing is finished here: every key is handed on, with its runs added up.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId()
-        out = _Writer()
-        key, tree, head, seq, first_key = None, None, Runs(idle_ms, break_ms), 0, True
-        for row in _rows(batches):
-            row_key, event = row[:3], Event(*row[3:])
-            if row_key != key:
-                if key is not None:
-                    if tree is None:
-                        out.piece("events", key, block, seq, head.take())
-                    else:
-                        tree.flush()
-                        out.summaries(key, tree.take())
-                        if first_key:
-                            out.piece("done", key, block, seq)
-                    first_key = False
-                key, seq = row_key, 0
-                tree = None if first_key or not assume else SessionTree(idle_ms, break_ms)
-            if tree is None:
-                if assume and _starts_app(event):
-                    out.piece("events", key, block, seq, head.take())
-                    out.piece("cut", key, block, seq + 1, event)
-                    seq += 2
-                    tree = SessionTree(idle_ms, break_ms)
-                else:
-                    head.push(event)
-                    if len(head.parts) >= _PIECE_PARTS:
-                        out.piece("events", key, block, seq, head.take())
-                        seq += 1
-            if tree is not None:
-                tree.feed(event)
-                if tree.done:
-                    out.summaries(key, tree.take())
-            yield from out.batches()
-        if key is not None:
-            if tree is None:
-                out.piece("events", key, block, seq, head.take())
-            else:
-                out.piece("state", key, block, seq, tree)
-        yield from out.batches(1)
+def walk_rows(events: DataFrame) -> DataFrame:
+    """The runs as rows of a walk, in the order of :class:`Row`."""
+    return events.where("row is not null").select(*KEYS, "slot", "run", *[F.col(f"row.{c}").alias(c) for c in Row._fields])
 
-    return run
 
+# ---- the walk ---------------------------------------------------------------------------------------------
 
-def _stitch_stage(idle_ms: int, break_ms: int):
-    """Second stage: the handed-on pieces of every key, in order."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = _Writer()
-        key, tree, skip = None, None, False
-
-        def end():
-            if key is not None and not skip and tree is not None:
-                tree.flush()
-                out.summaries(key, tree.take())
-
-        for did, channel, pdata_id, kind, piece in _rows(batches):
-            if (did, channel, pdata_id) != key:
-                end()
-                key, tree, skip = (did, channel, pdata_id), SessionTree(idle_ms, break_ms), False
-            if skip:
-                continue
-            content = None if piece is None else pickle.loads(piece)
-            if kind == "events":
-                for part in content:
-                    tree.feed_part(part)
-                    if tree.done:
-                        out.summaries(key, tree.take())
-                        yield from out.batches()
-            elif kind == "cut":
-                tree.feed(content)
-                if tree.starts_fresh():
-                    out.summaries(key, tree.take())
-                    tree = None
-                else:
-                    out.piece("again", key)
-                    skip = True
-            elif kind == "state":
-                tree = content
-            yield from out.batches()
-        end()
-        yield from out.batches(1)
+def _walked(idle_ms: int, break_ms: int):
+    """Rows of whole keys in order to (run, session) pairs and summaries."""
 
-    return run
+    def batch(keys: list[pa.Array], places: list[pa.Array], columns: list, summaries: list | None) -> pa.RecordBatch:
+        size = len(keys[0])
+        numbers = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.bool_()), strict=True)]
+        last = pa.nulls(size, _PA_SUMMARY) if summaries is None else pa.array(summaries, _PA_SUMMARY)
+        return pa.RecordBatch.from_arrays([*keys, *places, *numbers, last], schema=_PA_WALK)
 
-
-def _ordered_stage(idle_ms: int, break_ms: int):
-    """Whole keys in order, one after the other."""
+    def ended(rows: list[tuple[tuple, dict]]) -> pa.RecordBatch:
+        keys = [pa.array(c, pa.string()) for c in zip(*(key for key, _ in rows), strict=True)]
+        places = [pa.nulls(len(rows), pa.int64())] * 2
+        numbers = [[s[c] for _, s in rows] for c in ("node", "epoch", "part")]
+        return batch(keys, places, [*numbers, [None] * len(rows)], [s for _, s in rows])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = _Writer()
-        key, tree = None, None
-        for row in _rows(batches):
-            if row[:3] != key:
-                if tree is not None:
-                    tree.flush()
-                    out.summaries(key, tree.take())
-                key, tree = row[:3], SessionTree(idle_ms, break_ms)
-            tree.feed(Event(*row[3:]))
-            if tree.done:
-                out.summaries(key, tree.take())
-                yield from out.batches()
-        if tree is not None:
-            tree.flush()
-            out.summaries(key, tree.take())
-        yield from out.batches(1)
+        key, walk, done = None, None, []
+        for found in batches:
+            at, counted = [], []
+            for i, (did, channel, pdata_id, _, _, *row) in enumerate(zip(*(c.to_pylist() for c in found.columns), strict=True)):
+                if (did, channel, pdata_id) != key:
+                    if walk is not None:
+                        walk.flush()
+                        done += [(key, s) for s in walk.ended]
+                    key, walk = (did, channel, pdata_id), Walk(idle_ms, break_ms)
+                walk.feed(Row._make(row))
+                at += [i] * len(walk.counted)
+                counted += walk.counted
+                done += [(key, s) for s in walk.ended]
+            if at:
+                rows = found.select(found.schema.names[:5]).take(pa.array(at))
+                yield batch(rows.columns[:3], rows.columns[3:], list(zip(*counted, strict=True)), None)
+            if done:
+                yield ended(done)
+                done = []
+        if walk is not None:
+            walk.flush()
+            if walk.ended:
+                yield ended([(key, s) for s in walk.ended])
 
     return run
 
@@ -348,52 +294,70 @@ def _ordered_stage(idle_ms: int, break_ms: int):
 # ---- operator ---------------------------------------------------------------------------------------------
 
 
-def _blocks(keyed: DataFrame, idle_ms: int, break_ms: int, blocks: int | None, assume: bool) -> DataFrame:
-    ranges = [blocks] if blocks else []
-    return (
-        keyed.repartitionByRange(*ranges, *KEYS, "ets", "mid")
-        .sortWithinPartitions(*_ORDER)
-        .transform(session_columns)
-        .mapInArrow(_block_stage(idle_ms, break_ms, assume), _STAGE_DDL)
+def _facts_of_sessions(pairs: DataFrame, events: DataFrame) -> DataFrame:
+    """Facts per session and epoch, each with the part from which on it counts."""
+    same = [F.col(f"p.{k}").eqNullSafe(F.col(f"e.{k}")) for k in KEYS] + [F.col(f"p.{k}") == F.col(f"e.{k}") for k in ("slot", "run")]
+    keys = [F.col(f"p.{k}").alias(k) for k in KEYS]
+    rows = (
+        pairs.alias("p").join(events.drop("row").alias("e"), same)
+        .select(
+            *keys, "p.node", "p.epoch", "p.part", (F.col("p.opens") & F.col("e.opens")).alias("opener"), "e.ets", "e.mid", "e.type",
+            "e.env", "e.item", F.explode("e.facts").alias("f"),
+        )
+        # The event that opens a session is counted, but is no view or answer of it.
+        .where(~F.col("opener") | (F.col("f.kind") == _COUNT))
+    )
+    return rows.groupBy(*KEYS, "node", "epoch", "part", F.col("f.kind").alias("kind"), F.col("f.id").alias("id")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("f.ms").alias("ms"), F.sum("f.visits").alias("visits"),
+        F.min(F.when(F.col("f.visits") == 1, F.struct("ets", "mid", "type", "env"))).alias("shown"),
+        F.collect_list(F.when(F.col("f.kind") == _ITEM_FACT, F.struct("ets", "mid", "item"))).alias("items"),
     )
 
 
-def _stitch(pieces: DataFrame, idle_ms: int, break_ms: int) -> DataFrame:
-    return (
-        pieces.repartition(*KEYS)
-        .sortWithinPartitions(*KEYS, "block", "seq")
-        .select(*KEYS, "kind", "piece")
-        .mapInArrow(_stitch_stage(idle_ms, break_ms), _STAGE_DDL)
+def _put_together(facts: DataFrame, summaries: DataFrame) -> DataFrame:
+    """Summaries with their counts, pages and answers."""
+    fact = F.struct("part", "kind", "id", "n", "ms", "visits", "shown", "items")
+    ended = F.struct("part", "summary")
+    both = facts.select(*KEYS, "node", "epoch", fact.alias("fact")).unionByName(
+        summaries.select(*KEYS, "node", "epoch", ended.alias("ended")), allowMissingColumns=True
     )
+    rows = both.groupBy(*KEYS, "node", "epoch").agg(F.collect_list("fact").alias("facts"), F.collect_list("ended").alias("ended"))
+    rows = rows.select(*KEYS, "facts", F.explode("ended").alias("ended"))
+    mine = F.filter("facts", lambda f: (f["part"] <= F.col("ended.part")) & (f["kind"] == _COUNT))
+    zero = F.lit(0).cast("bigint")
+    counts = F.transform(
+        F.sort_array(F.array_distinct(F.transform(mine, lambda f: f["id"]))),
+        lambda id_: F.struct(
+            id_.alias("id"), F.aggregate(F.filter(mine, lambda f: f["id"] == id_), zero, lambda n, f: n + f["n"]).alias("count")
+        ),
+    )
+    lead = lambda id_: F.aggregate(
+        F.filter("ended.summary.lead", lambda p: p["id"].eqNullSafe(id_)), zero, lambda ms, p: ms + p["ms"]
+    )
+    pages = F.sort_array(F.transform(
+        F.filter("facts", lambda f: f["kind"] == _PAGE),
+        lambda f: F.struct(
+            f["id"].alias("id"), f["shown"]["type"].alias("type"), f["shown"]["env"].alias("env"),
+            (f["ms"] + lead(f["id"])).alias("ms"), f["visits"].alias("visits"),
+        ),
+    ))
+    answers = F.flatten(F.transform(F.filter("facts", lambda f: f["kind"] == _ITEM_FACT), lambda f: f["items"]))
+    items = F.transform(F.sort_array(answers), lambda a: a["item"])
+    return rows.select(
+        *KEYS, "ended.summary.*", counts.alias("counts"), pages.alias("pages"), items.alias("items")
+    ).select(*_SUMMARY_COLUMNS)
 
 
-def raw_summaries(keyed: DataFrame, idle_ms: int, break_ms: int, blocks: int | None = None) -> DataFrame:
-    """Distinct summaries of keyed events, before ids, rates and nested parts are put together.
-
-    Range bounds are sampled from the input, which runs it once more; so only the key columns are computed before
-    the shuffle and everything else after it.
-    """
+def raw_summaries(keyed: DataFrame, idle_ms: int, break_ms: int, slot_ms: int = SLOT_MS) -> DataFrame:
+    """Distinct summaries of keyed events, before ids, rates and nested parts are put together."""
     ensure_checkpoint_dir(keyed.sparkSession)
-    first = _blocks(keyed, idle_ms, break_ms, blocks, True).checkpoint()
-    second = _stitch(first.where("kind != 'summary'"), idle_ms, break_ms).checkpoint()
-    found = first.where("kind = 'summary'").unionByName(second.where("kind = 'summary'"))
-    again = second.where("kind = 'again'").select(*KEYS).distinct()
-    if not again.isEmpty():
-        same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in KEYS]
-        rows = keyed.alias("l").join(again.alias("r"), same, "left_semi")
-        redone = _stitch(_blocks(rows, idle_ms, break_ms, blocks, False), idle_ms, break_ms)
-        found = found.alias("l").join(again.alias("r"), same, "left_anti").unionByName(redone)
-    return found.select(*_SUMMARY_COLUMNS).dropDuplicates()
-
-
-def ordered_summaries(keyed: DataFrame, idle_ms: int, break_ms: int) -> DataFrame:
-    """The same rows from one hash shuffle, a key in one task: for inputs known to have no hot key."""
-    return (
-        keyed.repartition(*KEYS)
-        .sortWithinPartitions(*_ORDER)
-        .transform(session_columns)
-        .mapInArrow(_ordered_stage(idle_ms, break_ms), _STAGE_DDL)
+    rows = session_runs(keyed, idle_ms, break_ms, slot_ms).checkpoint()
+    walked = (
+        walk_rows(rows).repartition(*KEYS).sortWithinPartitions(*KEYS, "slot", "run")
+        .mapInArrow(_walked(idle_ms, break_ms), _WALK_DDL).checkpoint()
     )
+    facts = _facts_of_sessions(walked.where("summary is null"), rows)
+    return _put_together(facts, walked.where("summary is not null")).dropDuplicates()
 
 
 def finish_summaries(raw: DataFrame) -> DataFrame:
@@ -450,20 +414,11 @@ def finish_summaries(raw: DataFrame) -> DataFrame:
 
 
 def workflow_summary(
-    events: DataFrame, idle_time: int = 600, session_break_time: int = 30, blocks: int | None = None,
-    default_app: str = DEFAULT_APP, spread_keys: bool = True,
+    events: DataFrame, idle_time: int = 600, session_break_time: int = 30, slot_ms: int = SLOT_MS, default_app: str = DEFAULT_APP
 ) -> DataFrame:
-    """Flat summaries of V3 events; ``idle_time`` in seconds, ``session_break_time`` in minutes.
-
-    ``spread_keys=False`` keeps every key in one task and needs no sampling pass: a lazy plan with one shuffle for
-    inputs whose keys are known to be small.
-    """
+    """Flat summaries of V3 events; ``idle_time`` in seconds, ``session_break_time`` in minutes."""
     keyed = session_keys(events, default_app)
-    idle_ms, break_ms = idle_time * 1000, session_break_time * 60_000
-    if spread_keys:
-        return finish_summaries(raw_summaries(keyed, idle_ms, break_ms, blocks))
-    raw = ordered_summaries(keyed, idle_ms, break_ms).select(*_SUMMARY_COLUMNS).dropDuplicates()
-    return finish_summaries(raw)
+    return finish_summaries(raw_summaries(keyed, idle_time * 1000, session_break_time * 60_000, slot_ms))
 
 
 def summary_events(
