@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegauge.operators import workflow as W
+from tidegauge.operators.session_walk import Row, Walk
 
 CHANNEL, APP = "channel.a", "app.a"
 
@@ -21,9 +22,9 @@ def line(eid, ets, kind=None, mode=None, did="device-1", mid=None, page=None, en
     })
 
 
-def summaries(spark, lines, blocks=None):
+def summaries(spark, lines):
     events = W.read_events(spark.createDataFrame([(x,) for x in lines], "value string"))
-    return W.workflow_summary(events, blocks=blocks).collect()
+    return W.workflow_summary(events).collect()
 
 
 SHORT = [
@@ -114,65 +115,82 @@ def random_lines(seed, keys, count, app_starts=True):
     return lines
 
 
-@pytest.mark.parametrize("seed,app_starts", [(1, True), (2, True), (3, False)])
-def test_result_does_not_depend_on_the_cut(spark, seed, app_starts):
-    """A key with half of all rows spread over many blocks gives what one ordered pass gives."""
+@pytest.mark.parametrize("seed,app_starts", [(1, True), (3, False)])
+def test_result_does_not_depend_on_the_slots(spark, seed, app_starts):
+    """A key with half of all rows, cut into few or many slots, with runs of one event or of hundreds."""
     lines = random_lines(seed, [f"d{i}" for i in range(6)], 1500, app_starts)
     events = W.session_keys(W.read_events(spark.createDataFrame([(x,) for x in lines], "value string"))).cache()
-    want = W.ordered_summaries(events, 600_000, 1_800_000).select(*W._SUMMARY_COLUMNS).dropDuplicates()
-    expected = sorted(map(str, want.collect()))
+    expected = sorted(map(str, W.raw_summaries(events, 600_000, 1_800_000, 10**13).collect()))
     assert len(expected) > 50
-    for blocks in (1, 3, 12):
-        got = W.raw_summaries(events, 600_000, 1_800_000, blocks).collect()
-        assert sorted(map(str, got)) == expected
-
-
-def test_wrong_assumption_is_noticed_and_done_over(spark):
-    """An app START that finds a session apart from its root is no fresh start; such keys are done over."""
+    for slot_ms in (86_400_000, 1_000_000):
+        assert sorted(map(str, W.raw_summaries(events, 600_000, 1_800_000, slot_ms).collect())) == expected
+
+
+def walked(*events, break_ms=1_800_000):
+    """Types and counted events of the summaries that a walk of (eid, type, mode) rows, a second apart, gives."""
+    walk, counts, found = Walk(600_000, break_ms), {}, []
+
+    def take():
+        found.extend((s["type"], s["mode"], s["start_time"] // 1000, s["end_time"] // 1000, counts[s["node"], s["epoch"]]) for s in walk.ended)
+
+    for second, (eid, kind, mode) in enumerate(events, 1):
+        ets = 1000 * second
+        walk.feed(Row(ets, ets, 1, eid, kind, mode, False, False, None, 0, 0, 0, False, None, "{}", ets, ets))
+        for node, epoch, _, _ in walk.counted:
+            counts[node, epoch] = counts.get((node, epoch), 0) + 1
+        take()
+    walk.flush()
+    take()
+    return found
+
+
+def test_sessions_set_apart_end_with_the_one_around_them():
+    opened = [("START", "app", ""), ("START", "a", ""), ("START", "b", ""), ("START", "c", "")]
+    # END of b ends c, the topmost; a is on top again, and b stays open in it until a ends.
+    assert walked(*opened, ("END", "b", ""), ("X", None, ""), ("END", "a", "")) == [
+        ("c", "", 4, 5, 2), ("a", "", 2, 7, 6), ("b", "", 3, 5, 3), ("app", "", 1, 7, 7),
+    ]
+    # A START of a ends a and all inside; the second a is new.
+    assert walked(*opened[:3], ("X", None, ""), ("START", "a", ""), ("X", None, "")) == [
+        ("a", "", 2, 4, 3), ("b", "", 3, 4, 2), ("app", "", 1, 6, 6), ("a", "", 5, 6, 2),
+    ]
+
+
+def test_ends_of_an_ended_session_and_unknown_ends():
+    assert walked(("END", "a", ""), ("START", "app", ""), ("X", None, ""), ("END", "z", ""), ("END", "app", ""), ("END", "app", "")) == [
+        ("app", "", 2, 5, 3), ("app", "", 2, 6, 4),
+    ]
+    # In another case the bottom one is meant; as the topmost lies on it, that one ends.
+    assert walked(("START", "app", ""), ("START", "a", "Play"), ("X", None, ""), ("END", "a", "play")) == [
+        ("a", "Play", 2, 4, 3), ("app", "", 1, 4, 4),
+    ]
+
+
+def test_a_break_keeps_the_stack_and_starts_from_zero():
+    assert walked(("START", "app", ""), ("START", "a", ""), ("X", None, ""), ("END", "a", ""), break_ms=1500) == [
+        ("a", "", 2, 4, 3), ("app", "", 1, 4, 4),
+    ]
+    found = walked(("START", "app", ""), ("START", "a", ""), ("X", "app", ""), ("X", None, ""), ("X", None, ""), break_ms=999)
+    assert [f[:4] for f in found] == [("app", "", 2, 3), ("a", "", 2, 3), ("app", "", 4, 4), ("a", "", 4, 4), ("app", "", 5, 5), ("a", "", 5, 5)]
+
+
+def test_a_hot_key_is_dealt_over_its_slots(spark):
+    """Of 20,000 events 70% are one device's, without any app START: they lie in many groups, and the walk sees the runs."""
     t = 1_600_000_000_000
-    lines = [line("START", t, "player", "play"), line("INTERACT", t + 1000, "click"), line("END", t + 2000, "player", "play"),
-             line("END", t + 2500, "player", "play")]
-    for i in range(40):
-        at = t + 3000 + i * 10_000
-        # The child is closed by its END and the next START opens a session apart while the root stays open.
-        lines += [line("START", at, "player", "play"), line("START", at + 10, "editor"), line("END", at + 20, "editor"),
-                  line("END", at + 30, "player", "play"), line("START", at + 40, "app", "x"), line("START", at + 50, "app"),
-                  line("INTERACT", at + 60, "click")]
-    events = W.session_keys(W.read_events(spark.createDataFrame([(x,) for x in lines], "value string"))).cache()
-    want = sorted(map(str, W.ordered_summaries(events, 600_000, 1_800_000).select(*W._SUMMARY_COLUMNS).dropDuplicates().collect()))
-    for blocks in (4, 9):
-        assert sorted(map(str, W.raw_summaries(events, 600_000, 1_800_000, blocks).collect())) == want
-
-
-def test_again_marks(spark):
-    """The second stage reports a key whose app START did not start fresh."""
-    from tidegauge.operators.session_tree import Event, SessionTree
-
-    def event(eid, ets, kind, mode=None):
-        return Event(ets, str(ets), eid, kind, mode, None, None, "{}", None, 0)
-
-    tree = SessionTree(600_000, 1_800_000)
-    for e in (event("START", 1, "app", "x"), event("START", 2, "app")):
-        tree.feed(e)
-    assert not tree.starts_fresh() and tree.current.parent is tree.root
-    fresh = SessionTree(600_000, 1_800_000)
-    for e in (event("START", 1, "app"), event("INTERACT", 5, "click"), event("START", 9, "app")):
-        fresh.feed(e)
-    assert fresh.starts_fresh()
-
-
-def test_seen_again_keys_in_the_plan(spark):
-    lines = random_lines(7, ["only"], 800)
-    events = W.session_keys(W.read_events(spark.createDataFrame([(x,) for x in lines], "value string"))).cache()
-    kinds = (
-        events.repartitionByRange(8, *W.KEYS, "ets", "mid").sortWithinPartitions(*W._ORDER).transform(W.session_columns)
-        .mapInArrow(W._block_stage(600_000, 1_800_000), W._STAGE_DDL).groupBy("kind").count().collect()
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 10 < 7, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 50)).alias("did"), F.lit("c").alias("channel"),
+        F.lit("a").alias("pdata_id"), (t + F.col("id") * 60_000).alias("ets"), F.col("id").cast("string").alias("mid"),
+        F.when(F.col("id") % 100 == 0, "START").when(F.col("id") % 100 == 53, "END").otherwise("OTHER").alias("eid"),
+        F.lit("player").alias("etype"), F.lit("play").alias("mode"), F.lit(None).cast("string").alias("pageid"), F.lit("e").alias("env"),
     )
-    counts = {r.kind: r["count"] for r in kinds}
-    assert counts["cut"] >= 7 and counts["state"] == 8 and counts["summary"] > 0
-
-
-def test_one_shuffle_form_agrees(spark):
-    events = W.read_events(spark.createDataFrame([(x,) for x in random_lines(5, ["a", "b", "c"], 300)], "value string"))
-    spread, plain = W.workflow_summary(events), W.workflow_summary(events, spread_keys=False)
-    assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+    wide = W.session_keys(W.read_events(spark.createDataFrame([(line("X", 1),)], "value string"))).limit(0)
+    events = wide.unionByName(rows, allowMissingColumns=True)
+    placed = W.session_runs(events, 600_000, 1_800_000)
+    groups = placed.groupBy("did", "slot").count().where("did = 'hot'").collect()
+    assert len(groups) == 15 and max(g["count"] for g in groups) < 1100
+    assert W.walk_rows(placed).where("did = 'hot'").count() < 900
+    summaries = W.raw_summaries(events, 600_000, 1_800_000).where("did = 'hot'").collect()
+    # Every device event is in the app session around all; a player session holds START to END.
+    app = max(summaries, key=lambda r: r.end_time - r.start_time)
+    assert app.type == "app" and sum(c["count"] for c in app.counts) == 14_001
+    assert {sum(c["count"] for c in r.counts) for r in summaries if r.type == "player"} == {39}

@@ -91,12 +91,14 @@ class Walk:
         self.numbers = 0
         self.counted: list[tuple[int, int, int, bool]] = []
         self.ended: list[dict] = []
+        self.broke: int | None = None  # how many of them ended by a break before the row, if there was one
 
     def feed(self, row: Row) -> None:
-        self.counted, self.ended = [], []
+        self.counted, self.ended, self.broke = [], [], None
         live = bool(self.stack) and not self.over
         if live and row.first_ets - self.last_ets > self.break_ms and row.type != "app":
             self._end_from(0)
+            self.broke = len(self.ended)
             for frame in self.stack:
                 frame.restart()
         self.last_ets = row.last_ets

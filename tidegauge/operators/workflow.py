@@ -169,6 +169,14 @@ def _item() -> Column:
     return F.when(answer.isNotNull(), to_json_text(item))
 
 
+def session_events(events: DataFrame, default_app: str = DEFAULT_APP) -> DataFrame:
+    """Flat events for the stream: nested parts that are only passed on travel as JSON text."""
+    return session_keys(events, default_app).select(
+        *KEYS, "ets", "mid", "eid", "etype", "mode", "pageid", "env", _head().alias("head"), _item().alias("item"),
+        sync_ts("sync_time").alias("sync_ms"),
+    )
+
+
 # ---- runs -------------------------------------------------------------------------------------------------
 
 _ORDER = ["ets", "mid", "eid", "etype"]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions.values import to_json_text
 from tidegauge.operators import workflow as W
 from tidegauge.plans.queries import k_of, query
-from tidegauge.plans.queries.sessions import BREAK_MS, IDLE_MS, v3_events
+from tidegauge.plans.queries.sessions import BREAK_MS, IDLE_MS, nested_sql, v3_events, written
 from tidegauge.session import ensure_checkpoint_dir
 from tidegauge.streaming import streams as S
 
@@ -99,12 +99,18 @@ def stream_micro_batches(spark, sf_dir):
     return spark.read.parquet(f"{home}/out").groupBy("eid").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("k"))
 
 
-@query("stream_workflow")
+@query("stream_workflow", f"""{nested_sql(f"ets <= (SELECT epoch_us({_ENDED}) // 1000)", ended=False)}
+  SELECT did, type, mode, start_time, end_time, time_spent, items, events_summary, page_summary, env_summary, mid FROM summaries""")
 def stream_workflow(spark, sf_dir):
-    """Nested summaries of the event stream; the tests compare them with the batch result."""
+    """Nested summaries of the event stream: the batch rows of all that the watermark has passed."""
     events = W.session_events(v3_events(spark, sf_dir))
     home = _home(spark, "workflow-in")
     events.write.parquet(home)
     stream = spark.readStream.schema(events.schema).parquet(home)
     raw = _drain(spark, S.stream_summaries(stream, IDLE_MS, BREAK_MS), "workflow")
-    return W.finish_summaries(raw).select("did", "type", "mode", "start_time", "end_time", "time_spent", "mid")
+    return W.finish_summaries(raw).select(
+        "did", "type", "mode", "start_time", "end_time", "time_spent", F.size("item_responses").cast("bigint").alias("items"),
+        written("events_summary", "id", "count").alias("events_summary"),
+        written("page_summary", "id", "type", "env", "time_spent", "visit_count").alias("page_summary"),
+        written("env_summary", "env", "time_spent", "count").alias("env_summary"), "mid",
+    )

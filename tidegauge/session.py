@@ -18,6 +18,8 @@ SESSION_CONF = {
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Streaming state on disk with timers and several variables a key; state as large as memory is no limit there.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 #: Those that results or a busy key's shuffle depend on, set on sessions made elsewhere too.
@@ -25,6 +27,7 @@ RUNTIME_CONF = (
     "spark.sql.session.timeZone",
     "spark.sql.sessionWindow.merge.sessions.in.local.partition",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition",
+    "spark.sql.streaming.stateStore.providerClass",
 )
 
 
