@@ -64,11 +64,16 @@ def event_date(text: Column | str) -> Column:
     return F.when(parsed.isNotNull(), F.to_date(F.substring(text, 1, 10)))
 
 
-def dates_between(start: Column | str, end: Column | str, pattern: str = "yyyy-MM-dd") -> Column:
-    """Inclusive list of days; empty when start is after end (a bare sequence would run backwards)."""
+def day_sequence(start: Column | str, end: Column | str) -> Column:
+    """Inclusive list of days as dates; empty when start is after end (a bare sequence would run backwards)."""
     start, end = _c(start).cast("date"), _c(end).cast("date")
-    days = F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<date>"))
-    return F.transform(days, lambda day: F.date_format(day, pattern))
+    return F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<date>"))
+
+
+def dates_between(start: Column | str, end: Column | str, pattern: str = "yyyy-MM-dd") -> Column:
+    """``day_sequence`` as text. Who needs a few of the days picks them from the dates and formats those."""
+    written = lambda day: day.cast("string") if pattern == "yyyy-MM-dd" else F.date_format(day, pattern)
+    return F.transform(day_sequence(start, end), written)
 
 
 def start_date(end: Column | str, delta: int | Column) -> Column:

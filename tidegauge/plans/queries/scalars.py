@@ -68,11 +68,27 @@ def week_label(spark, sf_dir):
 def dates_between(spark, sf_dir):
     """All line items; the days of one that was shipped before it was ordered are an empty list."""
     rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    days = rows.withColumn("days", D.dates_between("o_orderdate", "l_shipdate", "yyyyMMdd"))
-    return days.select(
-        "l_orderkey", "l_linenumber", F.size("days").alias("size"), F.get("days", F.lit(0)).alias("first"),
-        F.try_element_at("days", F.lit(-1)).alias("last"), F.get("days", F.floor(F.size("days") / 2).cast("int")).alias("middle"),
-        D.days_between("o_orderdate", "l_shipdate").alias("n"), D.start_date("l_shipdate", 3).cast("string").alias("start"),
+    days, written = D.day_sequence("o_orderdate", "l_shipdate"), lambda day: F.date_format(day, "yyyyMMdd")
+    # The lists are made once per row and only the days that are asked for become text.
+    picked = F.transform(F.array(days), lambda d: F.struct(
+        F.size(d).alias("size"), written(F.get(d, F.lit(0))).alias("first"), written(F.try_element_at(d, F.lit(-1))).alias("last"),
+        written(F.get(d, F.floor(F.size(d) / 2).cast("int"))).alias("middle"),
+    ))
+    return rows.select(
+        "l_orderkey", "l_linenumber", F.inline(picked), D.days_between("o_orderdate", "l_shipdate").alias("n"),
+        D.start_date("l_shipdate", 3).cast("string").alias("start"),
+    )
+
+
+@query("order_days", """
+  SELECT o_orderkey, array_to_string([strftime(o_orderdate + d * INTERVAL 1 DAY, '%Y%m%d') FOR d IN range(-2, 3)], ',') AS days,
+    array_to_string([strftime(o_orderdate + d * INTERVAL 1 DAY, '%Y-%m-%d') FOR d IN range(0, 2)], ',') AS dates FROM orders""")
+def order_days(spark, sf_dir):
+    """The days around every order as text, in both patterns."""
+    orders = table(spark, sf_dir, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
+    return orders.select(
+        "o_orderkey", F.array_join(D.dates_between(F.date_sub("day", 2), F.date_add("day", 2), "yyyyMMdd"), ",").alias("days"),
+        F.array_join(D.dates_between("day", F.date_add("day", 1)), ",").alias("dates"),
     )
 
 
