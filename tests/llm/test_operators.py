@@ -197,13 +197,14 @@ def test_cutoffs_keep_their_promise():
     none = [0] * (quality.BINS + 1)
     assert quality.choose_cutoff([*none, 20], [*none, 20], 0.01, 0.01) is None
     assert quality.choose_cutoff([*none, 9000], [*none, 20], 0.01, 0.01) is None
-    assert quality.choose_cutoff([*none, 9000], [20] * 101 + [*none[101:], 20], 0.01, 0.01) == 100 / quality.BINS
+    assert quality.choose_cutoff([*none, 9000], [20] * 101 + [*none[101:], 20], 0.01, 0.01) == 50 / quality.BINS
 
 
 def test_quality_rejects_what_labels_allow(spark):
     r = random.Random(8)
-    plain = [(i, " ".join(r.choice(vocabulary()) for _ in range(40)), "en") for i in range(2500)]
-    junk = [(10_000 + i, " ".join("#" + r.choice(vocabulary()) + "|" for _ in range(40)), "en") for i in range(20)]
+    known = vocabulary()
+    plain = [(i, " ".join(r.choice(known) for _ in range(40)), "en") for i in range(2500)]
+    junk = [(10_000 + i, " ".join("#" + r.choice(known) + "|" for _ in range(40)), "en") for i in range(20)]
     docs = spark.createDataFrame(plain + junk, "doc_id long, text string, lang string")
     labels = spark.createDataFrame([*((i, 1) for i in range(2500)), *((10_000 + i, 0) for i in range(10))], "doc_id long, quality int")
     kept = {row.doc_id for row in quality.passing(docs, labels).collect()}

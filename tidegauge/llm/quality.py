@@ -142,20 +142,23 @@ def at_most(k: int, n: int, p: float) -> float:
 
 
 def choose_cutoff(good: list[int], bad: list[int], limit: float, level: float) -> float | None:
-    """One of the proven cutoffs: the one that parts bad from good best, and of equal ones the highest.
+    """One of the proven cutoffs: the one that parts bad from good best, and of equal ones the middle.
 
     good[i] and bad[i] are the numbers of labelled documents beyond i / BINS, the last entries those of all. Every step
-    down to the lowest proven cutoff holds at ``level``, so any of them may be chosen.
+    down to the lowest proven cutoff holds at ``level``, so any of them may be chosen. Equal ones leave a gap between the
+    labelled bad and the good; its middle is not tied to the worst or best document that happens to have a label.
     """
     n, m = good[-1], max(1, bad[-1])
-    best, cutoff = 0.0, None
+    gains = []
     for i in range(BINS, -1, -1):
         if good[i] > n * limit or at_most(good[i], n, limit) > level:
             break
-        gain = bad[i] / m - good[i] / n
-        if gain > best:
-            best, cutoff = gain, i / BINS
-    return cutoff
+        gains.append((bad[i] / m - good[i] / n, i))
+    best = max((gain for gain, _ in gains), default=0.0)
+    if best <= 0:
+        return None
+    equal = [i for gain, i in gains if gain == best]
+    return (equal[0] + equal[-1]) // 2 / BINS
 
 
 def cutoffs(counted: DataFrame, labels: DataFrame, risk: float = 0.05, delta: float = 0.05) -> DataFrame:
