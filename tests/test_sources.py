@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegauge.schemas import Dispatcher, Fetcher, JobConfig, LEGACY_EVENT, Query, StorageConfig
+from tidegauge.sources import dated_lines
 from tidegauge.sources import paths as P
 from tidegauge.sources import readers as R
 from tidegauge.sources import writers as K
@@ -169,3 +170,51 @@ def test_cluster_needs_a_shared_checkpoint_folder():
     context = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(SimpleNamespace(sparkContext=context, conf=conf))
+
+
+def test_dated_lines_reads_wanted_files_only(spark, tmp_path):
+    """Files that an option rules out are broken archives, so opening one would fail."""
+    for day in range(1, 10):
+        for number in (1, 2):
+            name = tmp_path / f"2020-03-{day:02d}-{number}-x.json.gz"
+            if day in (4, 6) and number == 2:
+                with gzip.open(name, "wt") as out:
+                    out.write(f"line {day}a\r\nline {day}b")
+            else:
+                name.write_bytes(b"broken")
+    (tmp_path / "2020-03-05-2-skip.json.gz").write_bytes(b"broken")
+    (tmp_path / "2020-03-05-2-x.json.gz").unlink()
+    (tmp_path / "notes.txt").write_text("no date\n\nlast\n")
+    load = lambda *days, **o: dated_lines.read_days(spark, str(tmp_path), *days, exclude="skip", **o)
+    lines = load("2020-03-04", "2020-03-06", parts=[2, 7])
+    assert sorted((str(r.day), r.part, r.value) for r in lines.collect()) == [
+        ("2020-03-04", 2, "line 4a"), ("2020-03-04", 2, "line 4b"), ("2020-03-06", 2, "line 6a"), ("2020-03-06", 2, "line 6b"),
+    ]
+    # Filters stay with Spark, so a frame may be used with several of them.
+    day = lambda d: F.col("day") == F.lit(f"2020-03-{d:02d}").cast("date")
+    both = lines.where(day(4)).unionByName(lines.where(day(6)))
+    assert sorted(r.value for r in both.collect()) == ["line 4a", "line 4b", "line 6a", "line 6b"]
+    assert load("2021-01-01", "2021-01-31").count() == 0 and load("2020-03-06", "2020-03-01").count() == 0
+    other = tmp_path / "other"
+    other.mkdir()
+    (other / "notes.txt").write_text("no date\n\nlast\n")
+    kept = dated_lines.read_days(spark, str(other)).collect()
+    assert [(r.day, r.part, r.value) for r in kept] == [(None, None, "no date"), (None, None, ""), (None, None, "last")]
+    with pytest.raises(Exception, match="cannot be read"):
+        load(date_pattern="yyyy-MM").count()
+    assert dated_lines.read_days(spark, str(tmp_path / "missing")).count() == 0
+
+
+def test_dated_lines_splits_and_folders(spark, tmp_path):
+    for day in range(1, 8):
+        folder = tmp_path / "2020" / "03" / f"{day:02d}"
+        folder.mkdir(parents=True)
+        for i in range(3):
+            (folder / f"{i}.json").write_text("x" * 99 + "\n")
+    load = lambda **o: dated_lines.read_days(spark, f"file:{tmp_path}", date_pattern="yyyy/MM/dd", **o)
+    one = load(split_bytes=1)
+    assert one.count() == 21 and one.rdd.getNumPartitions() == 21 and load(split_bytes=250).rdd.getNumPartitions() == 11
+    week = load(split_bytes=1, end="2020-03-02")
+    assert week.rdd.getNumPartitions() == 6 and week.select("day").distinct().count() == 2
+    reader = dated_lines.DatedLinesReader({"path": str(tmp_path), "date_pattern": "yyyy/MM/dd", "start": "2020-03-02", "end": "2020-03-02"})
+    assert [str(f[1]) for p in reader.partitions() for f in p.files] == ["2020-03-02"] * 3

@@ -34,12 +34,23 @@ def _day(text: str | None) -> date:
     return datetime.strptime(text, "%Y-%m-%d").date() if text else date.today()
 
 
-def _format(day: date, pattern: str) -> str:
+def date_text(day: date, pattern: str) -> str:
     for letters, code in _STRFTIME.items():
         pattern = pattern.replace(letters, code)
     return day.strftime(pattern)
 
 
+def date_expression(pattern: str) -> str:
+    """Regular expression for a date in the pattern, with groups y, m and d."""
+    groups = {"yyyy": r"(?P<y>\d{4})", "MM": r"(?P<m>\d{2})", "dd": r"(?P<d>\d{2})", "HH": r"\d{2}"}
+    text = re.escape(pattern)
+    for letters, group in groups.items():
+        text = text.replace(letters, group)
+    if not all(letters in pattern for letters in ("yyyy", "MM", "dd")):
+        raise ValueError(f"a day cannot be read from {pattern}")
+    return text
+
+
 def query_days(query: Query) -> list[date]:
     """Days of a query: from its start date, or ``delta`` days back from its end; empty when start is after end."""
     end = _day(query.end_date)
@@ -58,9 +69,9 @@ def object_paths(query: Query, store: str = "s3", account: str | None = None) ->
     bucket, prefix = query.bucket, query.prefix or DEFAULT_PREFIX
     pattern = query.date_pattern or DEFAULT_DATE_PATTERN
     if query.folder:
-        day = _format(_day(query.end_date), pattern)
+        day = date_text(_day(query.end_date), pattern)
         return [storage_uri(store, bucket, f"{prefix}{day}/*", account)]
-    return [storage_uri(store, bucket, f"{prefix}{_format(day, pattern)}*", account) for day in query_days(query)]
+    return [storage_uri(store, bucket, f"{prefix}{date_text(day, pattern)}*", account) for day in query_days(query)]
 
 
 def partition_pattern(query: Query) -> str | None:
