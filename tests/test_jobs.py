@@ -129,3 +129,54 @@ def test_device_filter_on_stream_windows(spark):
     for gap, want in (("7 minutes", [1, 1]), ("8 minutes", [2])):
         gaps = S.gap_sessions(df, "t", gap, [], [F.count(F.lit(1)).alias("n")])
         assert sorted(r.n for r in gaps.collect()) == want
+
+
+def test_requests_meet_their_rows(spark):
+    from tidegauge.operators.requests import match_requests
+
+    rows = [(1, "a", 5.0), (2, "a", None), (3, "b", 50.0), (4, None, 7.0), (5, "b", -1.0)]
+    data = spark.createDataFrame(rows, "id int, kind string, value double")
+    condition = lambda name, operator, value: {"name": name, "operator": operator, "value": value}
+    wanted = {
+        "key": ([condition("kind", "EQ", "a")], {1, 2}),
+        "key and more": ([condition("value", "GE", "5"), condition("kind", "EQ", "b")], {3}),
+        "no key": ([condition("value", "LT", "10")], {1, 4, 5}),
+        "none": ([], {1, 2, 3, 4, 5}),
+        "not": ([condition("kind", "NE", "a")], {3, 4, 5}),
+        "one of": ([condition("kind", "IN", "a|c"), condition("value", "GT", "0")], {1}),
+        "number key": ([condition("id", "EQ", "4")], {4}),
+        "no such field": ([condition("nothing", "EQ", "a")], set()),
+        "unknown operator": ([condition("kind", "LIKE", "a"), condition("kind", "EQ", "a")], set()),
+        "no number": ([condition("value", "GT", "x")], set()),
+    }
+    requests = spark.createDataFrame([(k, json.dumps({"filters": f})) for k, (f, _) in wanted.items()], "request_id string, request_data string")
+    found = {(r.request_id, r.id) for r in match_requests(data, requests).collect()}
+    assert found == {(k, i) for k, (_, ids) in wanted.items() for i in ids}
+    assert match_requests(data, requests.limit(0)).count() == 0 and match_requests(data.limit(0), requests).count() == 0
+    broken = spark.createDataFrame([("x", "no json"), ("y", None)], "request_id string, request_data string")
+    assert match_requests(data, broken).count() == 10
+
+
+def test_metric_records_of_a_failed_model(spark, config, tmp_path):
+    def fails(data, params):
+        raise ValueError("no")
+
+    sink = {"to": "file", "params": {"file": str(tmp_path / "metrics")}}
+    from tidegauge.schemas import Dispatcher
+
+    status = J.run_models(
+        spark, JobConfig.from_dict(config), [FunctionModel("Failing", fails)], metric_sinks=[Dispatcher(sink["to"], sink["params"])], now=123
+    ).first()
+    assert (status.status, status.input_events, status.message) == ("FAILED", len(SHORT) + 1 + len(LONG), "no")
+    record = spark.read.json(str(tmp_path / "metrics")).first()
+    assert (record.metricts, record.subsystem, record.metrics[0].value) == (123, "Failing", 26.0)
+
+
+def test_streaming_job_from_json(spark, config, tmp_path):
+    config["search"]["queries"][0]["file"] = str(tmp_path / "in")
+    config["modelParams"]["checkpoint"] = str(tmp_path / "place")
+    J.run_job(spark, "streaming", json.dumps(config), [WorkflowSummaryModel()]).awaitTermination()
+    assert spark.read.option("recursiveFileLookup", True).json(str(tmp_path / "out")).count() == 10
+    config["modelParams"].pop("checkpoint")
+    with pytest.raises(ValueError, match="checkpoint"):
+        J.run_job(spark, "streaming", config, [])

@@ -91,13 +91,14 @@ def test_dispatch_errors(spark):
 def test_write_back(spark, tmp_path):
     db = str(tmp_path / "jobs.db")
     with sqlite3.connect(db) as c:
-        c.execute("CREATE TABLE job_request (request_id TEXT, status TEXT, download_urls TEXT)")
-        c.executemany("INSERT INTO job_request VALUES (?, 'SUBMITTED', NULL)", [("a",), ("b'",), ("c",)])
+        c.execute("CREATE TABLE job_request (request_id TEXT, status TEXT, download_urls TEXT, dt_job_completed TEXT)")
+        c.executemany("INSERT INTO job_request VALUES (?, 'SUBMITTED', NULL, NULL)", [("a",), ("b'",), ("c",)])
     done = spark.createDataFrame([("a", ["x", "y"]), ("b'", [])], "request_id string, download_urls array<string>")
+    done = done.withColumn("dt_job_completed", F.lit("2020-01-02 03:04:05").cast("timestamp"))
     K.complete_requests(done.coalesce(1), "job_request", lambda: sqlite3.connect(db), batch=1)
     with sqlite3.connect(db) as c:
         assert c.execute("SELECT * FROM job_request ORDER BY 1").fetchall() == [
-            ("a", "COMPLETED", "x,y"), ("b'", "COMPLETED", ""), ("c", "SUBMITTED", None)]
+            ("a", "COMPLETED", "x,y", "2020-01-02 03:04:05"), ("b'", "COMPLETED", "", "2020-01-02 03:04:05"), ("c", "SUBMITTED", None, None)]
     with pytest.raises(ValueError):
         K.completion_statement("t; DROP TABLE t")
 

@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidegauge.operators.merge import (
     merge_report, normalise_delta, output_columns, parsed_date, report_documents, rollup_spec,
@@ -122,22 +123,27 @@ def write_report(
 
 def merge_report_files(
     spark: SparkSession, config: MergeConfig, report_path: str, delta_path: str, today: str, store: str = "local",
-    container: str | None = None, one_file: bool = False,
+    container: str | None = None, one_file: bool = False, account: str | None = None, delta_at: StorageConfig | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """Merge a delta file into a report file: back the old report up, then write CSV and JSON.
 
-    A missing report means the delta becomes the report. The merged rows are written to the checkpoint folder
-    before the report they were read from is replaced. A failure to write is raised.
+    The delta may lie elsewhere (``delta_at``): in another container, or in one of another account. Which account a path names
+    settles which key Spark uses, so private and public files are told apart by their accounts. A missing report means the
+    delta becomes the report on a plain file system; in a store an empty one with ``schema`` (the delta's, by default).
+    The merged rows are written to the checkpoint folder before the report they were read from is replaced. A failure to
+    write is raised.
     """
     ensure_checkpoint_dir(spark)
     name, pattern = rollup_spec(config)
-    delta = read_report(spark, storage_uri(store, container, delta_path))
+    source = delta_at or StorageConfig(store, container, "", account)
+    delta = read_report(spark, storage_uri(source.store, source.container, delta_path, source.account))
     if delta is None:
         raise FileNotFoundError(delta_path)
     delta = normalise_delta(delta, name, pattern)
-    old = read_report(spark, storage_uri(store, container, report_path))
+    old = read_report(spark, storage_uri(store, container, report_path, account))
     if old is None:
-        old = delta if store == "local" else spark.createDataFrame([], delta.schema)
+        old = delta if store == "local" else spark.createDataFrame([], schema or delta.schema)
     columns = output_columns(old, config)
     merged = merge_report(old, delta, config).checkpoint()
     old = old.checkpoint()
@@ -146,7 +152,7 @@ def merge_report_files(
     header = {"header": "true"}
 
     def save(rows: DataFrame, where: str, report_id: str, order: Sequence[str]) -> None:
-        target = StorageConfig(store, container, where)
+        target = StorageConfig(store, container, where, account)
         by_date = [parsed_date(name, pattern)] if name in rows.columns else []
         documents = report_documents(rows, columns, config.metric_labels, order=by_date)
         write_report(documents, target, "json", report_id, one_file=one_file)
@@ -155,3 +161,20 @@ def merge_report_files(
     save(old, f"{folder}/report-backups", f"{stem}-{today}", ())
     save(merged, folder or ".", stem, columns)
     return merged
+
+
+def merge_all_report_files(
+    spark: SparkSession, config: MergeConfig, files: Sequence[tuple[str, str]], today: str, report_at: StorageConfig,
+    delta_at: StorageConfig | None = None, one_file: bool = False,
+) -> list[DataFrame]:
+    """Every (report, delta) pair of a configuration, in order. A report that is not there yet takes the columns of the pair
+    before it, if that had one."""
+    schema, merged = None, []
+    for report_path, delta_path in files:
+        there = read_report(spark, storage_uri(report_at.store, report_at.container, report_path, report_at.account))
+        schema = there.schema if there is not None else schema
+        merged.append(merge_report_files(
+            spark, config, report_path, delta_path, today, report_at.store, report_at.container, one_file, report_at.account,
+            delta_at, schema,
+        ))
+    return merged

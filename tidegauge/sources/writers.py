@@ -135,13 +135,19 @@ def completion_statement(table: str) -> str:
     """Write-back statement; every value is bound, none is written into the text."""
     if not table.replace("_", "").replace(".", "").isalnum():
         raise ValueError(f"not a table name: {table}")
-    return f"UPDATE {table} SET status = 'COMPLETED', download_urls = ? WHERE request_id = ?"
+    return f"UPDATE {table} SET status = 'COMPLETED', download_urls = ?, dt_job_completed = ? WHERE request_id = ?"
 
 
 def complete_requests(
     requests: DataFrame, table: str, connect: Callable[[], Any], batch: int = 500, placeholder: str = "?"
 ) -> None:
-    """Mark requests as completed, in batches per partition over a DB-API connection opened in the task."""
+    """Mark requests as completed, in batches per partition over a DB-API connection opened in the task.
+
+    ``dt_job_completed`` is the time of the job; without such a column, the current time.
+    """
+    if "dt_job_completed" not in requests.columns:
+        requests = requests.withColumn("dt_job_completed", F.current_timestamp())
+    requests = requests.withColumn("dt_job_completed", F.col("dt_job_completed").cast("string"))
     statement = completion_statement(table).replace("?", placeholder)
 
     def update(rows):
@@ -149,7 +155,7 @@ def complete_requests(
         try:
             cursor = connection.cursor()
             for row in rows:
-                pending.append((",".join(row.download_urls or []), row.request_id))
+                pending.append((",".join(row.download_urls or []), row.dt_job_completed, row.request_id))
                 if len(pending) >= batch:
                     cursor.executemany(statement, pending)
                     connection.commit()
@@ -160,4 +166,4 @@ def complete_requests(
         finally:
             connection.close()
 
-    requests.select("request_id", "download_urls").foreachPartition(update)
+    requests.select("request_id", "download_urls", "dt_job_completed").foreachPartition(update)
