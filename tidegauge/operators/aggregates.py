@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.dates import INDIA
+from tidegauge.functions.dates import INDIA, period_of
 from tidegauge.operators.filters import orderable
 
 
@@ -70,34 +70,70 @@ def window_count(df: DataFrame, time: str, start, end, local_start: str, local_e
 
 
 def usage_rollup(summaries: DataFrame, dims: Sequence[str], sketch_bits: int = 12) -> DataFrame:
-    """Usage fact per dimensions: totals, means and mergeable sketches of users, devices and contents."""
+    """Usage fact per dimensions: totals, means and mergeable sketches of users, devices and contents. Every mean is a total
+    by the number of sessions, and the total is kept, so merging facts gives the same numbers as counting anew."""
+    sessions = F.count(F.lit(1))
     return summaries.groupBy(*dims).agg(
         F.sum("time_spent").alias("total_ts"),
-        F.count(F.lit(1)).alias("total_sessions"),
-        F.avg("time_spent").alias("avg_ts_session"),
+        sessions.alias("total_sessions"),
+        (F.sum("time_spent").cast("double") / sessions).alias("avg_ts_session"),
         F.sum("interact_events_count").alias("total_interactions"),
-        F.avg("interact_events_per_min").alias("avg_interactions_min"),
+        F.sum("interact_events_per_min").alias("total_per_min"),
+        (F.sum("interact_events_per_min") / sessions).alias("avg_interactions_min"),
         F.hll_sketch_agg("uid", F.lit(sketch_bits)).alias("unique_users"),
         F.hll_sketch_agg("did", F.lit(sketch_bits)).alias("unique_devices"),
         F.hll_sketch_agg("content_id", F.lit(sketch_bits)).alias("unique_contents"),
     )
 
 
-def merge_usage(facts: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """Roll finer usage facts up to coarser dimensions; distinct counts come from merged sketches."""
-    total, sessions = F.sum("total_ts"), F.sum("total_sessions")
-    return facts.groupBy(*dims).agg(
-        total.alias("total_ts"),
+SKETCHES = ("unique_users", "unique_devices", "unique_contents")
+
+
+def with_estimates(facts: DataFrame) -> DataFrame:
+    """Facts with the distinct counts that their sketches estimate."""
+    return facts.withColumns({f"{c}_count": F.hll_sketch_estimate(c) for c in SKETCHES})
+
+
+def _merged_usage(groups) -> DataFrame:
+    """Facts of groups of facts."""
+    sessions = F.sum("total_sessions")
+    return groups.agg(
+        F.sum("total_ts").alias("total_ts"),
         sessions.alias("total_sessions"),
-        (total / sessions).alias("avg_ts_session"),
+        (F.sum("total_ts").cast("double") / sessions).alias("avg_ts_session"),
         F.sum("total_interactions").alias("total_interactions"),
-        *[
-            F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"{c}_count")
-            for c in ("unique_users", "unique_devices", "unique_contents")
-        ],
+        F.sum("total_per_min").alias("total_per_min"),
+        (F.sum("total_per_min") / sessions).alias("avg_interactions_min"),
+        *[F.hll_union_agg(c).alias(c) for c in SKETCHES],
     )
 
 
+def merge_usage(facts: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Roll finer usage facts up to coarser dimensions; distinct counts come from merged sketches."""
+    return with_estimates(_merged_usage(facts.groupBy(*dims))).drop(*SKETCHES)
+
+
+def usage_by_period(summaries: DataFrame, time: str, dims: Sequence[str], sketch_bits: int = 12) -> DataFrame:
+    """Usage facts per day, week, month and in all (``kind``, ``period``).
+
+    Rows are read and sketched once, at the finest grain: days are cut at Indian midnight and weeks in UTC, so that is a day
+    and a week. The grouping sets of the coarser periods are merged from these facts.
+    """
+    periods = {kind: period_of(F.col(time), kind) for kind in ("DAY", "WEEK", "MONTH")}
+    finest = usage_rollup(summaries.withColumns({f"p_{k}": v for k, v in periods.items()}), [*dims, *(f"p_{k}" for k in periods)], sketch_bits)
+    sets = [[*dims, f"p_{kind}"] for kind in periods] + [list(dims)]
+    columns = [*dims, *(f"p_{kind}" for kind in periods)]
+    merged = _merged_usage(finest.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns]))
+    kind = F.coalesce(*[F.when(F.col(f"p_{k}").isNotNull(), F.lit(k)) for k in periods], F.lit("CUMULATIVE"))
+    period = F.coalesce(*[F.col(f"p_{k}") for k in periods], F.lit(0))
+    return merged.withColumns({"kind": kind, "period": period}).drop(*[f"p_{k}" for k in periods])
+
+
+def update_usage(stored: DataFrame, fresh: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Stored facts per period with those of further rows; the rows of the stored ones are not needed again."""
+    return _merged_usage(stored.unionByName(fresh).groupBy(*dims, "kind", "period"))
+
+
 def job_log_summary(log: DataFrame, mapping: DataFrame | None = None) -> DataFrame:
     """Runs, failures, events and time per model and day from JOB_START / JOB_END rows.
 

@@ -7,6 +7,7 @@ range), ``granularity``, ``dimensions``, ``aggregations``, ``filters``, ``having
 
 from __future__ import annotations
 
+from functools import reduce
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
@@ -126,7 +127,13 @@ def aggregation(df: DataFrame, spec: Mapping[str, Any], custom: Mapping[str, Cal
         result = F.count_distinct(kept(F.col(name)))
     elif kind == "HLLSketchMerge":
         result = F.hll_sketch_estimate(F.hll_union_agg(kept(F.col(name)), F.lit(True)))
-    elif kind in ("hyperUnique", "thetaSketch", "approxDistinct"):
+    elif kind in ("thetaSketch", "thetaSketchBuild", "thetaSketchMerge"):
+        # lgK registers, 2**12 by default: exact below, then within 1 / sqrt(2**lgK). Built ones are for set operations.
+        size, column = F.lit(int(spec.get("lgK") or 12)), kept(F.col(name))
+        result = F.theta_union_agg(column, size) if kind == "thetaSketchMerge" else F.theta_sketch_agg(column.cast("string"), size)
+        if kind == "thetaSketch":
+            result = F.theta_sketch_estimate(result)
+    elif kind in ("hyperUnique", "approxDistinct"):
         result = F.hll_sketch_estimate(F.hll_sketch_agg(kept(F.col(name).cast("string")), F.lit(int(spec.get("lgK") or 12))))
     elif kind == "custom":
         result = (custom or {})[spec["fnAggregate"]](kept(F.col(name)))
@@ -135,9 +142,15 @@ def aggregation(df: DataFrame, spec: Mapping[str, Any], custom: Mapping[str, Cal
     return (F.round(result) if spec.get("round") else result).alias(spec.get("name") or f"{kind}_{name}")
 
 
+_SETS = {"UNION": F.theta_union, "INTERSECT": F.theta_intersection, "NOT": F.theta_difference}
+
+
 def post_aggregation(df: DataFrame, spec: Mapping[str, Any]) -> DataFrame:
-    """Arithmetic between an aggregate and another one or a constant. Division by zero gives 0."""
+    """Arithmetic between an aggregate and another one or a constant, division by zero giving 0; or the estimated size of a
+    set operation (UNION, INTERSECT, NOT: in the first but none of the others) on theta sketches."""
     fields = spec["fields"]
+    if spec["fn"].upper() in _SETS:
+        return df.withColumn(spec["name"], F.theta_sketch_estimate(reduce(_SETS[spec["fn"].upper()], map(F.col, fields))))
     left = F.col(fields["leftField"])
     right = F.lit(fields["rightField"]) if fields.get("rightFieldType") == "constant" else F.col(fields["rightField"])
     if spec["fn"] == "/":

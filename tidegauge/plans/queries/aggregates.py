@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidegauge.functions.dates import period_of
 from tidegauge.operators import aggregates as A
 from tidegauge.operators import experiments as X
 from tidegauge.operators.report_query import run_query
@@ -82,18 +83,30 @@ def _usage_input(spark, sf_dir):
 
 @query("usage_rollup", f"""
   SELECT env, pageid, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_ts, count(*) AS total_sessions,
-    count(*) AS total_interactions FROM ({TELEMETRY_SQL}) GROUP BY ALL""")
+    count(*) AS total_interactions, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_ts_session,
+    CAST(2.0 AS DOUBLE) AS avg_interactions_min, TRUE AS close
+  FROM ({TELEMETRY_SQL}) GROUP BY ALL""")
 def usage_rollup(spark, sf_dir):
-    facts = A.usage_rollup(_usage_input(spark, sf_dir), ["env", "pageid"])
-    return _doubles(facts.select("env", "pageid", "total_ts", "total_sessions", "total_interactions"), "total_ts")
-
-
-@query("usage_distinct_estimates")
+    """Facts per environment and page, their sketches checked against exact numbers."""
+    rows = _usage_input(spark, sf_dir)
+    facts = A.with_estimates(A.usage_rollup(rows, ["env", "pageid"]))
+    exact = rows.groupBy(F.col("env").alias("e"), F.col("pageid").alias("p")).agg(F.count_distinct("uid").alias("users"), F.count_distinct("content_id").alias("contents"))
+    near = [F.abs(F.col(f"unique_{n}_count") - F.col(n)) <= 0.065 * F.col(n) + 1 for n in ("users", "contents")]
+    return _doubles(facts.join(exact, (F.col("e") == F.col("env")) & (F.col("p") == F.col("pageid"))).select(
+        "env", "pageid", "total_ts", "total_sessions", "total_interactions", "avg_ts_session",
+        "avg_interactions_min", (near[0] & near[1]).alias("close"),
+    ), "total_ts")
+
+
+@query("usage_distinct_estimates", f"""
+  SELECT env, count(DISTINCT user_id) AS users, count(DISTINCT k) AS contents, TRUE AS close FROM ({TELEMETRY_SQL}) GROUP BY 1""")
 def usage_distinct_estimates(spark, sf_dir):
-    """Estimates from merged sketches; checked against exact counts within their error in the tests."""
-    facts = A.usage_rollup(_usage_input(spark, sf_dir), ["env", "pageid"])
-    merged = A.merge_usage(facts, ["env"])
-    return merged.select("env", "unique_users_count", "unique_devices_count", "unique_contents_count")
+    """Estimates from merged sketches next to exact numbers."""
+    rows = _usage_input(spark, sf_dir)
+    merged = A.merge_usage(A.usage_rollup(rows, ["env", "pageid"]), ["env"]).withColumnRenamed("env", "e")
+    exact = rows.groupBy("env").agg(F.count_distinct("uid").alias("users"), F.count_distinct("content_id").alias("contents"))
+    near = [F.abs(F.col(f"unique_{n}_count") - F.col(m)) <= 0.065 * F.col(m) + 1 for n, m in (("users", "users"), ("devices", "users"), ("contents", "contents"))]
+    return exact.join(merged, F.col("e") == F.col("env")).select("env", "users", "contents", (near[0] & near[1] & near[2]).alias("close"))
 
 
 @query("device_profile", f"""{_GAPS},
@@ -368,3 +381,67 @@ def aggquery_sketch_merge(spark, sf_dir):
     merged = run_query(days, spec, "ts").withColumnRenamed("event_type", "merged_type")
     exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
     return exact.join(merged, F.col("event_type") == F.col("merged_type")).select("event_type", "users", _close("estimate", "users"))
+
+
+@query("aggquery_theta_sets", """
+  WITH u AS (SELECT CAST(json_extract_string(props, '$.k') AS INT) % 4 AS slice, user_id, bool_or(event_type = 'click') AS a,
+    bool_or(event_type = 'purchase') AS b, bool_or(event_type = 'error') AS c FROM events GROUP BY 1, 2)
+  SELECT slice, count(CASE WHEN a THEN 1 END) AS clicked, count(CASE WHEN a AND b THEN 1 END) AS both, count(CASE WHEN a OR b THEN 1 END) AS either,
+    count(CASE WHEN a AND NOT b THEN 1 END) AS only_clicked, count(CASE WHEN a AND NOT b AND NOT c THEN 1 END) AS neither, TRUE AS close
+  FROM u GROUP BY 1""")
+def aggquery_theta_sets(spark, sf_dir):
+    """Users who clicked and did or did not purchase or fail, from one sketch per kind of event and set operations on them,
+    checked against exact numbers: within 6.5% of the union, which bounds the error of a set expression."""
+    events = table(spark, sf_dir, "events").withColumn("slice", k_of() % 4)
+    kinds = {"a": "click", "b": "purchase", "c": "error"}
+    spec = {"queryType": "groupBy", "dimensions": [{"fieldName": "slice"}], "aggregations": [
+        {"name": n, "type": "thetaSketchBuild", "fieldName": "user_id", "filterAggType": "selector", "filterFieldName": "event_type", "filterValue": v}
+        for n, v in kinds.items()
+    ], "postAggregation": [
+        {"name": "e_both", "fn": "INTERSECT", "fields": ["a", "b"]}, {"name": "e_either", "fn": "UNION", "fields": ["a", "b"]},
+        {"name": "e_only_clicked", "fn": "NOT", "fields": ["a", "b"]}, {"name": "e_neither", "fn": "NOT", "fields": ["a", "b", "c"]},
+        {"name": "e_clicked", "fn": "UNION", "fields": ["a", "a"]},
+    ]}
+    found = run_query(events, spec, "ts")
+    users = events.groupBy(F.col("slice").alias("s"), "user_id").agg(*[F.bool_or(F.col("event_type") == v).alias(f"is_{n}") for n, v in kinds.items()])
+    a, b, c = (F.col(f"is_{n}") for n in kinds)
+    parts = {"clicked": a, "both": a & b, "either": a | b, "only_clicked": a & ~b, "neither": a & ~b & ~c}
+    exact = users.groupBy("s").agg(*[F.count_if(p).alias(n) for n, p in parts.items()])
+    near = [F.abs(F.col(f"e_{n}") - F.col(n)) <= 0.065 * F.col("either") + 1 for n in parts]
+    return exact.join(found, F.col("slice").eqNullSafe(F.col("s"))).select("slice", *parts, F.forall(F.array(*near), lambda n: n).alias("close"))
+
+
+_PERIODS_SQL = """
+  SELECT *, CAST(strftime(moment + INTERVAL 330 MINUTE, '%Y%m%d') AS INT) AS day, CAST(strftime(moment + INTERVAL 330 MINUTE, '%Y%m') AS INT) AS month,
+    CAST(isoyear(moment) * 1000 + 700 + week(moment) AS INT) AS week FROM (SELECT *, make_timestamp(ets * 1000) AS moment FROM ({0}))
+"""
+
+
+@query("usage_by_period", f"""
+  WITH p AS ({_PERIODS_SQL.format(TELEMETRY_SQL)}), r AS (
+    SELECT env, 'DAY' AS kind, day AS period, * EXCLUDE (env, day) FROM p UNION ALL SELECT env, 'WEEK', week, * EXCLUDE (env, day) FROM p
+    UNION ALL SELECT env, 'MONTH', month, * EXCLUDE (env, day) FROM p UNION ALL SELECT env, 'CUMULATIVE', 0, * EXCLUDE (env, day) FROM p)
+  SELECT env, kind, period, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_ts, count(*) AS total_sessions, count(*) AS total_interactions,
+    CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_ts_session, avg(k) AS avg_interactions_min,
+    count(DISTINCT user_id) AS users, count(DISTINCT k) AS contents, TRUE AS close
+  FROM r GROUP BY env, kind, period""")
+def usage_by_period(spark, sf_dir):
+    """Usage per environment and day, week, month and in all: one half of the rows as stored facts, updated with the other."""
+    rows = telemetry(spark, sf_dir).select(
+        F.col("user_id").cast("string").alias("uid"), F.col("user_id").cast("string").alias("did"), F.col("k").cast("string").alias("content_id"), "env",
+        F.col("value").cast(_MONEY).alias("time_spent"), F.lit(1).alias("interact_events_count"), F.col("k").cast("double").alias("interact_events_per_min"),
+        F.timestamp_millis("ets").alias("at"), (F.col("event_id") % 2).alias("half"),
+    )
+    stored, fresh = (A.usage_by_period(rows.where(F.col("half") == h), "at", ["env"]) for h in (0, 1))
+    facts = A.with_estimates(A.update_usage(stored, fresh, ["env"]))
+    kinds = ("DAY", "WEEK", "MONTH", "CUMULATIVE")
+    periods = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), period_of(F.col("at"), k).alias("period")) for k in kinds])).alias("p")
+    exact = rows.select(F.col("env").alias("e"), "uid", "content_id", periods).groupBy("e", "p").agg(
+        F.count_distinct("uid").alias("users"), F.count_distinct("content_id").alias("contents")
+    )
+    same = (F.col("e") == F.col("env")) & (F.col("p.kind") == F.col("kind")) & (F.col("p.period") == F.col("period"))
+    near = [F.abs(F.col(f"unique_{n}_count") - F.col(n)) <= 0.065 * F.col(n) + 1 for n in ("users", "contents")]
+    return _doubles(facts.join(exact, same).select(
+        "env", "kind", "period", "total_ts", "total_sessions", "total_interactions", "avg_ts_session",
+        "avg_interactions_min", "users", "contents", (near[0] & near[1]).alias("close"),
+    ), "total_ts")
