@@ -100,42 +100,45 @@ def keyed_lines(docs: DataFrame, ranks: DataFrame, percent: int) -> DataFrame:
 
 
 def classes(keyed: DataFrame) -> DataFrame:
-    """(set_a, set_b, head, size, prefix) of each distinct token set; ``head`` is its first (doc_id, line_no, text_key)."""
-    return (
+    """(set_a, set_b, head, size, prefix, number) of each distinct token set; ``head`` is its first (doc_id, line_no, text_key),
+    and numbers grow with the head, so that pairs of classes are compared and kept as two numbers."""
+    found = (
         keyed.filter("size > 0").groupBy("set_a", "set_b")
         .agg(F.min(_place()).alias("head"), F.any_value("size").alias("size"), F.any_value("prefix").alias("prefix"))
     )
+    return found.repartitionByRange("head").sortWithinPartitions("head").withColumn("number", F.monotonically_increasing_id())
 
 
 def _candidates(later: DataFrame, earlier: DataFrame, percent: int) -> DataFrame:
-    """(later, earlier) heads that share SHARED postings at places that pass the filters of length and position."""
+    """(later, earlier) numbers that share SHARED postings at places that pass the filters of length and position."""
     e = earlier.select(
-        F.col("token").alias("e_token"), F.col("head").alias("e_head"), F.col("size").alias("e_size"), F.col("place").alias("e_place")
+        F.col("token").alias("e_token"), F.col("number").alias("e_number"), F.col("size").alias("e_size"), F.col("place").alias("e_place")
     )
     need = _least_overlap(F.col("size"), F.col("e_size"), percent)
     passes = (
-        (F.col("token") == F.col("e_token")) & (F.col("e_head") < F.col("head"))
+        (F.col("token") == F.col("e_token")) & (F.col("e_number") < F.col("number"))
         & (100 * F.col("e_size") >= percent * F.col("size")) & (100 * F.col("size") >= percent * F.col("e_size"))
         # Tokens before this one can all be shared, and so can those after it.
         & (F.least("place", "e_place") + F.least(F.col("size") - F.col("place"), F.col("e_size") - F.col("e_place")) >= need)
     )
-    met = later.join(e, passes).groupBy(F.col("head").alias("later"), F.col("e_head").alias("earlier")).agg(F.count("*").alias("n"))
+    met = later.join(e, passes).groupBy(F.col("number").alias("later"), F.col("e_number").alias("earlier")).agg(F.count("*").alias("n"))
     return met.filter(F.col("n") >= SHARED).select("later", "earlier")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, ranks: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, ranks: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets are similar enough, with the number of shared tokens and of all."""
-    asked = stored(pairs.select(F.col("later").alias("asked")).union(pairs.select("earlier")).distinct())
-    rows = stored(asked.select(F.col("asked.doc_id").alias("asked_id"), F.col("asked.text_key").alias("asked_key")).distinct())
+    asked = pairs.select(F.col("later").alias("asked")).union(pairs.select("earlier")).distinct()
+    heads = stored(found.join(asked, F.col("number") == F.col("asked")).select("number", F.col("head").alias("asked")))
+    rows = stored(heads.select(F.col("asked.doc_id").alias("asked_id"), F.col("asked.text_key").alias("asked_key")).distinct())
     same = F.col("doc_id").eqNullSafe(F.col("asked_id")) & (F.col("text_key") == F.col("asked_key"))
     lines = split_lines(docs.join(broadcast_if_small(rows), same, "left_semi")).select(_place().alias("at"), "line")
     sets = (
-        lines.join(broadcast_if_small(asked), F.col("at").eqNullSafe(F.col("asked")), "left_semi")
-        .groupBy("at").agg(F.any_value("line").alias("line"))
+        lines.join(broadcast_if_small(heads), F.col("at").eqNullSafe(F.col("asked")))
+        .groupBy("number").agg(F.any_value("line").alias("line"))
     )
     sets = stored(with_tokens(sets, ranks))
-    first = pairs.join(sets.select(F.col("at").alias("a"), F.col("tokens").alias("a_tokens")), F.col("later").eqNullSafe(F.col("a")))
-    both = first.join(sets.select(F.col("at").alias("b"), F.col("tokens").alias("b_tokens")), F.col("earlier").eqNullSafe(F.col("b")))
+    first = pairs.join(sets.select(F.col("number").alias("a"), F.col("tokens").alias("a_tokens")), F.col("later") == F.col("a"))
+    both = first.join(sets.select(F.col("number").alias("b"), F.col("tokens").alias("b_tokens")), F.col("earlier") == F.col("b"))
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
     return (
         both.select("later", "earlier", shared.alias("shared"), (F.size("a_tokens") + F.size("b_tokens")).alias("both"))
@@ -145,23 +148,24 @@ def _verified(pairs: DataFrame, docs: DataFrame, ranks: DataFrame, percent: int)
 
 
 def line_matches(docs: DataFrame, percent: int = 90) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All lines, their classes, and for every class that goes one earlier class it matches."""
+    """All lines, their classes, and for every class that goes (``number``) the place of one earlier class it matches."""
     ranks = rarity(docs)
     keyed = stored(keyed_lines(docs, ranks, percent))
     found = stored(classes(keyed))
-    posted = found.select("head", "size", F.posexplode("prefix").alias("place", "token")).withColumn("place", F.col("place") + 1)
+    posted = found.select("number", "size", F.posexplode("prefix").alias("place", "token")).withColumn("place", F.col("place") + 1)
     shared = posted.groupBy(F.col("token").alias("s_token")).agg(F.count("*").alias("n")).filter("n > 1").select("s_token")
     posted = stored(posted.join(shared, F.col("token") == F.col("s_token"), "left_semi"))
-    hubs = posted.groupBy("token").agg(F.min(F.struct("head", "size", "place")).alias("hub")).select("token", "hub.*")
+    hubs = posted.groupBy("token").agg(F.min(F.struct("number", "size", "place")).alias("hub")).select("token", "hub.*")
     near = stored(_candidates(posted, hubs, percent))
-    settled = stored(_verified(near, docs, ranks, percent))
+    settled = stored(_verified(near, found, docs, ranks, percent))
     gone = settled.select(F.col("later").alias("gone")).distinct()
-    rest = posted.join(gone, F.col("head").eqNullSafe(F.col("gone")), "left_anti")
+    rest = posted.join(gone, F.col("number") == F.col("gone"), "left_anti")
     far = _candidates(rest, posted, percent)
     far = stored(far.join(near, ["later", "earlier"], "left_anti"))
-    matched = settled.unionByName(_verified(far, docs, ranks, percent))
-    one = matched.groupBy("later").agg(F.min("earlier").alias("match"))
-    return keyed, found, stored(one)
+    matched = settled.unionByName(_verified(far, found, docs, ranks, percent))
+    one = stored(matched.groupBy("later").agg(F.min("earlier").alias("earlier")))
+    heads = found.select(F.col("number").alias("of"), F.col("head").alias("match"))
+    return keyed, found, stored(one.join(heads, F.col("earlier") == F.col("of")).select("later", "match"))
 
 
 def line_decisions(docs: DataFrame, percent: int = 90) -> DataFrame:
@@ -170,7 +174,7 @@ def line_decisions(docs: DataFrame, percent: int = 90) -> DataFrame:
     docs = with_text_key(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     keyed, found, matches = line_matches(docs, percent)
     keyed = keyed.select("doc_id", "text_key", "line_no", F.col("set_a").alias("l_a"), F.col("set_b").alias("l_b"), F.col("size").alias("n_tokens"))
-    heads = found.select("set_a", "set_b", "head").join(matches, F.col("head").eqNullSafe(F.col("later")), "left")
+    heads = found.select("set_a", "set_b", "head", "number").join(matches, F.col("number") == F.col("later"), "left")
     joined = keyed.join(heads, (F.col("l_a") == F.col("set_a")) & (F.col("l_b") == F.col("set_b")), "left")
     is_head = _place().eqNullSafe(F.col("head"))
     return joined.select(
