@@ -122,6 +122,25 @@ def test_a_restarted_stream_goes_on(spark, tmp_path):
     assert len(text(want)) > 50 and text(got) == text(want)
 
 
+def test_sessions_by_slot_equal_sessions_at_once(spark):
+    """Slots shorter and longer than sessions, gaps of exactly the limit, and a key whose one session fills every slot."""
+    import random
+
+    r, rows = random.Random(3), []
+    for key in range(6):
+        at = 1_600_000_000_000
+        for _ in range(80):
+            at += r.choice([0, 1, 59_999, 60_000, 60_001, 400_000]) if key else 30_000
+            rows.append((key, at))
+    df = spark.createDataFrame(rows, "key int, ms bigint").withColumn("t", F.timestamp_millis("ms"))
+    want = S.gap_sessions(df, "t", "60 seconds", ["key"], [F.count(F.lit(1)).alias("n"), F.max("ms").alias("top")])
+    want = sorted(map(tuple, want.select("key", "session_start", "session_end", "n", "top").collect()))
+    assert len({w[0] for w in want}) == 6 and len(want) > 50
+    for slot_ms in (7_000, 60_000, 500_000, 10**9):
+        got = S.gap_sessions_by_slot(df, "t", 60_000, ["key"], {"n": (F.count(F.lit(1)), F.sum), "top": (F.max("ms"), F.max)}, slot_ms)
+        assert sorted(map(tuple, got.select("key", "session_start", "session_end", "n", "top").collect())) == want
+
+
 def test_device_filter_on_stream_windows(spark):
     df = spark.createDataFrame([(1, "2020-01-01 00:01:00"), (2, "2020-01-01 00:09:00")], "id int, t string").withColumn("t", F.col("t").cast("timestamp"))
     out = S.windowed(df, "t", "5 minutes", [], [F.count(F.lit(1)).alias("n")])

@@ -92,6 +92,19 @@ def test_envelope_and_bad_lines(spark):
     assert W.read_events(many, explode_envelope=True).count() == len(SHORT)
 
 
+def test_dropped_lines_have_a_reason(spark):
+    wrapped = json.dumps({"events": [json.loads(x) for x in SHORT[:2]]})
+    texts = [SHORT[0], json.dumps({"event": json.loads(SHORT[1])}), json.dumps({"events": SHORT[2]}), "no json", "", None, '{"x":1}', wrapped, "[1]", "7", '"a"']
+    lines = spark.createDataFrame([(x,) for x in texts], "value string")
+    reasons = {r.value: r.reason for r in W.sifted_lines(lines).collect()}
+    assert [reasons[x] for x in texts] == [None, None, None, W.NOT_JSON, W.NOT_JSON, W.NOT_JSON, W.NO_KIND, W.MANY, W.MANY, W.NO_KIND, W.NO_KIND]
+    # What is kept is what read_events keeps, and all else is in quarantine.
+    assert W.quarantined(lines).count() == 8 and W.read_events(lines).count() == 3
+    assert W.sifted_lines(lines, True).where("reason is null").count() == 5 == W.read_events(lines, explode_envelope=True).count()
+    payload = W.sifted_lines(lines).where("reason is null").select(F.get_json_object("payload", "$.eid").alias("e")).collect()
+    assert sorted(r.e for r in payload) == ["INTERACT", "START", "START"]
+
+
 def test_summary_event_shape(spark):
     events = W.read_events(spark.createDataFrame([(x,) for x in SHORT], "value string"))
     out = W.envelope(W.summary_events(W.workflow_summary(events), F.lit("2020-01-01").cast("timestamp")))

@@ -88,6 +88,38 @@ def read_events(lines: DataFrame, explode_envelope: bool = False) -> DataFrame:
     return texts.select(parse_json("value", V3_EVENT).alias("e")).where(F.col("e.eid").isNotNull()).select("e.*")
 
 
+#: Why a line is no event.
+NOT_JSON, MANY, NO_KIND = "not json", "array in an envelope", "no event kind"
+
+
+def sifted_lines(lines: DataFrame, explode_envelope: bool = False) -> DataFrame:
+    """Raw lines (column ``value``) as (value, payload, reason): the event's JSON text, or why the line holds none.
+
+    A line is parsed once, to a VARIANT; envelope and kind are read from that. Payloads that are JSON in a string count as
+    what they hold. ``explode_envelope`` gives a row per element of an envelope's array.
+    """
+    parsed = lines.select("value", F.try_parse_json("value").alias("line"))
+    field = lambda name: F.try_variant_get("line", f"$.{name}", "variant")
+    inner = F.coalesce(field("events"), field("event"), F.col("line"))
+    parsed = parsed.select("value", F.col("line").isNull().alias("broken"), inner.alias("inner"))
+    text = F.when(F.schema_of_variant("inner") == "STRING", F.try_variant_get("inner", "$", "string"))
+    parsed = parsed.withColumn("inner", F.coalesce(F.try_parse_json(text), F.col("inner")))
+    if explode_envelope:
+        many = F.when(F.schema_of_variant("inner").startswith("ARRAY"), F.try_variant_get("inner", "$", "array<variant>"))
+        parsed = parsed.select("value", "broken", F.explode_outer(F.coalesce(many, F.array("inner"))).alias("inner"))
+    reason = (
+        F.when(F.col("broken"), NOT_JSON)
+        .when(F.schema_of_variant("inner").startswith("ARRAY"), MANY)
+        .when(F.try_variant_get("inner", "$.eid", "string").isNull(), NO_KIND)
+    )
+    return parsed.select("value", F.when(reason.isNull(), F.to_json("inner")).alias("payload"), reason.alias("reason"))
+
+
+def quarantined(lines: DataFrame, explode_envelope: bool = False) -> DataFrame:
+    """(value, reason) of the lines, or elements, that :func:`read_events` drops; for a sink of their own."""
+    return sifted_lines(lines, explode_envelope).where("reason is not null").select("value", "reason")
+
+
 def client_events(events: DataFrame) -> DataFrame:
     """Drop events written by servers, and events without a kind."""
     return events.where(F.col("eid").isNotNull() & ~F.col("eid").isin(*SERVER_EVENTS))

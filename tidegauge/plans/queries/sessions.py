@@ -270,24 +270,13 @@ def wf_envelope(spark, sf_dir):
     )
 
 
-@query("wf_app_sessions", f"""
-  WITH e AS (SELECT * FROM ({TELEMETRY_SQL}) WHERE eid NOT IN ('START', 'END')),
-  g AS (SELECT *, ets - lag(ets) OVER (PARTITION BY user_id ORDER BY ets, mid) AS gap FROM e),
-  s AS (SELECT *, sum(CASE WHEN gap > {BREAK_MS} THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ets, mid) AS n FROM g),
-  t AS (SELECT user_id, n, min(ets) AS start_time, max(ets) AS end_time, {_SPENT} AS cs, count(*) AS events_count,
-    count(CASE WHEN eid = 'INTERACT' THEN 1 END) AS interact_events_count FROM s GROUP BY user_id, n)
-  SELECT 'did-' || CAST(user_id AS VARCHAR) AS did, 'app' AS type, start_time, end_time,
-    ((end_time - start_time + 5) // 10) / 100.0 AS time_diff, cs / 100.0 AS time_spent, events_count, interact_events_count,
-    {_RATE.format(n="interact_events_count", cs="cs")} AS interact_events_per_min,
-    upper(md5('ME_WORKFLOW_SUMMARY|' || CAST(user_id AS VARCHAR) || 'app|' || CAST(start_time AS VARCHAR) || '|'
-      || CAST(end_time AS VARCHAR) || '|SESSION|content|app.test|channel-' || CAST(user_id % 3 AS VARCHAR))) AS mid
-  FROM t WHERE cs > 0""")
+@query("wf_app_sessions", f"""{nested_sql()}
+  SELECT did, type, start_time, end_time, time_diff, time_spent, interact_events_count, interact_events_per_min, mid,
+    CAST(list_sum(list_transform(string_split(events_summary, ','), lambda x: CAST(split_part(x, ':', 2) AS BIGINT))) AS BIGINT) AS events_count
+  FROM summaries WHERE type = 'app'""")
 def wf_app_sessions(spark, sf_dir):
-    """Without any START or END the nested state gives one app session per break: the part SQL can state."""
-    events = v3_events(spark, sf_dir).where(~F.col("eid").isin("START", "END"))
-    events = events.withColumn("object", F.col("object").withField("id", F.lit("content")))
-    flat = W.workflow_summary(events, idle_time=IDLE_MS // 1000, session_break_time=BREAK_MS // 60_000)
-    return flat.select(
+    """The app sessions around all others, with how many events they count."""
+    return _summaries(spark, sf_dir).where(F.col("type") == "app").select(
         "did", "type", "start_time", "end_time", "time_diff", "time_spent",
         F.aggregate("events_summary", F.lit(0).cast("bigint"), lambda n, e: n + e["count"]).alias("events_count"),
         "interact_events_count", "interact_events_per_min", "mid",

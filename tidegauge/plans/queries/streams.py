@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.values import to_json_text
 from tidegauge.operators import workflow as W
-from tidegauge.plans.queries import k_of, query
+from tidegauge.plans.queries import k_of, query, table
 from tidegauge.plans.queries.sessions import BREAK_MS, IDLE_MS, nested_sql, v3_events, written
 from tidegauge.session import ensure_checkpoint_dir
 from tidegauge.streaming import streams as S
@@ -82,6 +82,18 @@ def window_gap_sessions_batch(spark, sf_dir):
     return out.select("user_id", F.unix_millis("session_start").alias("session_start"), "n")
 
 
+@query("window_gap_sessions_by_slot", """
+  WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w > INTERVAL 8 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS opens
+    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+  s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS no FROM g)
+  SELECT user_id, epoch_us(min(ts)) // 1000 AS session_start, epoch_us(max(ts)) // 1000 + 28800000 AS session_end, count(*) AS n,
+    max(event_id) AS latest FROM s GROUP BY user_id, no""")
+def window_gap_sessions_by_slot(spark, sf_dir):
+    totals = {"n": (F.count(F.lit(1)), F.sum), "latest": (F.max("event_id"), F.max)}
+    out = S.gap_sessions_by_slot(table(spark, sf_dir, "events"), "ts", 8 * 3_600_000, ["user_id"], totals)
+    return out.select("user_id", F.unix_millis("session_start").alias("session_start"), F.unix_millis("session_end").alias("session_end"), "n", "latest")
+
+
 @query("stream_micro_batches", """
   SELECT event_type AS eid, count(*) AS n, sum(CAST(json_extract_string(props, '$.k') AS INT)) AS k FROM events
   WHERE CAST(json_extract_string(props, '$.k') AS INT) % 9 <> 0 GROUP BY 1""")

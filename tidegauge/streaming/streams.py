@@ -118,6 +118,33 @@ def gap_sessions(
     )
 
 
+def gap_sessions_by_slot(
+    events: DataFrame, time: str, gap_ms: int, keys: Sequence[str], totals: Mapping[str, tuple[Column, Callable[[str], Column]]],
+    slot_ms: int = 86_400_000,
+) -> DataFrame:
+    """``gap_sessions`` of a batch in two levels, for hot keys: pieces of sessions per (key, time slot), then only pieces that lie
+    within the gap of their slot's ends are merged per key. ``totals``: an aggregate of events, and how its values add up.
+
+    A key's events are spread over its slots; at most two pieces of a slot reach the key's group.
+    """
+    ms = F.unix_millis(F.col(time).cast("timestamp"))
+    rows = events.withColumns({"slot__": F.floor(ms / slot_ms), "time__": F.col(time).cast("timestamp")})
+    pieces = rows.groupBy(*keys, "slot__", F.session_window("time__", f"{gap_ms} milliseconds")).agg(
+        F.unix_millis(F.min("time__")).alias("first__"), F.unix_millis(F.max("time__")).alias("last__"),
+        *[first.alias(name) for name, (first, _) in totals.items()],
+    )
+    whole = (F.col("first__") - gap_ms >= F.col("slot__") * slot_ms) & (F.col("last__") + gap_ms < (F.col("slot__") + 1) * slot_ms)
+    columns = [*keys, F.timestamp_millis("first__").alias("session_start"), F.timestamp_millis(F.col("last__") + gap_ms).alias("session_end")]
+    done = pieces.where(whole).select(*columns, *totals)
+    # A piece is an interval: a session window that begins with it and ends a gap after its last event.
+    reach = F.concat((F.col("last__") - F.col("first__") + gap_ms).cast("string"), F.lit(" milliseconds"))
+    open_ = pieces.where(~whole).drop("session_window").withColumn("first_time__", F.timestamp_millis("first__"))
+    merged = open_.groupBy(*keys, F.session_window("first_time__", reach)).agg(
+        F.min("first__").alias("first__"), F.max("last__").alias("last__"), *[again(name).alias(name) for name, (_, again) in totals.items()]
+    )
+    return done.unionByName(merged.select(*columns, *totals))
+
+
 # ---- nested sessions --------------------------------------------------------------------------------------
 
 _STREAM_SUMMARY = (
