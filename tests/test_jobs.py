@@ -176,6 +176,26 @@ def test_requests_meet_their_rows(spark):
     assert match_requests(data, broken).count() == 10
 
 
+def test_requests_of_few_values_are_dealt_to_blocks(spark):
+    """One value makes 300 x 40 pairs: they lie in blocks of their own, and each pair that holds is found once."""
+    from tidegauge.operators.requests import match_requests
+
+    data = spark.range(360).select("id", F.when(F.col("id") < 300, "hot").otherwise("cold").alias("kind"), (F.col("id") % 50).cast("double").alias("value"))
+    filters = lambda i: [
+        {"name": "kind", "operator": "EQ", "value": "cold" if i % 10 == 9 else "hot"}, {"name": "value", "operator": "ge", "value": str(i)},
+        {"name": "value", "operator": "LT", "value": "45"}, {"name": "value", "operator": "LT", "value": str(i + 30)},
+    ] + [{"name": "id", "operator": "NE", "value": "7"}] * (i % 2)
+    requests = spark.createDataFrame([(f"r{i}", json.dumps({"filters": filters(i)})) for i in range(44)], "request_id string, request_data string")
+    found = match_requests(data, requests, pairs=500)
+    want = sorted(
+        (f"r{i}", n) for i in range(44) for n in range(360)
+        if (n >= 300) == (i % 10 == 9) and i <= n % 50 < min(45, i + 30) and not (i % 2 and n == 7)
+    )
+    assert sorted((r.request_id, r.id) for r in found.collect()) == want
+    spread = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(spread) > 3 and max(r["count"] for r in spread) < len(want) / 2
+
+
 def test_metric_records_of_a_failed_model(spark, config, tmp_path):
     def fails(data, params):
         raise ValueError("no")
