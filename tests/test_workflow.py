@@ -207,3 +207,41 @@ def test_a_hot_key_is_dealt_over_its_slots(spark):
     app = max(summaries, key=lambda r: r.end_time - r.start_time)
     assert app.type == "app" and sum(c["count"] for c in app.counts) == 14_001
     assert {sum(c["count"] for c in r.counts) for r in summaries if r.type == "player"} == {39}
+
+
+def test_plain_runs_are_counted_by_their_sessions(spark):
+    """Runs of one kind without views or answers give no (run, session) pairs to join; a view in a run does."""
+    lines = []
+    for i in range(20):
+        kinds = ["START", "INTERACT", "INTERACT", "END"] + ["START", "INTERACT", "IMPRESSION", "END"] * (i == 7)
+        lines += [
+            line(eid, 1_600_000_000_000 + 1000 * n, "content" if eid in ("START", "END") else "click", "play", did=f"d{i}", mid=f"{n}", page="p", env="e")
+            for n, eid in enumerate(kinds)
+        ]
+    events = W.session_keys(W.read_events(spark.createDataFrame([(x,) for x in lines], "value string")))
+    rows = W.walk_rows(W.session_runs(events, 600_000, 1_800_000)).repartition(1).sortWithinPartitions(*W.KEYS, "slot", "run")
+    pairs = rows.mapInArrow(W._walked(600_000, 1_800_000), W._WALK_DDL).where("summary is null")
+    assert {(r.did, r.run) for r in pairs.collect()} == {("d7", 5)}
+    found = {(r.did, r.type, r.start_time % 100_000): {c.id: c["count"] for c in r.counts} for r in W.raw_summaries(events, 600_000, 1_800_000).collect()}
+    assert found["d3", "content", 0] == {"START": 1, "INTERACT": 2, "END": 1}
+    assert found["d3", "app", 0] == {"START": 2, "INTERACT": 2, "END": 1}
+    assert found["d7", "content", 4000] == {"START": 1, "INTERACT": 1, "IMPRESSION": 1, "END": 1}
+    assert found["d7", "app", 0] == {"START": 3, "INTERACT": 3, "IMPRESSION": 1, "END": 2}
+
+
+def test_equal_summaries_of_two_sessions_are_one(spark):
+    """A START without a type is an app session inside an app session; from a break on both count the same events."""
+    t = 1_600_000_000_000
+    lines = [line("START", t, None, None, did="d", mid="0")] + [
+        line("INTERACT", t + 10_000_000 + 1000 * n, "click", None, did="d", mid=f"{n + 1}") for n in range(3)
+    ]
+    events = W.session_keys(W.read_events(spark.createDataFrame([(x,) for x in lines], "value string")))
+    summaries = W.raw_summaries(events, 600_000, 1_800_000).collect()
+    assert [(r.type, r.start_time - t, r.end_time - t, r.interactions) for r in summaries] == [("app", 10_000_000, 10_002_000, 3)]
+
+
+def test_no_slot_length_means_the_usual_one(spark):
+    lines = random_lines(5, ["a", "b"], 200, True)
+    events = W.read_events(spark.createDataFrame([(x,) for x in lines], "value string"))
+    counts = lambda **options: sorted(map(str, W.workflow_summary(events, **options).select("mid", "events_summary", "page_summary").collect()))
+    assert counts(slot_ms=None) == counts()

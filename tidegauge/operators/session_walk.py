@@ -27,11 +27,14 @@ from dataclasses import dataclass, field
 
 #: One START, END or run. ``page``/``viewed``: the first event's page if it is a view; ``last_page``/``seen``: the last view
 #: after the first event; ``spent_cs``, ``clicks``, ``lead_ms`` (time until that view or the end): without the first event.
+#: ``plain``: all events are of the one kind, without views and answers, so that sessions count the run by itself.
 Row = namedtuple(
     "Row",
-    "first_ets last_ets events eid type mode clicked viewed page spent_cs clicks lead_ms seen last_page head first_sync last_sync",
+    "first_ets last_ets events eid type mode clicked viewed page spent_cs clicks lead_ms seen last_page head first_sync last_sync plain",
+    defaults=(False,),
 )
 
+
 def lower(text: str | None) -> str | None:
     return text.lower() if text is not None else None
 
@@ -54,6 +57,10 @@ class Frame:
     last_sync: int | None = None
     viewing: bool = False
     page: str | None = None
+    #: The first session of its type and mode in the stack; its own number, but for STARTs without a type. Only these can
+    #: give the same summary twice.
+    twin: int = 0
+    kinds: dict = field(default_factory=dict)  # events of plain runs
     lead: dict = field(default_factory=dict)
     apart: list = field(default_factory=list)
 
@@ -61,7 +68,7 @@ class Frame:
         self.epoch, self.part = self.epoch + 1, 0
         self.start = self.end = self.spent_cs = self.interactions = 0
         self.last_sync, self.viewing, self.page = None, False, None
-        self.lead, self.apart = {}, []
+        self.kinds, self.lead, self.apart = {}, {}, []
 
     def dwell(self, ms: int) -> None:
         if self.viewing:
@@ -89,6 +96,7 @@ class Walk:
         self.over = False  # the stack is one session that has ended
         self.last_ets = self.last_counted = None
         self.numbers = 0
+        self.twins: dict[int, int] = {}  # of the sessions that have one
         self.counted: list[tuple[int, int, int, bool]] = []
         self.ended: list[dict] = []
         self.broke: int | None = None  # how many of them ended by a break before the row, if there was one
@@ -122,18 +130,28 @@ class Walk:
     def _new(self, row: Row, kind: str | None, mode: str) -> Frame:
         frame = Frame(self.numbers, kind if kind is not None else "app", mode, row.head, row.first_sync)
         self.numbers += 1
+        frame.twin = frame.number
+        if not self.over:
+            for other in self.stack:
+                if other.type == frame.type and other.mode == mode:
+                    frame.twin = self.twins[frame.number] = other.twin
+                    break
         frame.start, frame.interactions = row.first_ets, int(row.clicked)
+        if row.plain:
+            frame.kinds[row.eid] = row.events
         self.counted.append((frame.number, 0, 0, True))
         frame.rest(row)
         return frame
 
     def _count(self, row: Row, frames: list[Frame]) -> None:
         gap = 0 if self.last_counted is None else row.first_ets - self.last_counted
-        idle = gap > self.idle_ms
+        spent = 0 if gap > self.idle_ms else (gap + 5) // 10
         for frame in frames:
             frame.start = frame.start or row.first_ets
-            frame.spent_cs += 0 if idle else (gap + 5) // 10
+            frame.spent_cs += spent
             frame.interactions += row.clicked
+            if row.plain:
+                frame.kinds[row.eid] = frame.kinds.get(row.eid, 0) + row.events
             frame.dwell(2 * gap if row.viewed else gap)
             if row.viewed:
                 frame.viewing, frame.page = True, row.page
@@ -151,10 +169,10 @@ class Walk:
     @staticmethod
     def _summary(f: Frame) -> dict:
         return {
-            "node": f.number, "epoch": f.epoch, "part": f.part, "head": f.head, "type": f.type, "mode": f.mode,
+            "twin": f.twin, "node": f.number, "epoch": f.epoch, "part": f.part, "head": f.head, "type": f.type, "mode": f.mode,
             "start_time": f.start, "end_time": f.end, "spent_cs": f.spent_cs, "interactions": f.interactions,
             "lead": [{"id": page, "ms": ms} for page, ms in f.lead.items()],
-            "sync_ms": f.first_sync if f.last_sync is None else f.last_sync,
+            "sync_ms": f.first_sync if f.last_sync is None else f.last_sync, "kinds": list(f.kinds.items()),
         }
 
     def _same(self, i: int, j: int) -> bool:

@@ -8,8 +8,9 @@ is ordered. Everything else is grouping:
    spread over as many groups as it has slots.
 2. The runs of a key, one small row each, are walked in order (:mod:`tidegauge.operators.session_walk`). The walk gives
    (run, session) pairs, and a row per summary with what is left: times, and the stays on pages from one run to the next.
-3. What the events of a run count for is joined to the run's sessions and added up, with partial sums before the shuffle, so
-   a session as long as the whole input is no hot group.
+   A plain run, all of one kind without views and answers, is counted there too: it is a kind and a number.
+3. What the events of other runs count for is joined to the run's sessions and added up, with partial sums before the shuffle,
+   so a session as long as the whole input is no hot group.
 
 The events in runs and the walk's result are read twice, so they are written to the shared checkpoint folder.
 """
@@ -17,6 +18,7 @@ The events in runs and the walk's result are read twice, so they are written to
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -40,20 +42,21 @@ _SUMMARY_COLUMNS = [
 ]
 _SUMMARY_DDL = (
     "head string, type string, mode string, start_time bigint, end_time bigint, spent_cs bigint, interactions bigint, "
-    "lead array<struct<id:string,ms:bigint>>, sync_ms bigint"
+    "lead array<struct<id:string,ms:bigint>>, sync_ms bigint, kinds array<struct<id:string,count:bigint>>"
 )
 _WALK_DDL = (
-    "did string, channel string, pdata_id string, slot bigint, run bigint, node bigint, epoch bigint, part bigint, "
+    "did string, channel string, pdata_id string, slot bigint, run bigint, twin bigint, node bigint, epoch bigint, part bigint, "
     f"opens boolean, summary struct<{_SUMMARY_DDL}>"
 )
 _PA_SUMMARY = pa.struct([
     ("head", pa.string()), ("type", pa.string()), ("mode", pa.string()), ("start_time", pa.int64()), ("end_time", pa.int64()),
     ("spent_cs", pa.int64()), ("interactions", pa.int64()),
     ("lead", pa.list_(pa.struct([("id", pa.string()), ("ms", pa.int64())]))), ("sync_ms", pa.int64()),
+    ("kinds", pa.list_(pa.struct([("id", pa.string()), ("count", pa.int64())]))),
 ])
 _PA_WALK = pa.schema([
     *[(k, pa.string()) for k in ("did", "channel", "pdata_id")],
-    *[(c, pa.int64()) for c in ("slot", "run", "node", "epoch", "part")], ("opens", pa.bool_()), ("summary", _PA_SUMMARY),
+    *[(c, pa.int64()) for c in ("slot", "run", "twin", "node", "epoch", "part")], ("opens", pa.bool_()), ("summary", _PA_SUMMARY),
 ])
 
 _HEAD = (
@@ -221,45 +224,59 @@ def session_runs(keyed: DataFrame, idle_ms: int, break_ms: int, slot_ms: int = S
     page of the run that they end, the page they show, their answer. A run's last event also holds the run's walk row.
 
     The stay on a page that was in view before the run is the row's ``lead_ms``; a step that ends in a view counts twice.
-    All comes from one pass over a slot in its order: a run's totals are differences of running sums.
+    All comes from passes over a slot in its order: a run's totals are differences of running sums.
     """
     slot = Window.partitionBy(*KEYS, "slot").orderBy(*_ORDER)
     until = slot.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = slot.rowsBetween(Window.unboundedPreceding, -1)
     view, structural = F.col("eid") == "IMPRESSION", F.col("eid").isin("START", "END")
     clicked = F.coalesce((F.col("eid") == "INTERACT") & F.lower("etype").isin(*INTERACT_TYPES), F.lit(False))
-    last, opens, seen = F.col("last"), F.col("opens"), F.col("seen")
+    last, following, opens, seen = F.col("last"), F.col("following"), F.col("opens"), F.col("seen")
     gap = F.col("ets") - last["ets"]
-    on_page = ~opens & F.coalesce(seen["run"] == F.col("run"), F.lit(False))
-    step = F.when(view, 2 * gap).otherwise(gap)
+    place = F.struct("ets", "eid", structural.alias("cut"))
+    # What makes a run more than a number of events of one kind.
+    busy = view | F.col("answer").isNotNull()
+    mixed = busy | (~opens & (F.col("eid") != last["eid"]))
+    # The latest view or beginning of a run before an event; a beginning is no view, whatever its kind.
+    mark = F.when(opens, F.struct(F.lit(False).alias("view"), F.lit(None).cast("string").alias("pageid"))).when(view, F.struct(F.lit(True).alias("view"), "pageid"))
+    on_page = ~opens & F.coalesce(seen["view"], F.lit(False))
+    # Three passes, each over what the one before it worked out.
     events = (
-        keyed.withColumn("slot", F.floor(F.col("ets") / slot_ms))
-        .withColumn("last", F.lag(F.struct("ets", structural.alias("cut"))).over(slot))
-        .withColumn("opens", last.isNull() | structural | last["cut"] | (gap > break_ms))
-        .withColumn("closes", F.coalesce(F.lead("opens").over(slot), F.lit(True)))
-        .withColumn("run", F.sum(opens.cast("bigint")).over(until))
-        .withColumn("seen", F.last(F.when(view & ~opens, F.struct("run", "pageid")), ignorenulls=True).over(before))
-        .withColumn("spent", F.sum(F.when(~opens & (gap <= idle_ms), F.floor((gap + 5) / 10)).otherwise(0)).over(until))
-        .withColumn("clicks", F.sum((clicked & ~opens).cast("bigint")).over(until))
-        .withColumn("waited", F.sum(F.when(~opens & ~on_page, step).otherwise(0)).over(until))
+        keyed.withColumns({"slot": F.floor(F.col("ets") / slot_ms), "sync_time": sync_ts("sync_time")})
+        .withColumns({"last": F.lag(place).over(slot), "following": F.lead(place).over(slot), "at": F.row_number().over(slot)})
+        .withColumns({
+            "opens": last.isNull() | structural | last["cut"] | (gap > break_ms),
+            "closes": following.isNull() | structural | following["cut"] | (following["ets"] - F.col("ets") > break_ms),
+        })
+        .withColumns({
+            "run": F.sum(opens.cast("bigint")).over(until),
+            "seen": F.last(mark, ignorenulls=True).over(before),
+            "spent": F.sum(F.when(~opens & (gap <= idle_ms), F.floor((gap + 5) / 10)).otherwise(0)).over(until),
+            "clicks": F.sum((clicked & ~opens).cast("bigint")).over(until),
+            "more": F.sum(mixed.cast("bigint")).over(until),
+        })
     )
-    sums = ("spent", "clicks", "waited")
+    sums = ("spent", "clicks")
+    # An END opens no session, so nothing is taken over from it.
+    head = F.when(F.col("eid") != "END", _head())
     opener = F.when(opens, F.struct(
-        F.row_number().over(slot).alias("at"), "ets", "eid", F.lower("etype").alias("type"), F.coalesce("mode", F.lit("")).alias("mode"),
-        clicked.alias("clicked"), view.alias("viewed"), "pageid", _head().alias("head"), sync_ts("sync_time").alias("sync"), *sums,
+        "at", "ets", "eid", F.lower("etype").alias("type"), F.coalesce("mode", F.lit("")).alias("mode"),
+        clicked.alias("clicked"), view.alias("viewed"), (F.col("more") - busy.cast("bigint")).alias("more"), "pageid", head.alias("head"), F.col("sync_time").alias("sync"), *sums,
     ))
-    first = F.last(opener, ignorenulls=True).over(until)
-    events = events.withColumns({"first": F.when(F.col("closes"), first), "at": F.row_number().over(slot)})
-    first = F.col("first")
-    shown = F.when(view & ~opens, F.struct("run", "pageid"))
-    latest = F.coalesce(shown, F.when(seen["run"] == F.col("run"), seen))
+    shown_first = F.when(view & ~opens & ~on_page, F.struct("at", (F.col("ets") + gap).alias("until")))
+    events = events.withColumns({"first": F.last(opener, ignorenulls=True).over(until), "entered": F.last(shown_first, ignorenulls=True).over(until)})
+    first, entered = F.col("first"), F.col("entered")
+    latest = F.when(view & ~opens, F.struct("pageid")).when(on_page, F.struct(seen["pageid"].alias("pageid")))
+    waited = F.when(entered["at"] > first["at"], entered["until"]).otherwise(F.col("ets")) - first["ets"]
     row = F.struct(
         first["ets"].alias("first_ets"), F.col("ets").alias("last_ets"), (F.col("at") - first["at"] + 1).alias("events"),
         *[first[c].alias(c) for c in ("eid", "type", "mode", "clicked", "viewed")], first["pageid"].alias("page"),
-        *[(F.col(c) - first[c]).alias(name) for c, name in zip(sums, ("spent_cs", "clicks", "lead_ms"), strict=True)],
+        *[(F.col(c) - first[c]).alias(name) for c, name in zip(sums, ("spent_cs", "clicks"), strict=True)], waited.alias("lead_ms"),
         latest.isNotNull().alias("seen"), latest["pageid"].alias("last_page"), first["head"].alias("head"),
-        first["sync"].alias("first_sync"), sync_ts("sync_time").alias("last_sync"),
+        first["sync"].alias("first_sync"), F.col("sync_time").alias("last_sync"),
+        (F.col("more") == first["more"]).alias("plain"),
     )
+    step = F.when(view, 2 * gap).otherwise(gap)
 
     def fact(kind: int, id_: Column, ms: Column | None = None, visits: int = 0) -> Column:
         ms = F.lit(0) if ms is None else ms
@@ -275,7 +292,7 @@ def session_runs(keyed: DataFrame, idle_ms: int, break_ms: int, slot_ms: int = S
         lambda f: f.isNotNull(),
     )
     return events.select(
-        *KEYS, "slot", "run", "opens", "ets", "mid", F.col("etype").alias("type"), "env", facts.alias("facts"), _item().alias("item"),
+        *KEYS, "slot", "run", "opens", structural.alias("structural"), "ets", "mid", F.col("etype").alias("type"), "env", facts.alias("facts"), _item().alias("item"),
         F.when(F.col("closes"), row).alias("row"),
     )
 
@@ -288,45 +305,65 @@ def walk_rows(events: DataFrame) -> DataFrame:
 # ---- the walk ---------------------------------------------------------------------------------------------
 
 
+_SUMMARY_OF = itemgetter("twin", "node", "epoch", "part", *(f.name for f in _PA_SUMMARY))
+
+
+def _values(column: pa.Array) -> list:
+    """Python values of a column; by numpy, unless that would make floats of numbers with nulls."""
+    if column.null_count and not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):
+        return column.to_pylist()
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def _walked(idle_ms: int, break_ms: int):
     """Rows of whole keys in order to (run, session) pairs and summaries."""
 
-    def batch(keys: list[pa.Array], places: list[pa.Array], columns: list, summaries: list | None) -> pa.RecordBatch:
-        size = len(keys[0])
-        numbers = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.bool_()), strict=True)]
-        last = pa.nulls(size, _PA_SUMMARY) if summaries is None else pa.array(summaries, _PA_SUMMARY)
-        return pa.RecordBatch.from_arrays([*keys, *places, *numbers, last], schema=_PA_WALK)
+    def batch(keys: list, places: list, columns: list, summaries: pa.Array) -> pa.RecordBatch:
+        numbers = [pa.array(c, t) for c, t in zip(columns, (*[pa.int64()] * 4, pa.bool_()), strict=True)]
+        return pa.RecordBatch.from_arrays([*keys, *places, *numbers, summaries], schema=_PA_WALK)
 
-    def ended(rows: list[tuple[tuple, dict]]) -> pa.RecordBatch:
-        keys = [pa.array(c, pa.string()) for c in zip(*(key for key, _ in rows), strict=True)]
-        places = [pa.nulls(len(rows), pa.int64())] * 2
-        numbers = [[s[c] for _, s in rows] for c in ("node", "epoch", "part")]
-        return batch(keys, places, [*numbers, [None] * len(rows)], [s for _, s in rows])
+    def ended(keys: list[tuple], summaries: list[tuple]) -> pa.RecordBatch:
+        size, columns = len(keys), list(zip(*summaries, strict=True))
+        summary = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns[4:], _PA_SUMMARY, strict=True)], fields=list(_PA_SUMMARY))
+        names = [pa.array(c, pa.string()) for c in zip(*keys, strict=True)]
+        return batch(names, [pa.nulls(size, pa.int64())] * 2, [*columns[:4], [None] * size], summary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, walk, done = None, None, []
+        key, walk, owners, done = None, None, [], []
+
+        def take() -> None:
+            owners.extend([key] * len(walk.ended))
+            done.extend(map(_SUMMARY_OF, walk.ended))
+
         for found in batches:
-            at, counted = [], []
-            for i, (did, channel, pdata_id, _, _, *row) in enumerate(zip(*(c.to_pylist() for c in found.columns), strict=True)):
-                if (did, channel, pdata_id) != key:
+            at, twins, counted = [], [], []
+            keys, rows = zip(*map(_values, found.columns[:3]), strict=True), map(Row, *map(_values, found.columns[5:]))
+            for i, (found_key, row) in enumerate(zip(keys, rows, strict=True)):
+                if found_key != key:
                     if walk is not None:
                         walk.flush()
-                        done += [(key, s) for s in walk.ended]
-                    key, walk = (did, channel, pdata_id), Walk(idle_ms, break_ms)
-                walk.feed(Row._make(row))
-                at += [i] * len(walk.counted)
-                counted += walk.counted
-                done += [(key, s) for s in walk.ended]
+                        if walk.ended:
+                            take()
+                    key, walk = found_key, Walk(idle_ms, break_ms)
+                walk.feed(row)
+                # A plain run is counted by its sessions; only the events of others are looked up.
+                if not row.plain:
+                    at += [i] * len(walk.counted)
+                    twins += [walk.twins.get(c[0], c[0]) for c in walk.counted]
+                    counted += walk.counted
+                if walk.ended:
+                    take()
             if at:
-                rows = found.select(found.schema.names[:5]).take(pa.array(at))
-                yield batch(rows.columns[:3], rows.columns[3:], list(zip(*counted, strict=True)), None)
+                places = found.select(found.schema.names[:5]).take(pa.array(at))
+                yield batch(places.columns[:3], places.columns[3:], [twins, *zip(*counted, strict=True)], pa.nulls(len(at), _PA_SUMMARY))
             if done:
-                yield ended(done)
-                done = []
+                yield ended(owners, done)
+                owners, done = [], []
         if walk is not None:
             walk.flush()
-            if walk.ended:
-                yield ended([(key, s) for s in walk.ended])
+            take()
+            if done:
+                yield ended(owners, done)
 
     return run
 
@@ -339,15 +376,15 @@ def _facts_of_sessions(pairs: DataFrame, events: DataFrame) -> DataFrame:
     same = [F.col(f"p.{k}").eqNullSafe(F.col(f"e.{k}")) for k in KEYS] + [F.col(f"p.{k}") == F.col(f"e.{k}") for k in ("slot", "run")]
     keys = [F.col(f"p.{k}").alias(k) for k in KEYS]
     rows = (
-        pairs.alias("p").join(events.drop("row").alias("e"), same)
+        pairs.alias("p").join(events.where(~F.col("structural")).drop("row").alias("e"), same)
         .select(
-            *keys, "p.node", "p.epoch", "p.part", (F.col("p.opens") & F.col("e.opens")).alias("opener"), "e.ets", "e.mid", "e.type",
+            *keys, "p.twin", "p.node", "p.epoch", "p.part", (F.col("p.opens") & F.col("e.opens")).alias("opener"), "e.ets", "e.mid", "e.type",
             "e.env", "e.item", F.explode("e.facts").alias("f"),
         )
         # The event that opens a session is counted, but is no view or answer of it.
         .where(~F.col("opener") | (F.col("f.kind") == _COUNT))
     )
-    return rows.groupBy(*KEYS, "node", "epoch", "part", F.col("f.kind").alias("kind"), F.col("f.id").alias("id")).agg(
+    return rows.groupBy(*KEYS, "twin", "node", "epoch", "part", F.col("f.kind").alias("kind"), F.col("f.id").alias("id")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("f.ms").alias("ms"), F.sum("f.visits").alias("visits"),
         F.min(F.when(F.col("f.visits") == 1, F.struct("ets", "mid", "type", "env"))).alias("shown"),
         F.collect_list(F.when(F.col("f.kind") == _ITEM_FACT, F.struct("ets", "mid", "item"))).alias("items"),
@@ -355,22 +392,28 @@ def _facts_of_sessions(pairs: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def _put_together(facts: DataFrame, summaries: DataFrame) -> DataFrame:
-    """Summaries with their counts, pages and answers."""
+    """Distinct summaries with their counts, pages and answers."""
     fact = F.struct("part", "kind", "id", "n", "ms", "visits", "shown", "items")
     ended = F.struct("part", "summary")
-    both = facts.select(*KEYS, "node", "epoch", fact.alias("fact")).unionByName(
-        summaries.select(*KEYS, "node", "epoch", ended.alias("ended")), allowMissingColumns=True
+    session = [*KEYS, "twin", "node", "epoch"]
+    both = facts.select(*session, fact.alias("fact")).unionByName(summaries.select(*session, ended.alias("ended")), allowMissingColumns=True)
+    # Equal summaries have equal keys and twins, so what is equal meets here and needs no further shuffle.
+    rows = both.repartition(*KEYS, "twin").groupBy(*session).agg(F.collect_list("fact").alias("facts"), F.collect_list("ended").alias("ended"))
+    rows = rows.select(*KEYS, "twin", "facts", F.explode("ended").alias("ended"))
+    zero, summary = F.lit(0).cast("bigint"), F.col("ended.summary")
+    mine = F.concat(
+        F.transform(
+            F.filter("facts", lambda f: (f["part"] <= F.col("ended.part")) & (f["kind"] == _COUNT)), lambda f: F.struct(f["id"].alias("id"), f["n"].alias("count"))
+        ),
+        summary["kinds"],
     )
-    rows = both.groupBy(*KEYS, "node", "epoch").agg(F.collect_list("fact").alias("facts"), F.collect_list("ended").alias("ended"))
-    rows = rows.select(*KEYS, "facts", F.explode("ended").alias("ended"))
-    mine = F.filter("facts", lambda f: (f["part"] <= F.col("ended.part")) & (f["kind"] == _COUNT))
-    zero = F.lit(0).cast("bigint")
-    counts = F.transform(
-        F.sort_array(F.array_distinct(F.transform(mine, lambda f: f["id"]))),
+    rows = rows.withColumn("mine", F.sort_array(mine)).withColumn("kinds", F.array_distinct(F.transform("mine", lambda f: f["id"])))
+    counts = F.when(F.size("kinds") == F.size("mine"), F.col("mine")).otherwise(F.transform(  # a kind of several parts, or of plain runs and others, is added up
+        "kinds",
         lambda id_: F.struct(
-            id_.alias("id"), F.aggregate(F.filter(mine, lambda f: f["id"] == id_), zero, lambda n, f: n + f["n"]).alias("count")
+            id_.alias("id"), F.aggregate(F.filter("mine", lambda f: f["id"] == id_), zero, lambda n, f: n + f["count"]).alias("count")
         ),
-    )
+    ))
     lead = lambda id_: F.aggregate(
         F.filter("ended.summary.lead", lambda p: p["id"].eqNullSafe(id_)), zero, lambda ms, p: ms + p["ms"]
     )
@@ -384,8 +427,8 @@ def _put_together(facts: DataFrame, summaries: DataFrame) -> DataFrame:
     answers = F.flatten(F.transform(F.filter("facts", lambda f: f["kind"] == _ITEM_FACT), lambda f: f["items"]))
     items = F.transform(F.sort_array(answers), lambda a: a["item"])
     return rows.select(
-        *KEYS, "ended.summary.*", counts.alias("counts"), pages.alias("pages"), items.alias("items")
-    ).select(*_SUMMARY_COLUMNS)
+        *KEYS, "twin", "ended.summary.*", counts.alias("counts"), pages.alias("pages"), items.alias("items")
+    ).select("twin", *_SUMMARY_COLUMNS).dropDuplicates().drop("twin")
 
 
 def raw_summaries(keyed: DataFrame, idle_ms: int, break_ms: int, slot_ms: int = SLOT_MS) -> DataFrame:
@@ -397,7 +440,7 @@ def raw_summaries(keyed: DataFrame, idle_ms: int, break_ms: int, slot_ms: int =
         .mapInArrow(_walked(idle_ms, break_ms), _WALK_DDL).checkpoint()
     )
     facts = _facts_of_sessions(walked.where("summary is null"), rows)
-    return _put_together(facts, walked.where("summary is not null")).dropDuplicates()
+    return _put_together(facts, walked.where("summary is not null"))
 
 
 def finish_summaries(raw: DataFrame) -> DataFrame:
@@ -454,11 +497,11 @@ def finish_summaries(raw: DataFrame) -> DataFrame:
 
 
 def workflow_summary(
-    events: DataFrame, idle_time: int = 600, session_break_time: int = 30, slot_ms: int = SLOT_MS, default_app: str = DEFAULT_APP
+    events: DataFrame, idle_time: int = 600, session_break_time: int = 30, slot_ms: int | None = SLOT_MS, default_app: str = DEFAULT_APP
 ) -> DataFrame:
     """Flat summaries of V3 events; ``idle_time`` in seconds, ``session_break_time`` in minutes."""
     keyed = session_keys(events, default_app)
-    return finish_summaries(raw_summaries(keyed, idle_time * 1000, session_break_time * 60_000, slot_ms))
+    return finish_summaries(raw_summaries(keyed, idle_time * 1000, session_break_time * 60_000, slot_ms or SLOT_MS))
 
 
 def summary_events(
