@@ -391,6 +391,44 @@ def test_winnowing(spark):
     assert winnow.judged(table(spark, docs), benchmark.limit(0)).filter("n_hit > 0").count() == 0
 
 
+def variants(r, base, count, changes, name):
+    """Lines of the words of ``base`` with some replaced by words of their own."""
+    out = []
+    for i in range(count):
+        line = list(base)
+        for at in r.sample(range(len(base)), r.choice(changes)):
+            line[at] = f"{name}{i}x{at}"
+        out.append(line)
+    return out
+
+
+def test_line_dedup_of_long_lines(spark):
+    """Sets around the size from which sketches are wide, at similarities around the threshold."""
+    r = random.Random(23)
+    own = []
+    for n, size in enumerate([94, 98, 102, 106, 150, 260, 400]):
+        near = variants(r, [f"b{n}w{i}" for i in range(size)], 8, range(size // 14), f"v{n}")
+        own += near + [x[: r.randint(len(x) * 9 // 10, len(x))] for x in near]
+    r.shuffle(own)
+    seen, wanted = [], []
+    for i, line in enumerate(map(set, own)):
+        wanted.append((i, not any(100 * len(line & s) >= 90 * len(line | s) for s in seen)))
+        seen.append(line)
+    assert 20 < sum(kept for _, kept in wanted) < 90
+    same(lines.line_decisions(table(spark, [(i, " ".join(x)) for i, x in enumerate(own)])).select("doc_id", "kept"), wanted)
+
+
+def test_line_dedup_makes_no_pairs_of_sets_too_far_apart(spark):
+    """Every two of 60 variants of a line share most of their words, but none are similar enough; nor are lines that share words by chance."""
+    r = random.Random(29)
+    few = [f"w{i}" for i in range(300)]
+    own = variants(r, [f"base{i}" for i in range(60)], 60, [5], "v") + [r.sample(few, 20) for _ in range(300)]
+    docs = lines.with_text_key(spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(own)], "doc_id long, text string"))
+    found = lines.classes(lines.keyed_lines(docs, lines.rarity(docs), 90))
+    posted = found.select("*", F.posexplode("prefix").alias("place", "token")).withColumn("place", F.col("place") + 1)
+    assert lines._candidates(posted, posted, 90).count() < 20
+
+
 @pytest.mark.parametrize("percent", [90, 80])
 def test_line_dedup(spark, percent):
     r = random.Random(13)

@@ -6,11 +6,16 @@ more; all other lines stay. Lines without words always stay.
 
 Tokens are ordered by rarity: by how often their hash bucket occurs in all documents, then by hash. The table of bucket
 counts has a fixed size (``BUCKETS`` numbers) whatever the input, and any fixed order gives the same result; rarity only
-makes candidates few. Two similar sets must share ``SHARED`` tokens among the first n - ceil(t n) + SHARED of this order,
-so these prefixes are the postings. Prefix tokens of one class only are dropped, and sets too small to be similar to any
-other one have none. A candidate must pass the length filter and the positional filter at ``SHARED`` tokens, and then
+makes candidates few. Two similar sets must share a token among the first n - ceil(t n) + 1 of this order, so these
+prefixes are the postings. Prefix tokens of one class only are dropped, and sets too small to be similar to any other one
+have none. A candidate must pass the filters of length and position and that of the sketches, inside the join, and then
 the Jaccard similarity of the whole sets is verified.
 
+A sketch has a bit for each of 64 (from ``WIDE`` tokens on 256) groups of tokens: whether the set holds an odd number of
+the group's. A token of one set only turns one bit, so two sketches differ in at most as many bits as the sets do in
+tokens, and sets whose sketches differ in more bits than similar sets may differ in tokens are no pair. Sets that share
+a token by chance differ in nearly all their tokens, so hardly any of them is passed on, however many there are.
+
 A crowd of variants of one line doesn't become a crowd of pairs: first every class is compared with the earliest class of
 each of its postings. What found an earlier match there is settled; only the rest is compared with all earlier
 classes of its postings. No candidate is left out for a class that stays.
@@ -29,7 +34,9 @@ from tidegauge.llm.scratch import stored
 
 BREAKS = r" \t\n\x0B\f\r"
 BUCKETS = 1 << 16
-SHARED = 2
+#: Sets of so many tokens have wide sketches; the share of smaller ones in which similar sets may differ fits into 64 bits.
+WIDE = 100
+SKETCH = ("folded", "part_1", "part_2", "part_3")
 _HASH_BITS = 48
 
 
@@ -86,43 +93,68 @@ def _least_overlap(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / (100 + percent) - 1e-9)
 
 
+def _odd(tokens: Column) -> Column:
+    """64 bits: bit i is set if an odd number of tokens end in i."""
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(bit(t)))
+
+
+def sketch(tokens: Column, size: Column) -> list[Column]:
+    """The columns of ``SKETCH``: the bits of all tokens, and of three of four parts of them, 0 in sets that are not wide."""
+    part = lambda i: _odd(F.filter(tokens, lambda t: t.bitwiseAND(192) == 64 * i))
+    none = F.lit(0).cast("long")
+    return [_odd(tokens).alias("folded"), *[F.when(size >= WIDE, part(i)).otherwise(none).alias(f"part_{i}") for i in (1, 2, 3)]]
+
+
+def _bits_apart() -> Column:
+    """In how many bits the sketches of a row and of its ``e_`` partner differ; the fourth part is what the others leave."""
+    apart = {c: F.col(c).bitwiseXOR(F.col(f"e_{c}")) for c in SKETCH}
+    last = apart["folded"].bitwiseXOR(apart["part_1"]).bitwiseXOR(apart["part_2"]).bitwiseXOR(apart["part_3"])
+    parts = F.bit_count(last) + F.bit_count(apart["part_1"]) + F.bit_count(apart["part_2"]) + F.bit_count(apart["part_3"])
+    return F.when((F.col("size") >= WIDE) & (F.col("e_size") >= WIDE), parts).otherwise(F.bit_count(apart["folded"]))
+
+
 def keyed_lines(docs: DataFrame, ranks: DataFrame, percent: int) -> DataFrame:
-    """(doc_id, text_key, line_no, set_a, set_b, size, prefix) of each line: a 128-bit name of its token set and its postings."""
+    """(doc_id, text_key, line_no, set_a, set_b, size, sketch, prefix) of each line: a 128-bit name of its token set, its sketch
+    and its postings."""
     lines = with_tokens(split_lines(docs), ranks)
     size = F.size("tokens")
-    # Different sets share at most n of n + 1 tokens; prefixes hold SHARED of them only if that many must be shared.
-    possible = (100 * size >= percent * (size + 1)) & (size * percent > 100 * (SHARED - 1))
-    length = F.when(possible, size - F.ceil(size * percent / 100 - 1e-9).cast("int") + SHARED).otherwise(0)
+    # Different sets share at most n of n + 1 tokens.
+    possible = 100 * size >= percent * (size + 1)
+    length = F.when(possible, size - F.ceil(size * percent / 100 - 1e-9).cast("int") + 1).otherwise(0)
     return lines.select(
         "doc_id", "text_key", "line_no", F.xxhash64("tokens").alias("set_a"), F.xxhash64(F.lit(7), "tokens").alias("set_b"),
-        size.alias("size"), F.slice("tokens", F.lit(1), length).alias("prefix"),
+        size.alias("size"), *sketch(F.when(possible, F.col("tokens")), size), F.slice("tokens", F.lit(1), length).alias("prefix"),
     )
 
 
 def classes(keyed: DataFrame) -> DataFrame:
-    """(set_a, set_b, head, size, prefix, number) of each distinct token set; ``head`` is its first (doc_id, line_no, text_key),
+    """(set_a, set_b, head, size, sketch, prefix, number) of each distinct token set; ``head`` is its first (doc_id, line_no, text_key),
     and numbers grow with the head, so that pairs of classes are compared and kept as two numbers."""
     found = (
         keyed.filter("size > 0").groupBy("set_a", "set_b")
-        .agg(F.min(_place()).alias("head"), F.any_value("size").alias("size"), F.any_value("prefix").alias("prefix"))
+        .agg(F.min(_place()).alias("head"), *[F.any_value(c).alias(c) for c in ("size", *SKETCH, "prefix")])
     )
     return found.repartitionByRange("head").sortWithinPartitions("head").withColumn("number", F.monotonically_increasing_id())
 
 
-def _candidates(later: DataFrame, earlier: DataFrame, percent: int) -> DataFrame:
-    """(later, earlier) numbers that share SHARED postings at places that pass the filters of length and position."""
-    e = earlier.select(
-        F.col("token").alias("e_token"), F.col("number").alias("e_number"), F.col("size").alias("e_size"), F.col("place").alias("e_place")
-    )
+def _may_match(percent: int) -> Column:
+    """Whether a posting and its partner (``e_`` columns) of the same token may be of similar sets, the partner's being earlier."""
     need = _least_overlap(F.col("size"), F.col("e_size"), percent)
-    passes = (
-        (F.col("token") == F.col("e_token")) & (F.col("e_number") < F.col("number"))
+    return (
+        (F.col("e_number") < F.col("number"))
         & (100 * F.col("e_size") >= percent * F.col("size")) & (100 * F.col("size") >= percent * F.col("e_size"))
         # Tokens before this one can all be shared, and so can those after it.
         & (F.least("place", "e_place") + F.least(F.col("size") - F.col("place"), F.col("e_size") - F.col("e_place")) >= need)
+        & (_bits_apart() <= F.col("size") + F.col("e_size") - 2 * need)
     )
-    met = later.join(e, passes).groupBy(F.col("number").alias("later"), F.col("e_number").alias("earlier")).agg(F.count("*").alias("n"))
-    return met.filter(F.col("n") >= SHARED).select("later", "earlier")
+
+
+def _candidates(later: DataFrame, earlier: DataFrame, percent: int) -> DataFrame:
+    """(later, earlier) numbers that share a posting and pass the filters."""
+    e = earlier.select(F.col("token").alias("e_token"), *[F.col(c).alias(f"e_{c}") for c in ("number", "size", "place", *SKETCH)])
+    met = later.join(e, (F.col("token") == F.col("e_token")) & _may_match(percent))
+    return met.select(F.col("number").alias("later"), F.col("e_number").alias("earlier")).distinct()
 
 
 def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, ranks: DataFrame, percent: int) -> DataFrame:
@@ -152,11 +184,14 @@ def line_matches(docs: DataFrame, percent: int = 90) -> tuple[DataFrame, DataFra
     ranks = rarity(docs)
     keyed = stored(keyed_lines(docs, ranks, percent))
     found = stored(classes(keyed))
-    posted = found.select("number", "size", F.posexplode("prefix").alias("place", "token")).withColumn("place", F.col("place") + 1)
-    shared = posted.groupBy(F.col("token").alias("s_token")).agg(F.count("*").alias("n")).filter("n > 1").select("s_token")
-    posted = stored(posted.join(shared, F.col("token") == F.col("s_token"), "left_semi"))
-    hubs = posted.groupBy("token").agg(F.min(F.struct("number", "size", "place")).alias("hub")).select("token", "hub.*")
-    near = stored(_candidates(posted, hubs, percent))
+    posted = found.select("number", "size", *SKETCH, F.posexplode("prefix").alias("place", "token")).withColumn("place", F.col("place") + 1)
+    # One join drops what no other class has posted and compares the rest with the earliest class of its posting.
+    met = ("number", "size", "place", *SKETCH)
+    hubs = posted.groupBy(F.col("token").alias("e_token")).agg(F.count("*").alias("n"), F.min(F.struct(*met)).alias("hub")).filter("n > 1")
+    hubs = hubs.select("e_token", *[F.col(f"hub.{c}").alias(f"e_{c}") for c in met])
+    hub = F.when(_may_match(percent), F.col("e_number")).alias("hub")
+    posted = stored(posted.join(hubs, F.col("token") == F.col("e_token")).select("token", *met, hub))
+    near = stored(posted.filter("hub is not null").select(F.col("number").alias("later"), F.col("hub").alias("earlier")).distinct())
     settled = stored(_verified(near, found, docs, ranks, percent))
     gone = settled.select(F.col("later").alias("gone")).distinct()
     rest = posted.join(gone, F.col("number") == F.col("gone"), "left_anti")
