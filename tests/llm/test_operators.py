@@ -121,6 +121,27 @@ def test_near_duplicates_off_the_hub(spark):
     same(minmax.near_duplicates(table(spark, docs), words=3, percent=85, rows=4), brute.near(docs))
 
 
+def test_near_duplicates_measures_no_pairs_too_far_apart(spark, monkeypatch):
+    """Every two of 60 variants meet in bands (similarity 0.7), but none are linked; only what the sketches allow is measured."""
+    r = random.Random(7)
+    base = [r.choice(vocabulary()) for _ in range(600)]
+    docs = []
+    for i in range(60):
+        own = list(base)
+        for at in r.sample(range(600), 20):
+            own[at] = f"new{i}x{at}"
+        docs.append((i, " ".join(own)))
+    asked, measured = [], minmax._measured
+
+    def spy(pairs, *more):
+        asked.append(pairs.count())
+        return measured(pairs, *more)
+
+    monkeypatch.setattr(minmax, "_measured", spy)
+    same(minmax.near_duplicates(table(spark, docs), words=3, percent=85, rows=4), brute.near(docs))
+    assert sum(asked) < 60
+
+
 def test_near_duplicates_of_an_id_with_several_texts(spark):
     """Id 50 stands on rows of four texts, each similar to that of one other document."""
     r = random.Random(41)
