@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.scratch import stored
+from tidegauge.llm.scratch import small_batches, stored
 from tidegauge.llm.text import Sums, Words, _byte_set, mix, pieces, utf8
 
 WINDOW = 8
@@ -95,14 +95,20 @@ def count_text(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def with_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns of ``keep`` and the counts of each row's whole text, in one pass without a shuffle."""
-    source = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col("text").alias("text_"))
+    """The columns of ``keep`` and the counts of each row's whole text, in one pass without a shuffle.
+
+    A task holds small batches, and a text that is kept goes to it once.
+    """
+    small_batches(docs.sparkSession)
+    kept = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)]
+    text = f"c{keep.index('text')}" if "text" in keep else "text_"
+    source = docs.select(*kept) if "text" in keep else docs.select(*kept, F.col("text").alias(text))
     fields = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
     schema = T.StructType([*fields, *[T.StructField(c, T.LongType()) for c in COUNTS]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text_"):
-            counts = count_text(*utf8(batch.column("text_")))
+        for batch in pieces(batches, text):
+            counts = count_text(*utf8(batch.column(text)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(keep)], *[pa.array(counts[c].astype(np.int64)) for c in COUNTS]],
                 names=[f.name for f in schema],
