@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm import lines, minmax, packing, quality, recompression, suffix_array, token_file, toxicity, urls, winnow
 from tidegauge.llm.components import components
+from tidegauge.llm.native import possibly_among
 
 
 def near_texts(vocabulary, count, longest, seed):
@@ -153,6 +154,29 @@ def test_near_duplicates_of_an_id_with_several_texts(spark):
     same(found, [*[(50, 50, True)] * 4, *((60 + i, 50, False) for i in range(4))])
 
 
+def test_near_duplicates_leaves_unwanted_texts_where_they_are(spark):
+    """Two of 200 texts are asked for: no shuffle by doc_id moves all of them, whatever may be broadcast."""
+    docs = [(i, f"text of its own {i}") for i in range(200)]
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        names = minmax._signatures(table(spark, docs).select("doc_id", "text"), 3, 4).filter("doc_id in (7, 9)").select("set_a", "doc_id")
+        wanted = spark.createDataFrame(names.collect(), "member long, head long")
+        found = minmax._class_texts(table(spark, docs).select("doc_id", "text"), wanted, 3)
+        assert "hashpartitioning(doc_id" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(x.text for x in found.collect()) == ["text of its own 7", "text of its own 9"]
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_possibly_among_keeps_all_wanted(spark):
+    rows = spark.range(20000).select(F.when(F.col("id") > 0, F.col("id")).alias("x"))
+    wanted = rows.filter("x % 7 = 0 or x is null").withColumnRenamed("x", "y")
+    kept = {r.x for r in possibly_among(rows, "x", wanted, "y").collect()}
+    assert set(range(7, 20000, 7)) <= kept and None not in kept and len(kept) < 3000
+
+
 def test_components(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(100, 125)] + [(1000, i) for i in range(1001, 1200)] + [(r.randrange(50), r.randrange(50)) for _ in range(30)]

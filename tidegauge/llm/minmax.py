@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.components import components
+from tidegauge.llm.native import possibly_among
 from tidegauge.llm.scratch import small_batches, stored
 from tidegauge.llm.text import LOWER, Sums, Words, mix, pieces, utf8
 
@@ -121,7 +122,8 @@ def _class_texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             names = np.array([mix(s).sum() for s in shingle_sets(*utf8(batch.column("text")), words)], np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), batch.column("text")], names=["member", "text"])
 
-    own = docs.join(wanted.select("head").distinct(), F.col("doc_id") == F.col("head"), "left_semi").select("text")
+    # Texts that aren't wanted stay where they are; the few that the filter lets through besides are dropped by their set.
+    own = possibly_among(docs, "doc_id", wanted, "head").select("text")
     return own.mapInArrow(run, "member long, text string").join(wanted, "member", "left_semi").dropDuplicates(["member"])
 
 
