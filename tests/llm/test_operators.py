@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidegauge.llm import lines, minmax, packing, quality, recompression, suffix_array, token_file, toxicity, urls, winnow
 from tidegauge.llm.components import components
 from tidegauge.llm.native import possibly_among
+from tidegauge.llm.scratch import stored
 
 
 def near_texts(vocabulary, count, longest, seed):
@@ -474,6 +475,25 @@ def test_line_dedup_makes_no_pairs_of_sets_too_far_apart(spark):
     assert lines._candidates(posted, posted, 90).count() < 20
 
 
+def test_line_dedup_parts_words_at_every_break(spark):
+    """A word between any two breaks is one word, and only a line feed ends a line."""
+    lines_in = ["a\tb\x0bc\fd\re f", " a  b\t\tc \x0b d\r", "\r", " ", "A\u00a0B c", "a\u2028b"]
+    wanted = sorted((0, i, len(set(brute.WORDS.findall(x.lower())))) for i, x in enumerate(lines_in))
+    found = lines.line_decisions(table(spark, [(0, "\n".join(lines_in))])).select("doc_id", "line_no", "n_tokens")
+    assert sorted(map(tuple, found.collect())) == wanted
+
+
+def test_stored_leaves_no_shuffle_on_disk(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x.getName() for x in scala_list(blocks.getAllFiles()) if x.getName().startswith("shuffle_")}
+    scala_list = lambda found: [found.apply(i) for i in range(found.size())]
+    before, key = files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    found = stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    assert not files() - before
+    assert spark.conf.get(key, "false") == "false"
+    assert found.count() == 7
+
+
 @pytest.mark.parametrize("percent", [90, 80])
 def test_line_dedup(spark, percent):
     r = random.Random(13)

@@ -11,7 +11,7 @@ prefixes are the postings. Prefix tokens of one class only are dropped, and sets
 have none. A candidate must pass the filters of length and position and that of the sketches, inside the join, and then
 the Jaccard similarity of the whole sets is verified.
 
-A sketch has a bit for each of 64 (from ``WIDE`` tokens on 256) groups of tokens: whether the set holds an odd number of
+A sketch has a bit for each of 64 (from ``WIDE`` tokens on 128) groups of tokens: whether the set holds an odd number of
 the group's. A token of one set only turns one bit, so two sketches differ in at most as many bits as the sets do in
 tokens, and sets whose sketches differ in more bits than similar sets may differ in tokens are no pair. Sets that share
 a token by chance differ in nearly all their tokens, so hardly any of them is passed on, however many there are.
@@ -26,31 +26,45 @@ null ids with different texts each lose their own lines, rows that repeat (doc_i
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.native import bind, broadcast_if_small, words
+from tidegauge.llm.native import broadcast_if_small
 from tidegauge.llm.scratch import stored
 
-BREAKS = r" \t\n\x0B\f\r"
+#: What else than blanks parts words of a line.
+BREAKS = "\t\x0b\f\r"
 BUCKETS = 1 << 16
 #: Sets of so many tokens have wide sketches; the share of smaller ones in which similar sets may differ fits into 64 bits.
 WIDE = 100
-SKETCH = ("folded", "part_1", "part_2", "part_3")
+SKETCH = ("folded", "part")
 _HASH_BITS = 48
 
 
-def _bucket(word_hash: Column) -> Column:
-    return F.pmod(word_hash, F.lit(BUCKETS)).cast("int")
+def _bucket(word: Column) -> Column:
+    return F.hash(word).bitwiseAND(BUCKETS - 1)
+
+
+def _lines(text: Column) -> Column:
+    """The lines of a text, with a blank for every break, so that words can be split at one character and not by a pattern."""
+    other = reduce(or_, [F.contains(text, F.lit(c)) for c in BREAKS])
+    spaced = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(" ")), BREAKS, text)
+    return F.split(F.when(other, spaced).otherwise(text), "\n")
 
 
 def rarity(docs: DataFrame) -> DataFrame:
-    """One row: an array with a rank for each hash bucket, growing with its count in all texts."""
+    """One row: an array with a rank for each hash bucket, growing with its count in all texts, above the bits of a hash.
+
+    What stands between two blanks in a row is counted as well: that raises the rank of one bucket, and any ranks do."""
     counted = (
-        docs.select(F.explode(words(F.lower("text"), BREAKS)).alias("word"))
-        .groupBy(_bucket(F.xxhash64("word")).alias("bucket")).count()
+        docs.select(F.explode(_lines(F.col("text"))).alias("line"))
+        .select(F.explode(F.split(F.lower("line"), " ")).alias("word"))
+        .groupBy(_bucket(F.col("word")).alias("bucket")).count()
     )
-    rank = F.least(F.lit(16383), F.floor(256 * F.log2(F.col("count") + 1))).cast("long")
+    rank = F.shiftleft(F.least(F.lit(16383), F.floor(256 * F.log2(F.col("count") + 1))).cast("long"), _HASH_BITS)
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("every"))
     ranked = every.join(counted, F.col("every") == F.col("bucket"), "left").select(
         F.struct("every", F.coalesce(rank, F.lit(0).cast("long")).alias("rank")).alias("r")
@@ -60,12 +74,13 @@ def rarity(docs: DataFrame) -> DataFrame:
 
 def token_set(line: Column, ranks: Column) -> Column:
     """The distinct tokens of a line as numbers, rarest first: rank of the bucket, then the hash."""
-    each = bind(
-        F.struct(ranks.alias("ranks"), F.transform(words(F.lower(line), BREAKS), lambda w: F.xxhash64(w)).alias("hashes")),
-        lambda x: F.transform(x["hashes"], lambda h: F.shiftleft(F.element_at(x["ranks"], _bucket(h) + 1), _HASH_BITS).bitwiseOR(
-            h.bitwiseAND((1 << _HASH_BITS) - 1)
-        )),
-    )
+    none = F.lit(0).cast("long")
+
+    def token(word: Column) -> Column:
+        return F.coalesce(F.get(ranks, _bucket(word)), none).bitwiseOR(F.xxhash64(word).bitwiseAND((1 << _HASH_BITS) - 1))
+
+    words = F.array_remove(F.split(F.lower(line), " "), "")
+    each = F.transform(words, token)
     return F.sort_array(F.array_distinct(each))
 
 
@@ -81,7 +96,7 @@ def with_text_key(docs: DataFrame) -> DataFrame:
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return docs.select("doc_id", "text_key", F.posexplode(_lines(F.col("text"))).alias("line_no", "line"))
 
 
 def _place() -> Column:
@@ -100,18 +115,16 @@ def _odd(tokens: Column) -> Column:
 
 
 def sketch(tokens: Column, size: Column) -> list[Column]:
-    """The columns of ``SKETCH``: the bits of all tokens, and of three of four parts of them, 0 in sets that are not wide."""
-    part = lambda i: _odd(F.filter(tokens, lambda t: t.bitwiseAND(192) == 64 * i))
-    none = F.lit(0).cast("long")
-    return [_odd(tokens).alias("folded"), *[F.when(size >= WIDE, part(i)).otherwise(none).alias(f"part_{i}") for i in (1, 2, 3)]]
+    """The columns of ``SKETCH``: the bits of all tokens, and of one of two halves of them, 0 in sets that are not wide."""
+    half = _odd(F.filter(tokens, lambda t: t.bitwiseAND(64) == 0))
+    return [_odd(tokens).alias("folded"), F.when(size >= WIDE, half).otherwise(F.lit(0).cast("long")).alias("part")]
 
 
 def _bits_apart() -> Column:
-    """In how many bits the sketches of a row and of its ``e_`` partner differ; the fourth part is what the others leave."""
-    apart = {c: F.col(c).bitwiseXOR(F.col(f"e_{c}")) for c in SKETCH}
-    last = apart["folded"].bitwiseXOR(apart["part_1"]).bitwiseXOR(apart["part_2"]).bitwiseXOR(apart["part_3"])
-    parts = F.bit_count(last) + F.bit_count(apart["part_1"]) + F.bit_count(apart["part_2"]) + F.bit_count(apart["part_3"])
-    return F.when((F.col("size") >= WIDE) & (F.col("e_size") >= WIDE), parts).otherwise(F.bit_count(apart["folded"]))
+    """In how many bits the sketches of a row and of its ``e_`` partner differ; the second half is what the first leaves."""
+    folded, part = (F.col(c).bitwiseXOR(F.col(f"e_{c}")) for c in SKETCH)
+    both = F.bit_count(part) + F.bit_count(folded.bitwiseXOR(part))
+    return F.when((F.col("size") >= WIDE) & (F.col("e_size") >= WIDE), both).otherwise(F.bit_count(folded))
 
 
 def keyed_lines(docs: DataFrame, ranks: DataFrame, percent: int) -> DataFrame:
