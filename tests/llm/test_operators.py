@@ -475,6 +475,22 @@ def test_line_dedup_makes_no_pairs_of_sets_too_far_apart(spark):
     assert lines._candidates(posted, posted, 90).count() < 20
 
 
+def test_line_dedup_orders_tokens_by_a_small_table(spark):
+    """The ranks fit a core's cache, the rarer word comes first, each word is one token, and a sketch tells sets apart by at most what differs."""
+    docs = lines.with_text_key(spark.createDataFrame([(0, "often " * 500 + "seldom"), (1, "Often seldom often  rare1")], "doc_id long, text string"))
+    ranks = lines.rarity(docs)
+    masks = ranks.first()["ranks"]
+    assert len(masks) == lines.BUCKETS and 8 * len(masks) <= 1 << 18
+    rows = lines.with_tokens(lines.split_lines(docs), ranks).select("doc_id", "tokens", *lines.sketch(F.col("tokens"), F.size("tokens")))
+    one, two = rows.orderBy("doc_id").collect()
+    hashed = dict(spark.createDataFrame([("often",), ("seldom",), ("rare1",)], "w string").select("w", F.xxhash64("w")).collect())
+    low = lambda x: x & ((1 << lines._HASH_BITS) - 1)
+    assert [low(x) for x in one["tokens"]] == [low(hashed[w]) for w in ("seldom", "often")]
+    assert [low(x) for x in two["tokens"]] == [low(hashed[w]) for w in ("rare1", "seldom", "often")]
+    assert all(x >= 0 for x in two["tokens"]) and set(one["tokens"]) < set(two["tokens"])
+    assert bin((one["folded"] ^ two["folded"]) & ((1 << 64) - 1)).count("1") == 1
+
+
 def test_line_dedup_parts_words_at_every_break(spark):
     """A word between any two breaks is one word, and only a line feed ends a line."""
     lines_in = ["a\tb\x0bc\fd\re f", " a  b\t\tc \x0b d\r", "\r", " ", "A\u00a0B c", "a\u2028b"]

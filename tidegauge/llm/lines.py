@@ -5,14 +5,14 @@ order (doc_id, line number, hash of the row's text). A line goes if an earlier l
 more; all other lines stay. Lines without words always stay.
 
 Tokens are ordered by rarity: by how often their hash bucket occurs in all documents, then by hash. The table of bucket
-counts has a fixed size (``BUCKETS`` numbers) whatever the input, and any fixed order gives the same result; rarity only
-makes candidates few. Two similar sets must share a token among the first n - ceil(t n) + 1 of this order, so these
+counts has a fixed size (``BUCKETS`` numbers, few enough for a core's own cache) whatever the input, and any fixed order
+gives the same result; rarity only makes candidates few. Two similar sets must share a token among the first n - ceil(t n) + 1 of this order, so these
 prefixes are the postings. Prefix tokens of one class only are dropped, and sets too small to be similar to any other one
 have none. A candidate must pass the filters of length and position and that of the sketches, inside the join, and then
 the Jaccard similarity of the whole sets is verified.
 
-A sketch has a bit for each of 64 (from ``WIDE`` tokens on 128) groups of tokens: whether the set holds an odd number of
-the group's. A token of one set only turns one bit, so two sketches differ in at most as many bits as the sets do in
+A sketch has a bit for each of 64 (from ``WIDE`` tokens on 128) groups of tokens, dealt by hash: whether the set holds an
+odd number of the group's. A token of one set only turns one bit, so two sketches differ in at most as many bits as the sets do in
 tokens, and sets whose sketches differ in more bits than similar sets may differ in tokens are no pair. Sets that share
 a token by chance differ in nearly all their tokens, so hardly any of them is passed on, however many there are.
 
@@ -37,15 +37,16 @@ from tidegauge.llm.scratch import stored
 
 #: What else than blanks parts words of a line.
 BREAKS = "\t\x0b\f\r"
-BUCKETS = 1 << 16
+#: A token's lower bits are those of its word's hash; the bits above them are its bucket in the hash, its rank in the token.
+_HASH_BITS = 49
+BUCKETS = 1 << 64 - _HASH_BITS
 #: Sets of so many tokens have wide sketches; the share of smaller ones in which similar sets may differ fits into 64 bits.
 WIDE = 100
 SKETCH = ("folded", "part")
-_HASH_BITS = 48
 
 
-def _bucket(word: Column) -> Column:
-    return F.hash(word).bitwiseAND(BUCKETS - 1)
+def _bucket(hashed: Column) -> Column:
+    return F.shiftrightunsigned(hashed, _HASH_BITS)
 
 
 def _lines(text: Column) -> Column:
@@ -56,32 +57,29 @@ def _lines(text: Column) -> Column:
 
 
 def rarity(docs: DataFrame) -> DataFrame:
-    """One row: an array with a rank for each hash bucket, growing with its count in all texts, above the bits of a hash.
+    """One row: an array with a mask for each hash bucket, that turns the bucket's number in a hash into its rank. Ranks grow
+    with the bucket's count in all texts.
 
     What stands between two blanks in a row is counted as well: that raises the rank of one bucket, and any ranks do."""
     counted = (
         docs.select(F.explode(_lines(F.col("text"))).alias("line"))
         .select(F.explode(F.split(F.lower("line"), " ")).alias("word"))
-        .groupBy(_bucket(F.col("word")).alias("bucket")).count()
+        .groupBy(_bucket(F.xxhash64("word")).alias("bucket")).count()
     )
-    rank = F.shiftleft(F.least(F.lit(16383), F.floor(256 * F.log2(F.col("count") + 1))).cast("long"), _HASH_BITS)
-    every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("every"))
+    rank = F.least(F.lit(4095), F.floor(64 * F.log2(F.coalesce("count", F.lit(0)) + 1))).cast("long")
+    every = docs.sparkSession.range(BUCKETS).select(F.col("id").alias("every"))
     ranked = every.join(counted, F.col("every") == F.col("bucket"), "left").select(
-        F.struct("every", F.coalesce(rank, F.lit(0).cast("long")).alias("rank")).alias("r")
+        F.struct("every", F.shiftleft(rank.bitwiseXOR(F.col("every")), _HASH_BITS).alias("mask")).alias("r")
     )
-    return stored(ranked.agg(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["rank"]).alias("ranks")))
+    return stored(ranked.agg(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["mask"]).alias("ranks")))
 
 
 def token_set(line: Column, ranks: Column) -> Column:
     """The distinct tokens of a line as numbers, rarest first: rank of the bucket, then the hash."""
     none = F.lit(0).cast("long")
-
-    def token(word: Column) -> Column:
-        return F.coalesce(F.get(ranks, _bucket(word)), none).bitwiseOR(F.xxhash64(word).bitwiseAND((1 << _HASH_BITS) - 1))
-
     words = F.array_remove(F.split(F.lower(line), " "), "")
-    each = F.transform(words, token)
-    return F.sort_array(F.array_distinct(each))
+    hashed = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    return F.sort_array(F.transform(hashed, lambda h: h.bitwiseXOR(F.coalesce(ranks[_bucket(h)], none))))
 
 
 def with_tokens(lines: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -103,20 +101,15 @@ def _place() -> Column:
     return F.struct("doc_id", "line_no", "text_key")
 
 
-def _least_overlap(a: Column, b: Column, percent: int) -> Column:
-    """Shared tokens that sizes a and b need: ceil(t / (1 + t) (a + b))."""
-    return F.ceil((a + b) * percent / (100 + percent) - 1e-9)
-
-
 def _odd(tokens: Column) -> Column:
-    """64 bits: bit i is set if an odd number of tokens end in i."""
-    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))
+    """64 bits: bit i is set if the hashes of an odd number of tokens end in i (a shift looks at the last six bits alone)."""
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(t))
     return F.aggregate(tokens, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(bit(t)))
 
 
 def sketch(tokens: Column, size: Column) -> list[Column]:
     """The columns of ``SKETCH``: the bits of all tokens, and of one of two halves of them, 0 in sets that are not wide."""
-    half = _odd(F.filter(tokens, lambda t: t.bitwiseAND(64) == 0))
+    half = _odd(F.filter(tokens, lambda t: F.hash(t) >= 0))
     return [_odd(tokens).alias("folded"), F.when(size >= WIDE, half).otherwise(F.lit(0).cast("long")).alias("part")]
 
 
@@ -144,22 +137,27 @@ def keyed_lines(docs: DataFrame, ranks: DataFrame, percent: int) -> DataFrame:
 def classes(keyed: DataFrame) -> DataFrame:
     """(set_a, set_b, head, size, sketch, prefix, number) of each distinct token set; ``head`` is its first (doc_id, line_no, text_key),
     and numbers grow with the head, so that pairs of classes are compared and kept as two numbers."""
-    found = (
-        keyed.filter("size > 0").groupBy("set_a", "set_b")
-        .agg(F.min(_place()).alias("head"), *[F.any_value(c).alias(c) for c in ("size", *SKETCH, "prefix")])
-    )
+    rest = ("size", *SKETCH, "prefix")
+    # What follows the place is the same in all lines of a set, so the least of all is a single value to keep.
+    first = F.min(F.struct("doc_id", "line_no", "text_key", *rest)).alias("first")
+    place = F.struct("first.doc_id", "first.line_no", "first.text_key").alias("head")
+    found = keyed.filter("size > 0").groupBy("set_a", "set_b").agg(first).select("set_a", "set_b", place, *[f"first.{c}" for c in rest])
     return found.repartitionByRange("head").sortWithinPartitions("head").withColumn("number", F.monotonically_increasing_id())
 
 
 def _may_match(percent: int) -> Column:
-    """Whether a posting and its partner (``e_`` columns) of the same token may be of similar sets, the partner's being earlier."""
-    need = _least_overlap(F.col("size"), F.col("e_size"), percent)
+    """Whether a posting and its partner (``e_`` columns) of the same token may be of similar sets, the partner's being earlier.
+
+    Sets of sizes a and b are similar if they share t / (1 + t) (a + b) tokens, so they differ in at most
+    (1 - t) / (1 + t) (a + b). All is in whole numbers, and what most pairs fail comes first."""
+    both = (F.col("size") + F.col("e_size")).cast("long")
     return (
         (F.col("e_number") < F.col("number"))
         & (100 * F.col("e_size") >= percent * F.col("size")) & (100 * F.col("size") >= percent * F.col("e_size"))
+        & ((100 + percent) * _bits_apart() <= (100 - percent) * both)
         # Tokens before this one can all be shared, and so can those after it.
-        & (F.least("place", "e_place") + F.least(F.col("size") - F.col("place"), F.col("e_size") - F.col("e_place")) >= need)
-        & (_bits_apart() <= F.col("size") + F.col("e_size") - 2 * need)
+        & ((100 + percent) * (F.least("place", "e_place") + F.least(F.col("size") - F.col("place"), F.col("e_size") - F.col("e_place")))
+           >= percent * both)
     )
 
 
