@@ -1,5 +1,7 @@
+import itertools
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -196,6 +198,53 @@ def test_requests_of_few_values_are_dealt_to_blocks(spark):
     assert len(spread) > 3 and max(r["count"] for r in spread) < len(want) / 2
 
 
+def test_what_a_request_finds_comes_in_one_piece(spark):
+    """A key's requests are cut before its rows are, and a task goes through its requests one by one."""
+    from tidegauge.operators.requests import match_requests
+
+    data = spark.range(900).select("id", F.lit("hot").alias("kind")).repartition(3)
+    filters = lambda i: [{"name": "kind", "operator": "EQ", "value": "hot"}, {"name": "id", "operator": "GE", "value": str(i)}]
+    requests = spark.createDataFrame([(f"r{i}", json.dumps({"filters": filters(i)})) for i in range(40)], "request_id string, request_data string")
+    want = sorted((f"r{i}", n) for i in range(40) for n in range(i, 900))
+    # 100 times the root of the pairs is the most that a block has of a key's rows: all of them, then a third.
+    for pairs, shares in ((500, 1), (9, 3)):
+        found = match_requests(data, requests, pairs=pairs, carried=[(F.col("id") + 1).alias("next")])
+        assert found.columns == ["next", "request_id"]
+        tasks = found.rdd.glom().collect()
+        assert sorted((r.request_id, r.next - 1) for rows in tasks for r in rows) == want
+        pieces = [name for rows in tasks for name, _ in itertools.groupby(r.request_id for r in rows)]
+        assert len(set(pieces)) == 40 and len(pieces) <= 40 * shares
+        assert sum(len(rows) > 0 for rows in tasks) > 3
+
+
+def test_reports_of_requests_are_written_where_they_are_matched(spark, tmp_path, monkeypatch):
+    """No shuffle and no sort of the matched rows, each request a compressed file of its own, in the order of the data."""
+    from tidegauge.sources import manifest as M
+
+    data = spark.range(600).select("id", F.when(F.col("id") % 2 == 0, "even").otherwise('o"d,d').alias("kind"))
+    wanted = lambda i: [{"name": "kind", "operator": "EQ", "value": ["even", 'o"d,d', "none"][i % 3]}, {"name": "id", "operator": "GE", "value": str(i)}]
+    requests = spark.createDataFrame(
+        [("job", f"r/{i}", json.dumps({"filters": wanted(i)}), [], "SUBMITTED") for i in range(30)],
+        "job_id string, request_id string, request_data string, download_urls array<string>, status string",
+    )
+    seen, write = [], J.write_report_lines
+    monkeypatch.setattr(J, "write_report_lines", lambda df, *args: (seen.append(df), write(df, *args)))
+    done = J.reports_by_request(requests, data, "job", str(tmp_path), F.lit("2024-06-01").cast("timestamp"))
+    above = seen[0]._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[0]
+    assert "Exchange" not in above and "Sort" not in above
+    found = {r.request_id: r for r in done.collect()}
+    assert len(found) == 30 and all(r.status == "COMPLETED" for r in found.values())
+    urls = [url for r in found.values() for url in r.download_urls]
+    assert len(set(urls)) == len(urls) == 20 and all(url.endswith(".csv.zst") for url in urls)
+    expected = lambda i: [n for n in range(i, 600) if i % 3 != 2 and n % 2 == i % 3]
+    for i in (0, 1, 2, 13):
+        url = found[f"r/{i}"].download_urls
+        lines = pa.input_stream(url[0], compression="zstd").read().decode().splitlines() if url else ["id,kind"]
+        assert lines[0] == "id,kind" and [int(line.split(",")[0]) for line in lines[1:]] == expected(i)
+    back = sorted((r.request_id, int(r.id), r.kind) for r in M.read_report_files(spark, str(tmp_path)).collect())
+    assert back == sorted((f"r/{i}", n, "even" if n % 2 == 0 else 'o"d,d') for i in range(30) for n in expected(i))
+
+
 def test_metric_records_of_a_failed_model(spark, config, tmp_path):
     def fails(data, params):
         raise ValueError("no")
